@@ -82,3 +82,92 @@ MOVIE_TAGS = with_(MOVIES, TAGS) + """
 SELECT m.mid, m.name, m.genres, t.tags FROM movies m LEFT JOIN (
   SELECT mid, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags
   FROM tags WHERE tag IS NOT NULL GROUP BY mid) t ON m.mid = t.mid"""
+
+
+# ---- hashed TF-IDF (independent murmur3-32, seed 42, as HashingTF uses) ----
+
+_M = "4294967296"
+
+
+def _mul(x: str, c: int) -> str:
+    return f"CAST((CAST({x} AS HUGEINT) * {c}) % {_M} AS BIGINT)"
+
+
+def _rotl(x: str, r: int) -> str:
+    return f"(((({x}) << {r}) | (({x}) >> {32 - r})) & 4294967295)"
+
+
+def _mixk(k: str) -> str:
+    return _mul(_rotl(_mul(k, 0xCC9E2D51), 15), 0x1B873593)
+
+
+def _mixh(h: str, k: str) -> str:
+    return f"((({_rotl(f'xor({h}, {k})', 13)}) * 5 + {0xE6546B64}) % {_M})"
+
+
+def _byte(idx: str) -> str:
+    return f"CAST(('0x' || substr(hx, 2 * ({idx}) + 1, 2)) AS BIGINT)"
+
+
+def _word(i: str) -> str:
+    return (f"({_byte(f'4*{i}')} | ({_byte(f'4*{i}+1')} << 8) | ({_byte(f'4*{i}+2')} << 16)"
+            f" | ({_byte(f'4*{i}+3')} << 24))")
+
+
+def tfidf_ctes(num_features: int = 50) -> list[str]:
+    """CTEs ``docs``, ``w(mid, bucket, w)`` and ``nrm(mid, nrm)`` over ``movies``."""
+    return [f"""
+docs AS (SELECT mid, string_split(rtrim(lower(replace(genres, '|', ' ')), ' '), ' ') AS words
+         FROM movies WHERE genres IS NOT NULL AND genres <> '')""", """
+dw AS (SELECT mid, w FROM docs, unnest(words) AS t(w))""", """
+tokens AS (SELECT DISTINCT w AS token FROM dw)""", """
+tb AS (SELECT token, octet_length(encode(token)) AS n, hex(encode(token)) AS hx FROM tokens)""", f"""
+tk AS (SELECT token, n,
+  list_reduce(list_prepend(CAST(42 AS BIGINT),
+      list_transform(range(n // 4), lambda i: {_mixk(_word('i'))})),
+    lambda h, k: {_mixh('h', 'k')}) AS h0,
+  list_reduce(list_prepend(CAST(0 AS BIGINT),
+      list_transform(range(n % 4), lambda j: {_byte('(n // 4) * 4 + j')} << (8 * j))),
+    lambda a, x: a | x) AS tail
+  FROM tb)""", f"""
+th AS (SELECT token, xor(xor(h0, {_mixk('tail')}), n) AS h FROM tk)""", """
+f1 AS (SELECT token, xor(h, h >> 16) AS h FROM th)""", f"""
+f2 AS (SELECT token, {_mul('h', 0x85EBCA6B)} AS h FROM f1)""", """
+f3 AS (SELECT token, xor(h, h >> 13) AS h FROM f2)""", f"""
+f4 AS (SELECT token, {_mul('h', 0xC2B2AE35)} AS h FROM f3)""", """
+f5 AS (SELECT token, xor(h, h >> 16) AS h FROM f4)""", f"""
+buckets AS (SELECT token,
+  (((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % {num_features}) + {num_features})
+   % {num_features} AS bucket FROM f5)""", """
+tf AS (SELECT dw.mid, b.bucket, CAST(count(*) AS DOUBLE) AS tf
+       FROM dw JOIN buckets b ON b.token = dw.w GROUP BY dw.mid, b.bucket)""", """
+ndocs AS (SELECT CAST(count(*) AS DOUBLE) AS m FROM docs)""", """
+dfreq AS (SELECT bucket, CAST(count(*) AS DOUBLE) AS df FROM tf GROUP BY bucket)""", """
+w AS (SELECT tf.mid, tf.bucket, tf.tf * ln((ndocs.m + 1) / (dfreq.df + 1)) AS w
+      FROM tf JOIN dfreq ON tf.bucket = dfreq.bucket CROSS JOIN ndocs)""", """
+nrm AS (SELECT mid, sqrt(sum(w * w)) AS nrm FROM w GROUP BY mid)"""]
+
+
+def content_pairs_ctes(threshold: float, decimals: int = 6) -> list[str]:
+    """Adds ``sims(mid, sim_mid, sim)``: ordered pairs with cosine > threshold."""
+    return tfidf_ctes() + [f"""
+dots AS (SELECT a.mid AS mid, b.mid AS sim_mid, sum(a.w * b.w) AS dot
+         FROM w a JOIN w b ON a.bucket = b.bucket AND a.mid <> b.mid GROUP BY a.mid, b.mid)""", f"""
+sims AS (SELECT d.mid, d.sim_mid, round(d.dot / (na.nrm * nb.nrm), {decimals}) AS sim
+         FROM dots d JOIN nrm na ON na.mid = d.mid JOIN nrm nb ON nb.mid = d.sim_mid
+         WHERE na.nrm * nb.nrm > 0 AND d.dot / (na.nrm * nb.nrm) > {threshold})"""]
+
+
+CONTENT_SIMILARITY = with_(MOVIES, *content_pairs_ctes(0.8)) + """
+SELECT mid, sim_mid, sim FROM sims"""
+
+HASHED_BUCKETS = with_(MOVIES, *tfidf_ctes()) + """
+SELECT token, bucket FROM buckets"""
+
+ITEM_SIMILARITY = """
+WITH v AS (SELECT CAST(vec_id AS BIGINT) AS mid, CAST(embedding AS DOUBLE[]) AS e,
+                  sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n
+           FROM embeddings WHERE embedding IS NOT NULL),
+p AS (SELECT a.mid AS mid, b.mid AS sim_mid, list_dot_product(a.e, b.e) / (a.n * b.n) AS s
+      FROM v a JOIN v b ON a.mid <> b.mid WHERE a.n > 0 AND b.n > 0)
+SELECT mid, sim_mid, round(s, 6) AS sim FROM p WHERE s > 0.3"""

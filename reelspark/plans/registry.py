@@ -6,10 +6,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelspark.operators import stats
+from reelspark.operators import content, similarity, stats
 from reelspark.sources import testdata as td
 
+# Reported floats are rounded so that Spark and the SQL oracle agree to the
+# last printed digit; filters always use the unrounded value.
+REPORT_DECIMALS = 6
+EMBEDDING_THRESHOLD = 0.3
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -39,6 +45,23 @@ def q_movie_tags(spark: SparkSession, sf: str) -> DataFrame:
     return stats.movie_tags(td.movies(spark, sf), td.tags(spark, sf))
 
 
+def q_content_similarity(spark: SparkSession, sf: str) -> DataFrame:
+    return content.content_similarity(td.movies(spark, sf), threshold=0.8, decimals=REPORT_DECIMALS)
+
+
+def embedding_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    e = td.table(spark, sf, "embeddings")
+    return e.select(F.col("vec_id").alias("mid"), F.col("embedding").cast("array<double>").alias("vec"))
+
+
+def q_item_similarity(spark: SparkSession, sf: str) -> DataFrame:
+    """Dense item-item cosine on the supplied embeddings (threshold 0.3:
+    no pair of these vectors passes the reference's 0.6)."""
+    pairs = similarity.cosine_pairs(embedding_vectors(spark, sf), "mid", "vec", EMBEDDING_THRESHOLD)
+    return pairs.select(F.col("id_a").alias("mid"), F.col("id_b").alias("sim_mid"),
+                        F.round("sim", REPORT_DECIMALS).alias("sim"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "history_hot": q_history_hot,
@@ -47,6 +70,8 @@ def all_queries() -> dict[str, Query]:
         "genre_topn": q_genre_topn,
         "genre_topn_token": q_genre_topn_token,
         "movie_tags": q_movie_tags,
+        "content_similarity": q_content_similarity,
+        "item_similarity": q_item_similarity,
     }
 
 
@@ -59,4 +84,6 @@ def all_oracles() -> dict[str, str]:
         "genre_topn": o.GENRE_TOPN,
         "genre_topn_token": o.GENRE_TOPN_TOKEN,
         "movie_tags": o.MOVIE_TAGS,
+        "content_similarity": o.CONTENT_SIMILARITY,
+        "item_similarity": o.ITEM_SIMILARITY,
     }
