@@ -171,3 +171,48 @@ WITH v AS (SELECT CAST(vec_id AS BIGINT) AS mid, CAST(embedding AS DOUBLE[]) AS
 p AS (SELECT a.mid AS mid, b.mid AS sim_mid, list_dot_product(a.e, b.e) / (a.n * b.n) AS s
       FROM v a JOIN v b ON a.mid <> b.mid WHERE a.n > 0 AND b.n > 0)
 SELECT mid, sim_mid, round(s, 6) AS sim FROM p WHERE s > 0.3"""
+
+LOG_LINES = """
+lines AS (
+  SELECT event_id,
+         CASE WHEN event_id % 2 = 0
+              THEN 'INFO svc - MOVIE_RATING_PREFIX:' || uid || '|' || mid || '|' || score || '|' || timestamp
+              ELSE 'INFO svc - heartbeat' END AS value
+  FROM ratings_ev)"""
+
+LOG_TO_RATINGS = with_(RATINGS_EV, LOG_LINES, """
+msgs AS (SELECT trim(split_part(value, 'MOVIE_RATING_PREFIX:', 2)) AS message
+         FROM lines WHERE contains(value, 'MOVIE_RATING_PREFIX:'))""", """
+parsed AS (SELECT message,
+  TRY_CAST(trim(split_part(message, '|', 1)) AS INT) AS uid,
+  TRY_CAST(trim(split_part(message, '|', 2)) AS INT) AS mid,
+  TRY_CAST(trim(split_part(message, '|', 3)) AS DOUBLE) AS score,
+  TRY_CAST(trim(split_part(message, '|', 4)) AS INT) AS timestamp
+  FROM msgs)""") + """
+SELECT message, uid, mid, score, timestamp FROM parsed
+WHERE uid IS NOT NULL AND mid IS NOT NULL AND score IS NOT NULL"""
+
+REALTIME_RECS = with_(RATINGS_EV, MOVIES, *content_pairs_ctes(0.6, 9), """
+cuts AS (SELECT CAST(floor(count(*) * 0.5) AS BIGINT) AS c1,
+                CAST(floor(count(*) * 0.9) AS BIGINT) AS c2 FROM events)""", """
+seen AS (SELECT DISTINCT r.uid, r.mid FROM ratings_ev r, cuts WHERE r.event_id < cuts.c1)""", """
+hist AS (SELECT r.* FROM ratings_ev r, cuts WHERE r.event_id < cuts.c2)""", """
+inc AS (SELECT r.* FROM ratings_ev r, cuts WHERE r.event_id >= cuts.c2)""", """
+cand AS (SELECT event_id, uid, cand FROM (
+  SELECT i.event_id, i.uid, s.sim_mid AS cand,
+         row_number() OVER (PARTITION BY i.event_id ORDER BY s.sim DESC, s.sim_mid ASC) AS rn
+  FROM inc i JOIN sims s ON s.mid = i.mid
+  WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.uid = i.uid AND seen.mid = s.sim_mid))
+  WHERE rn <= 20)""", """
+rec AS (SELECT uid, mid AS r_mid, score AS r_score FROM (
+  SELECT h.uid, h.mid, h.score,
+         row_number() OVER (PARTITION BY h.uid ORDER BY h.timestamp DESC, h.event_id DESC) AS rn
+  FROM hist h) WHERE rn <= 20)""", """
+x AS (SELECT c.event_id, c.uid, c.cand, r.r_score, coalesce(s.sim, 0.0) AS sim
+      FROM cand c JOIN rec r ON r.uid = c.uid
+      LEFT JOIN sims s ON s.mid = c.cand AND s.sim_mid = r.r_mid)""") + """
+SELECT event_id, uid, cand AS mid,
+       round(avg(sim * r_score)
+             + log10(greatest(count_if(sim > 0.7 AND r_score > 3.0), 1))
+             - log10(greatest(count_if(sim > 0.7 AND r_score <= 3.0), 1)), 6) AS score
+FROM x GROUP BY event_id, uid, cand"""

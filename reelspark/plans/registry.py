@@ -8,13 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.operators import content, similarity, stats
+from reelspark.operators import content, logs, realtime, similarity, stats
 from reelspark.sources import testdata as td
 
 # Reported floats are rounded so that Spark and the SQL oracle agree to the
 # last printed digit; filters always use the unrounded value.
 REPORT_DECIMALS = 6
 EMBEDDING_THRESHOLD = 0.3
+# Similarities fed to the real-time scorer: content similarity over the whole
+# catalogue at 0.6, rounded to 9 places so equal similarities tie exactly.
+REALTIME_SIM_THRESHOLD = 0.6
+REALTIME_SIM_DECIMALS = 9
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +66,22 @@ def q_item_similarity(spark: SparkSession, sf: str) -> DataFrame:
                         F.round("sim", REPORT_DECIMALS).alias("sim"))
 
 
+def q_log_to_ratings(spark: SparkSession, sf: str) -> DataFrame:
+    return logs.log_to_ratings(td.log_lines(spark, sf))
+
+
+def realtime_sims(spark: SparkSession, sf: str) -> DataFrame:
+    return content.content_similarity(td.movies(spark, sf), threshold=REALTIME_SIM_THRESHOLD,
+                                      decimals=REALTIME_SIM_DECIMALS)
+
+
+def q_realtime_recs(spark: SparkSession, sf: str) -> DataFrame:
+    parts = td.realtime_inputs(spark, sf)
+    out = realtime.realtime_recs(parts["incoming"], parts["history"], parts["seen"],
+                                 realtime_sims(spark, sf))
+    return out.withColumn("score", F.round("score", REPORT_DECIMALS))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "history_hot": q_history_hot,
@@ -72,6 +92,8 @@ def all_queries() -> dict[str, Query]:
         "movie_tags": q_movie_tags,
         "content_similarity": q_content_similarity,
         "item_similarity": q_item_similarity,
+        "log_to_ratings": q_log_to_ratings,
+        "realtime_recs": q_realtime_recs,
     }
 
 
@@ -86,4 +108,6 @@ def all_oracles() -> dict[str, str]:
         "movie_tags": o.MOVIE_TAGS,
         "content_similarity": o.CONTENT_SIMILARITY,
         "item_similarity": o.ITEM_SIMILARITY,
+        "log_to_ratings": o.LOG_TO_RATINGS,
+        "realtime_recs": o.REALTIME_RECS,
     }
