@@ -216,3 +216,10 @@ SELECT event_id, uid, cand AS mid,
              + log10(greatest(count_if(sim > 0.7 AND r_score > 3.0), 1))
              - log10(greatest(count_if(sim > 0.7 AND r_score <= 3.0), 1)), 6) AS score
 FROM x GROUP BY event_id, uid, cand"""
+
+RMSE_ITEM_MEAN = with_(RATINGS_LI, """
+avg_s AS (SELECT mid, avg(score) AS prediction FROM ratings GROUP BY mid)""", """
+pred AS (SELECT p.uid, p.mid, a.prediction FROM (SELECT DISTINCT uid, mid FROM ratings) p
+         JOIN avg_s a ON a.mid = p.mid)""") + """
+SELECT round(sqrt(avg(pow(r.score - p.prediction, 2))), 6) AS rmse, count(*) AS n
+FROM ratings r JOIN pred p ON r.uid = p.uid AND r.mid = p.mid"""

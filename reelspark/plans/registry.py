@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspark.operators import content, logs, realtime, similarity, stats
+from reelspark.operators import content, factor, logs, realtime, similarity, stats
 from reelspark.sources import testdata as td
 
 # Reported floats are rounded so that Spark and the SQL oracle agree to the
@@ -82,6 +82,34 @@ def q_realtime_recs(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("score", F.round("score", REPORT_DECIMALS))
 
 
+def _als_model(spark: SparkSession, sf: str):
+    return factor.train_als(td.ratings_li(spark, sf))
+
+
+def q_als_user_recs(spark: SparkSession, sf: str) -> DataFrame:
+    return factor.als_user_recs(_als_model(spark, sf))
+
+
+def q_als_user_recs_cross(spark: SparkSession, sf: str) -> DataFrame:
+    return factor.als_user_recs_cross(_als_model(spark, sf), td.ratings_li(spark, sf))
+
+
+def q_als_item_similarity(spark: SparkSession, sf: str) -> DataFrame:
+    return factor.factor_similarity(_als_model(spark, sf))
+
+
+def q_rmse_item_mean(spark: SparkSession, sf: str) -> DataFrame:
+    """RMSE operator checked exactly: the item mean as the prediction."""
+    r = td.ratings_li(spark, sf)
+    avg = stats.average_score(r, ordered=False).withColumnRenamed("score", "prediction")
+    pred = r.select("uid", "mid").distinct().join(avg, "mid")
+    return factor.rmse(r, pred).select(F.round("rmse", REPORT_DECIMALS).alias("rmse"), "n")
+
+
+def q_als_grid_search(spark: SparkSession, sf: str) -> DataFrame:
+    return factor.als_grid_search(td.ratings_li(spark, sf))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "history_hot": q_history_hot,
@@ -94,6 +122,11 @@ def all_queries() -> dict[str, Query]:
         "item_similarity": q_item_similarity,
         "log_to_ratings": q_log_to_ratings,
         "realtime_recs": q_realtime_recs,
+        "als_user_recs": q_als_user_recs,
+        "als_user_recs_cross": q_als_user_recs_cross,
+        "als_item_similarity": q_als_item_similarity,
+        "rmse_item_mean": q_rmse_item_mean,
+        "als_grid_search": q_als_grid_search,
     }
 
 
@@ -110,4 +143,5 @@ def all_oracles() -> dict[str, str]:
         "item_similarity": o.ITEM_SIMILARITY,
         "log_to_ratings": o.LOG_TO_RATINGS,
         "realtime_recs": o.REALTIME_RECS,
+        "rmse_item_mean": o.RMSE_ITEM_MEAN,
     }
