@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH = F.lit("1970-01-01").cast("date")
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01").cast("date")
 
 
 def ntz_epoch_seconds(c: Column | str) -> Column:
     """Whole epoch seconds (floored) of a TIMESTAMP_NTZ column, as int."""
     c = F.col(c) if isinstance(c, str) else c
-    days = F.datediff(c.cast("date"), _EPOCH).cast("long")
+    days = F.datediff(c.cast("date"), _epoch()).cast("long")
     secs = days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
     return secs.cast("int")
 
@@ -24,5 +26,5 @@ def ntz_epoch_seconds(c: Column | str) -> Column:
 def epoch_to_yearmonth(c: Column | str) -> Column:
     """Epoch seconds -> ``yyyyMM`` as int, in UTC (1577836799 -> 201912)."""
     c = F.col(c) if isinstance(c, str) else c
-    day = F.date_add(_EPOCH, F.floor(c / 86400).cast("int"))
+    day = F.date_add(_epoch(), F.floor(c / 86400).cast("int"))
     return (F.year(day) * 100 + F.month(day)).cast("int")

@@ -223,3 +223,8 @@ pred AS (SELECT p.uid, p.mid, a.prediction FROM (SELECT DISTINCT uid, mid FROM r
          JOIN avg_s a ON a.mid = p.mid)""") + """
 SELECT round(sqrt(avg(pow(r.score - p.prediction, 2))), 6) AS rmse, count(*) AS n
 FROM ratings r JOIN pred p ON r.uid = p.uid AND r.mid = p.mid"""
+
+PACK_RECS = "WITH flat AS (" + GENRE_TOPN + """)
+SELECT genres, string_agg('(' || CAST(mid AS VARCHAR) || ',' || CAST(score AS VARCHAR) || ')', '|'
+                          ORDER BY rank) AS recs
+FROM flat GROUP BY genres"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark.operators import content, factor, logs, realtime, similarity, stats
+from reelspark.functions import lists
 from reelspark.sources import testdata as td
 
 # Reported floats are rounded so that Spark and the SQL oracle agree to the
@@ -110,6 +111,20 @@ def q_als_grid_search(spark: SparkSession, sf: str) -> DataFrame:
     return factor.als_grid_search(td.ratings_li(spark, sf))
 
 
+def q_pack_recs(spark: SparkSession, sf: str) -> DataFrame:
+    """Top-10 per genre packed as ``(mid,score)|...`` text, best first."""
+    flat = q_genre_topn(spark, sf)
+    grouped = lists.collect_ranked(flat, "genres", "mid", "score")
+    return grouped.select("genres", lists.pack_list(F.col("recs")).alias("recs"))
+
+
+def q_unpack_recs(spark: SparkSession, sf: str) -> DataFrame:
+    """Packed lists back to flat ranked rows (round trip of ``pack_recs``)."""
+    packed = q_pack_recs(spark, sf)
+    return lists.explode_ranked(packed.select("genres", lists.unpack_list(F.col("recs")).alias("recs")),
+                                "genres")
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "history_hot": q_history_hot,
@@ -127,6 +142,8 @@ def all_queries() -> dict[str, Query]:
         "als_item_similarity": q_als_item_similarity,
         "rmse_item_mean": q_rmse_item_mean,
         "als_grid_search": q_als_grid_search,
+        "pack_recs": q_pack_recs,
+        "unpack_recs": q_unpack_recs,
     }
 
 
@@ -144,4 +161,6 @@ def all_oracles() -> dict[str, str]:
         "log_to_ratings": o.LOG_TO_RATINGS,
         "realtime_recs": o.REALTIME_RECS,
         "rmse_item_mean": o.RMSE_ITEM_MEAN,
+        "pack_recs": o.PACK_RECS,
+        "unpack_recs": o.GENRE_TOPN,
     }
