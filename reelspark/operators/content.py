@@ -19,7 +19,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspark.operators.similarity import cosine_pairs, expand_groups
+from reelspark.operators.similarity import cosine_pairs
+from reelspark.operators.simsource import FactoredSims
 
 # Fixed values equal to the reference's.
 TFIDF_FEATURES = 50          # hashed feature dimension
@@ -45,6 +46,22 @@ def tfidf(movies: DataFrame, num_features: int = TFIDF_FEATURES) -> DataFrame:
                       vector_to_array("features").alias("tfidf"))
 
 
+def content_sim_source(movies: DataFrame, threshold: float = CONTENT_THRESHOLD,
+                       num_features: int = TFIDF_FEATURES, block_size: int = 2048,
+                       decimals: int | None = None) -> FactoredSims:
+    """Content similarity in factored form: ``members(mid, vkey)`` and cosine
+    pairs between distinct vectors (self-pairs included, so items sharing a
+    vector are neighbours with sim 1)."""
+    vec = tfidf(movies, num_features)
+    # Exact key of a distinct vector: its hashed term counts as text.
+    keyed = vec.select("mid", F.concat_ws(",", F.col("tf").cast("array<string>")).alias("vkey"),
+                       "tfidf")
+    distinct = keyed.select("vkey", "tfidf").distinct()
+    pairs = cosine_pairs(distinct, "vkey", "tfidf", threshold, block_size=block_size,
+                         include_self=True, both_directions=True)
+    return FactoredSims(keyed.select("mid", "vkey"), pairs, decimals)
+
+
 def content_similarity(movies: DataFrame, threshold: float = CONTENT_THRESHOLD,
                        num_features: int = TFIDF_FEATURES, block_size: int = 2048,
                        decimals: int | None = 9) -> DataFrame:
@@ -52,16 +69,7 @@ def content_similarity(movies: DataFrame, threshold: float = CONTENT_THRESHOLD,
 
     No self-pairs; two distinct items with the same non-zero vector pair with
     sim 1. ``decimals`` rounds the reported similarity (the filter uses the
-    unrounded value).
+    unrounded value). The expansion from vector pairs to item pairs is the
+    output itself; its size is the answer's size.
     """
-    vec = tfidf(movies, num_features)
-    # Exact key of a distinct vector: its hashed term counts as text.
-    keyed = vec.select("mid", F.concat_ws(",", F.col("tf").cast("array<string>")).alias("vkey"),
-                       "tfidf")
-    distinct = keyed.groupBy("vkey").agg(F.first("tfidf").alias("tfidf"))
-    pairs = cosine_pairs(distinct, "vkey", "tfidf", threshold, block_size=block_size,
-                         include_self=True, both_directions=True)
-    out = expand_groups(pairs, keyed.select("vkey", "mid"), "vkey", "mid")
-    if decimals is not None:
-        out = out.withColumn("sim", F.round("sim", decimals))
-    return out
+    return content_sim_source(movies, threshold, num_features, block_size, decimals).as_table()

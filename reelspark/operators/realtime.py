@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelspark.functions.lists import top_k
+from reelspark.operators.simsource import as_source
 
 # Fixed values equal to the reference's.
 N_RECENT = 20          # recent ratings per user
@@ -49,7 +50,7 @@ def recent_ratings(history: DataFrame, n_recent: int = N_RECENT,
     return ranked.select("uid", F.col("mid").alias("r_mid"), F.col("score").alias("r_score"))
 
 
-def realtime_recs(incoming: DataFrame, history: DataFrame, seen: DataFrame, sims: DataFrame,
+def realtime_recs(incoming: DataFrame, history: DataFrame, seen: DataFrame, sims,
                   n_recent: int = N_RECENT, n_candidates: int = N_CANDIDATES,
                   sim_strong: float = SIM_STRONG, like_score: float = LIKE_SCORE,
                   formula: str = "default") -> DataFrame:
@@ -57,17 +58,19 @@ def realtime_recs(incoming: DataFrame, history: DataFrame, seen: DataFrame, sims
 
     ``incoming`` = ``(event_id, uid, mid, ...)``; ``history`` =
     ``(uid, mid, score, timestamp[, event_id])``; ``seen`` = ``(uid, mid)``;
-    ``sims`` = ``(mid, sim_mid, sim)``. An incoming rating whose item has no
+    ``sims`` = a ``(mid, sim_mid, sim)`` DataFrame or a similarity source
+    (``reelspark.operators.simsource``). An incoming rating whose item has no
     similar unseen item, or whose user has no history, yields no row.
     ``formula='as_coded'`` returns the reference's nested logarithm
     ``log10(inc - log10(dec))``, NULL where the reference would fail.
     """
+    src = as_source(sims)
     ev = incoming.select("event_id", "uid", "mid")
     users = ev.select("uid").distinct()
     items = ev.select("mid").distinct()
 
     # 1. candidates: unseen similar items, top-N per event
-    sims_b = sims.join(items, "mid", "left_semi")
+    sims_b = src.neighbors(items)
     seen_b = seen.select("uid", F.col("mid").alias("cand")).join(users, "uid", "left_semi")
     cands = (ev.join(sims_b, "mid")
              .select("event_id", "uid", F.col("sim_mid").alias("cand"), "sim")
@@ -79,12 +82,8 @@ def realtime_recs(incoming: DataFrame, history: DataFrame, seen: DataFrame, sims
     recents = recent_ratings(history, n_recent, users)
 
     # 3. candidate x recent within the event, similarity lookup, aggregate
-    pair_sims = (sims.join(cands.select(F.col("cand").alias("mid")).distinct(), "mid", "left_semi")
-                 .select(F.col("mid").alias("cand"), F.col("sim_mid").alias("r_mid"),
-                         F.col("sim").alias("rsim")))
-    x = (cands.join(recents, "uid")
-         .join(pair_sims, ["cand", "r_mid"], "left")
-         .withColumn("rsim", F.coalesce("rsim", F.lit(0.0))))
+    x = src.pair_sims(cands.join(recents, "uid"), "cand", "r_mid", out="rsim")
+    x = x.withColumn("rsim", F.coalesce("rsim", F.lit(0.0)))
     strong = F.col("rsim") > sim_strong
     agg = x.groupBy("event_id", "uid", "cand").agg(
         F.avg(F.col("rsim") * F.col("r_score")).alias("base"),

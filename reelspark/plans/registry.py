@@ -71,8 +71,9 @@ def q_log_to_ratings(spark: SparkSession, sf: str) -> DataFrame:
     return logs.log_to_ratings(td.log_lines(spark, sf))
 
 
-def realtime_sims(spark: SparkSession, sf: str) -> DataFrame:
-    return content.content_similarity(td.movies(spark, sf), threshold=REALTIME_SIM_THRESHOLD,
+def realtime_sims(spark: SparkSession, sf: str):
+    """Content similarity source over the whole catalogue (factored form)."""
+    return content.content_sim_source(td.movies(spark, sf), threshold=REALTIME_SIM_THRESHOLD,
                                       decimals=REALTIME_SIM_DECIMALS)
 
 

@@ -40,7 +40,7 @@ def test_log_cleaning_stream_equals_batch(spark, tmp_dir):
 def test_realtime_stream_equals_batch_function(spark, tmp_dir):
     from reelspark.plans.registry import realtime_sims
     parts = td.realtime_inputs(spark, SF_SMALL)
-    sims = realtime_sims(spark, SF_SMALL).persist()
+    sims = realtime_sims(spark, SF_SMALL)
     msgs = parts["incoming"].select(
         F.concat_ws("|", "uid", "mid", F.col("score").cast("string"), "timestamp").alias("value"))
     bad = spark.createDataFrame([("x|2|4",), ("",)], "value string")
@@ -58,7 +58,6 @@ def test_realtime_stream_equals_batch_function(spark, tmp_dir):
     key = ["uid", "mid", F.round("score", 9).alias("score")]
     assert got.count() == want.count() > 0
     assert got.select(*key).exceptAll(want.select(*key)).count() == 0
-    sims.unpersist()
 
 
 def test_keyed_state_equals_window(spark, tmp_dir):
