@@ -69,13 +69,22 @@ def realtime_recs(incoming: DataFrame, history: DataFrame, seen: DataFrame, sims
     users = ev.select("uid").distinct()
     items = ev.select("mid").distinct()
 
-    # 1. candidates: unseen similar items, top-N per event
-    sims_b = src.neighbors(items)
-    seen_b = seen.select("uid", F.col("mid").alias("cand")).join(users, "uid", "left_semi")
-    cands = (ev.join(sims_b, "mid")
-             .select("event_id", "uid", F.col("sim_mid").alias("cand"), "sim")
+    # 1. candidates: unseen similar items, top-N per event.
+    # Neighbours of each batch item are ranked once (sim desc, id asc). The
+    # N best unseen neighbours of an event lie within the first
+    # N + |items seen by the user| ranks, so only those rows are joined to
+    # the event (exact; a user's seen list bounds the extra rows).
+    nb = top_k(src.neighbors(items), ["mid"], [F.desc("sim"), F.asc("sim_mid")], None,
+               rank="nrank")
+    seen_b = (seen.select("uid", F.col("mid").alias("cand")).join(users, "uid", "left_semi")
+              .distinct())
+    n_seen = seen_b.groupBy("uid").agg(F.count(F.lit(1)).alias("n_seen"))
+    lim = F.lit(n_candidates) + F.coalesce(F.col("n_seen"), F.lit(0))
+    cands = (ev.join(n_seen, "uid", "left").withColumn("lim", lim)
+             .join(nb, "mid").where(F.col("nrank") <= F.col("lim"))
+             .select("event_id", "uid", F.col("sim_mid").alias("cand"), "nrank")
              .join(seen_b, ["uid", "cand"], "left_anti"))
-    cands = top_k(cands, ["event_id"], [F.desc("sim"), F.asc("cand")], n_candidates,
+    cands = top_k(cands, ["event_id"], [F.asc("nrank")], n_candidates,
                   rank="c_rank").select("event_id", "uid", "cand")
 
     # 2. recents of the batch's users
