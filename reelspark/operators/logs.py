@@ -13,6 +13,19 @@ from pyspark.sql import functions as F
 from reelspark.functions.text import RATING_PREFIX, log_payload, parse_rating_message, rating_message_ok
 
 
+def with_once(df: DataFrame, **cols) -> DataFrame:
+    """Add derived columns that are evaluated exactly once per row.
+
+    A filter on a derived column is normally pushed below the projection by
+    substituting the column's definition, which copies the expression into
+    every predicate (measured: the log parse ran ~5x slower that way). A
+    one-element generator is a boundary Catalyst does not push through, so
+    each derived value is computed once and then referenced.
+    """
+    packed = F.struct(*[c.alias(n) for n, c in cols.items()])
+    return df.select("*", F.inline(F.array(packed)))
+
+
 def clean_log_lines(lines: DataFrame, value_col: str = "value", prefix: str = RATING_PREFIX,
                     keep_unmatched: bool = False) -> DataFrame:
     """Log lines -> rating message text in column ``message``.
@@ -26,15 +39,14 @@ def clean_log_lines(lines: DataFrame, value_col: str = "value", prefix: str = RA
         v = v.cast("string")
     payload = log_payload(v, prefix)
     if keep_unmatched:
-        return lines.withColumn("message", F.coalesce(payload, v))
-    return lines.withColumn("message", payload).where(F.col("message").isNotNull())
+        return with_once(lines, message=F.coalesce(payload, v))
+    return with_once(lines, message=payload).where(F.col("message").isNotNull())
 
 
 def parse_ratings(messages: DataFrame, message_col: str = "message") -> DataFrame:
     """Rating messages -> ``(uid, mid, score, timestamp)`` plus a ``valid`` flag."""
-    parsed = parse_rating_message(F.col(message_col)).alias("r")
-    return (messages.withColumn("_r", parsed)
-            .withColumn("valid", rating_message_ok(F.col("_r")))
+    parsed = with_once(messages, _r=parse_rating_message(F.col(message_col)))
+    return (parsed.withColumn("valid", rating_message_ok(F.col("_r")))
             .select("*", "_r.uid", "_r.mid", "_r.score", "_r.timestamp").drop("_r"))
 
 
