@@ -93,7 +93,9 @@ def genre_topn(movies: DataFrame, avg_scores: DataFrame, n: int = GENRE_TOP_N,
         pairs = rated.select(F.explode(split_genres("genres")).alias("genre"), "mid", "score")
     elif match == "substring":
         vocab = genre_vocabulary(movies)
-        strings = rated.select("genres").distinct()
+        # The mapping (genre string -> matching genres) is built from the
+        # catalogue alone, so the ratings are scanned once (for the means).
+        strings = movies.where(F.col("genres").isNotNull()).select("genres").distinct()
         mapping = _substring_matches(strings, vocab)
         pairs = rated.join(mapping, "genres").select("genre", "mid", "score")
     else:
