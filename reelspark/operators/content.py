@@ -47,7 +47,7 @@ def tfidf(movies: DataFrame, num_features: int = TFIDF_FEATURES) -> DataFrame:
 
 
 def content_sim_source(movies: DataFrame, threshold: float = CONTENT_THRESHOLD,
-                       num_features: int = TFIDF_FEATURES, block_size: int = 2048,
+                       num_features: int = TFIDF_FEATURES, block_size: int | None = None,
                        decimals: int | None = None) -> FactoredSims:
     """Content similarity in factored form: ``members(mid, vkey)`` and cosine
     pairs between distinct vectors (self-pairs included, so items sharing a
@@ -63,7 +63,7 @@ def content_sim_source(movies: DataFrame, threshold: float = CONTENT_THRESHOLD,
 
 
 def content_similarity(movies: DataFrame, threshold: float = CONTENT_THRESHOLD,
-                       num_features: int = TFIDF_FEATURES, block_size: int = 2048,
+                       num_features: int = TFIDF_FEATURES, block_size: int | None = None,
                        decimals: int | None = 9) -> DataFrame:
     """Ordered item pairs ``(mid, sim_mid, sim)`` with cosine ``> threshold``.
 

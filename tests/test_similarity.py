@@ -91,3 +91,12 @@ def test_hashing_matches_sql_murmur3(spark):
     for t in terms:
         if t:
             assert duck_b[t.lower()] == spark_b[t], t
+
+
+def test_block_count_rule():
+    from reelspark.operators.similarity import block_count
+    assert block_count(100, 8, block_size=7) == 15          # fixed size wins
+    assert block_count(20_000, 8) == 7                      # ~3 groups per slot
+    assert block_count(300, 8) == 2                          # blocks not below MIN_BLOCK
+    assert block_count(10_000_000, 8_000) == 220             # 45k vectors per block
+    assert block_count(10_000_000, 8) == 200                 # memory bound: <= 50k per block
