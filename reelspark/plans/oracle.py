@@ -64,14 +64,14 @@ rated AS (SELECT m.mid, m.genres, a.score FROM movies m JOIN avg_scores a ON m.m
           WHERE m.genres IS NOT NULL)""")
 
 GENRE_TOPN = _GENRE_BASE + """
-SELECT genres, rank, mid, score FROM (
+SELECT genres, CAST(rank AS INTEGER) AS rank, mid, score FROM (
   SELECT v.genre AS genres, r.mid, r.score,
          row_number() OVER (PARTITION BY v.genre ORDER BY r.score DESC, r.mid ASC) AS rank
   FROM vocab v JOIN rated r ON contains(r.genres, v.genre))
 WHERE rank <= 10"""
 
 GENRE_TOPN_TOKEN = _GENRE_BASE + """
-SELECT genres, rank, mid, score FROM (
+SELECT genres, CAST(rank AS INTEGER) AS rank, mid, score FROM (
   SELECT p.genre AS genres, p.mid, p.score,
          row_number() OVER (PARTITION BY p.genre ORDER BY p.score DESC, p.mid ASC) AS rank
   FROM (SELECT DISTINCT r.mid, r.score, trim(g) AS genre
