@@ -5,6 +5,12 @@ messages go to an optional rejects folder) -> ``foreachBatch`` running the
 batch scorer ``reelspark.operators.realtime.realtime_recs`` against the
 static side tables -> per-batch output.
 
+Side tables at scale: the rating history and the seen pairs are far larger
+than a micro-batch. ``write_side_table`` stores them partitioned by a hash
+bucket of ``uid``; each batch then reads only the buckets of its own users
+(static partition pruning on the bucket ids of the batch - a list bounded by
+the bucket count), instead of scanning both tables every few seconds.
+
 Exactly-once: every output (recommendations, rejects, history increments) is
 written to a ``batch_id=N`` partition with dynamic partition overwrite, so a
 batch replayed after a failure replaces its own earlier attempt instead of
@@ -23,6 +29,33 @@ from reelspark.operators.realtime import N_CANDIDATES, N_RECENT, realtime_recs
 from reelspark.streaming.sources import _trigger, read_lines
 
 
+USER_BUCKETS = 256
+BUCKET_COL = "uid_bucket"
+
+
+def user_bucket(uid_col: str = "uid", buckets: int = USER_BUCKETS):
+    return F.pmod(F.xxhash64(F.col(uid_col).cast("int")), F.lit(buckets)).cast("int")
+
+
+def write_side_table(df: DataFrame, path: str, buckets: int = USER_BUCKETS) -> None:
+    """Write a per-user side table (history, seen pairs) bucketed by user."""
+    (df.withColumn(BUCKET_COL, user_bucket("uid", buckets))
+     .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path))
+
+
+def prune_to_users(side: DataFrame, users: DataFrame, buckets: int = USER_BUCKETS) -> DataFrame:
+    """Rows of a bucketed side table whose bucket holds one of ``users``.
+
+    The distinct bucket ids of the batch (at most ``buckets`` ints) become a
+    partition filter, so the scan skips every other bucket folder. Tables
+    without the bucket column are returned unchanged.
+    """
+    if BUCKET_COL not in side.columns:
+        return side
+    ids = [r[0] for r in users.select(user_bucket("uid", buckets).alias("b")).distinct().collect()]
+    return side.where(F.col(BUCKET_COL).isin(ids)).drop(BUCKET_COL)
+
+
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     (df.withColumn("batch_id", F.lit(batch_id))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -49,7 +82,9 @@ def score_batch(batch: DataFrame, batch_id: int, history: Callable[[], DataFrame
         if rejects_path:
             _write_batch(parsed.where(~F.col("valid")).select("message"), rejects_path, batch_id)
         incoming = parsed.where("valid").select("event_id", "uid", "mid", "score", "timestamp")
-        recs = realtime_recs(incoming, history(), seen, sims, n_recent=n_recent,
+        hist_b = prune_to_users(history(), incoming)
+        seen_b = prune_to_users(seen, incoming)
+        recs = realtime_recs(incoming, hist_b, seen_b, sims, n_recent=n_recent,
                              n_candidates=n_candidates)
         _write_batch(recs, out_path, batch_id)
         if history_path:

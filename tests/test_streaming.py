@@ -6,7 +6,7 @@ from reelspark.operators.logs import log_to_ratings
 from reelspark.operators.realtime import realtime_recs, recent_ratings
 from reelspark.sources import testdata as td
 from reelspark.streaming.logs import start_log_cleaning
-from reelspark.streaming.realtime import start_realtime
+from reelspark.streaming.realtime import prune_to_users, start_realtime, write_side_table
 from reelspark.streaming.state import recent_ratings_state
 from tests.conftest import SF_SMALL
 
@@ -79,3 +79,31 @@ def test_keyed_state_equals_window(spark, tmp_dir):
     want = recent_ratings(hist, n_recent=5).select("uid", "r_mid")
     assert final.count() == want.count() > 0
     assert final.exceptAll(want).count() == 0
+
+
+def test_realtime_stream_with_bucketed_side_tables(spark, tmp_dir):
+    from reelspark.plans.registry import realtime_sims
+    parts = td.realtime_inputs(spark, SF_SMALL)
+    sims = realtime_sims(spark, SF_SMALL)
+    hist_path, seen_path = os.path.join(tmp_dir, "hist"), os.path.join(tmp_dir, "seen")
+    write_side_table(parts["history"], hist_path)
+    write_side_table(parts["seen"], seen_path)
+    hist, seen = spark.read.parquet(hist_path), spark.read.parquet(seen_path)
+    # a batch touching two users reads only their bucket folders
+    users = spark.createDataFrame([(3,), (77,)], "uid int")
+    plan = prune_to_users(hist, users)._jdf.queryExecution().executedPlan().toString()
+    assert "uid_bucket IN" in plan or "uid_bucket#" in plan and " IN (" in plan
+    msgs = parts["incoming"].select(
+        F.concat_ws("|", "uid", "mid", F.col("score").cast("string"), "timestamp").alias("value"))
+    src = os.path.join(tmp_dir, "msgs")
+    write_text_files(spark, msgs, src, 2)
+    out, ck = os.path.join(tmp_dir, "recs"), os.path.join(tmp_dir, "ck")
+    q = start_realtime(spark, {"format": "text", "path": src, "max_files_per_trigger": 1},
+                       lambda: hist, seen, sims, out, ck, trigger={"availableNow": True})
+    q.awaitTermination(300)
+    got = spark.read.parquet(out)
+    want = realtime_recs(parts["incoming"], parts["history"], parts["seen"], sims)
+    key = ["uid", "mid", F.round("score", 9).alias("score")]
+    assert got.select("batch_id").distinct().count() == 2
+    assert got.count() == want.count() > 0
+    assert got.select(*key).exceptAll(want.select(*key)).count() == 0
