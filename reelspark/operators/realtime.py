@@ -108,3 +108,16 @@ def realtime_recs(incoming: DataFrame, history: DataFrame, seen: DataFrame, sims
     else:
         raise ValueError(f"unknown formula {formula!r}")
     return agg.select("event_id", "uid", F.col("cand").alias("mid"), score.alias("score"))
+
+
+def realtime_lists(recs: DataFrame) -> DataFrame:
+    """Per-event result rows as stored by the reference: ``(event_id, uid,
+    movies)`` with ``movies`` = ``(mid,score)|...``, best score first (ties:
+    lower id). Each list holds at most ``n_candidates`` entries, so packing a
+    group into one row is bounded."""
+    from reelspark.functions.lists import collect_ranked, pack_list
+    ranked = top_k(recs, ["event_id"], [F.desc("score"), F.asc("mid")], None)
+    lists = collect_ranked(ranked, "event_id", "mid", "score")
+    users = recs.select("event_id", "uid").distinct()
+    return users.join(lists, "event_id").select("event_id", "uid",
+                                                pack_list(F.col("recs")).alias("movies"))

@@ -84,6 +84,23 @@ SELECT m.mid, m.name, m.genres, t.tags FROM movies m LEFT JOIN (
   FROM tags WHERE tag IS NOT NULL GROUP BY mid) t ON m.mid = t.mid"""
 
 
+def java_double_text(x: str) -> str:
+    """SQL text of a DOUBLE as the JVM prints it (``Double.toString``) for
+    |x| < 1e7: plain decimal from 1e-3 up, ``d.dddE-n`` below. The digits
+    are DuckDB's shortest round-trip digits."""
+    a = f"CAST(abs({x}) AS VARCHAR)"
+    sci_m = f"replace(split_part({a}, 'e', 1), '.', '')"
+    sci = (f"left({sci_m}, 1) || '.' || coalesce(nullif(substr({sci_m}, 2), ''), '0') || 'E' || "
+           f"CAST(CAST(split_part({a}, 'e', 2) AS INTEGER) AS VARCHAR)")
+    frac = f"split_part({a}, '.', 2)"
+    digits = f"ltrim({frac}, '0')"
+    plain = (f"left({digits}, 1) || '.' || coalesce(nullif(substr({digits}, 2), ''), '0') || 'E-' || "
+             f"CAST(length({frac}) - length({digits}) + 1 AS VARCHAR)")
+    return (f"(CASE WHEN {x} = 0 OR abs({x}) >= 0.001 THEN CAST({x} AS VARCHAR) "
+            f"ELSE (CASE WHEN {x} < 0 THEN '-' ELSE '' END) || "
+            f"(CASE WHEN contains({a}, 'e') THEN {sci} ELSE {plain} END) END)")
+
+
 # ---- hashed TF-IDF (independent murmur3-32, seed 42, as HashingTF uses) ----
 
 _M = "4294967296"
@@ -225,6 +242,12 @@ SELECT round(sqrt(avg(pow(r.score - p.prediction, 2))), 6) AS rmse, count(*) AS
 FROM ratings r JOIN pred p ON r.uid = p.uid AND r.mid = p.mid"""
 
 PACK_RECS = "WITH flat AS (" + GENRE_TOPN + """)
-SELECT genres, string_agg('(' || CAST(mid AS VARCHAR) || ',' || CAST(score AS VARCHAR) || ')', '|'
+SELECT genres, string_agg('(' || CAST(mid AS VARCHAR) || ',' || """ + java_double_text("score") + """ || ')', '|'
                           ORDER BY rank) AS recs
 FROM flat GROUP BY genres"""
+
+REALTIME_LISTS = "WITH recs AS (" + REALTIME_RECS + """)
+SELECT event_id, uid,
+       string_agg('(' || CAST(mid AS VARCHAR) || ',' || """ + java_double_text("score") + """ || ')', '|'
+                  ORDER BY score DESC, mid ASC) AS movies
+FROM recs GROUP BY event_id, uid"""

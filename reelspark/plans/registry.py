@@ -84,6 +84,11 @@ def q_realtime_recs(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("score", F.round("score", REPORT_DECIMALS))
 
 
+def q_realtime_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Real-time results packed per event, as the reference stores them."""
+    return realtime.realtime_lists(q_realtime_recs(spark, sf))
+
+
 def _als_model(spark: SparkSession, sf: str):
     return factor.train_als(td.ratings_li(spark, sf))
 
@@ -138,6 +143,7 @@ def all_queries() -> dict[str, Query]:
         "item_similarity": q_item_similarity,
         "log_to_ratings": q_log_to_ratings,
         "realtime_recs": q_realtime_recs,
+        "realtime_lists": q_realtime_lists,
         "als_user_recs": q_als_user_recs,
         "als_user_recs_cross": q_als_user_recs_cross,
         "als_item_similarity": q_als_item_similarity,
@@ -161,6 +167,7 @@ def all_oracles() -> dict[str, str]:
         "item_similarity": o.ITEM_SIMILARITY,
         "log_to_ratings": o.LOG_TO_RATINGS,
         "realtime_recs": o.REALTIME_RECS,
+        "realtime_lists": o.REALTIME_LISTS,
         "rmse_item_mean": o.RMSE_ITEM_MEAN,
         "pack_recs": o.PACK_RECS,
         "unpack_recs": o.GENRE_TOPN,

@@ -64,3 +64,18 @@ def test_ntz_epoch_seconds_zone_free(spark):
             assert df.select(ntz_epoch_seconds("t")).first()[0] == 1577836800
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_sql_java_double_text_matches_spark(spark):
+    import duckdb
+
+    from reelspark.plans.oracle import java_double_text
+    vals = [0.00057, 1e-6, 0.000123, -0.0005, 0.001, 0.0009999, 1e-4, 3.5, -0.25, 0.0,
+            1.5e-7, 2.2e-5, 1.666667, 123456.789]
+    con = duckdb.connect()
+    duck = [r[0] for r in con.execute(
+        "SELECT " + java_double_text("x") + " FROM (VALUES " +
+        ",".join(f"({i}, {v!r}::DOUBLE)" for i, v in enumerate(vals)) + ") t(i, x) ORDER BY i").fetchall()]
+    jvm = [r[0] for r in spark.createDataFrame([(v,) for v in vals], "x double")
+           .select(F.col("x").cast("string")).collect()]
+    assert duck == jvm
