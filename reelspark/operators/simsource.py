@@ -25,7 +25,7 @@ class TableSims:
         self.table = table.select("mid", "sim_mid", "sim")
 
     def neighbors(self, items: DataFrame) -> DataFrame:
-        return self.table.join(items.select("mid").distinct(), "mid", "left_semi")
+        return self.table.join(items.select("mid"), "mid", "left_semi")
 
     def pair_sims(self, pairs: DataFrame, a: str, b: str, out: str = "sim") -> DataFrame:
         t = self.table.select(F.col("mid").alias(a), F.col("sim_mid").alias(b), F.col("sim").alias(out))
@@ -48,7 +48,7 @@ class FactoredSims:
         self.vpairs = vpairs.select("id_a", "id_b", sim.alias("sim"))
 
     def neighbors(self, items: DataFrame) -> DataFrame:
-        src = self.members.join(items.select("mid").distinct(), "mid", "left_semi")
+        src = self.members.join(items.select("mid"), "mid", "left_semi")
         a = src.select("mid", F.col("vkey").alias("id_a"))
         b = self.members.select(F.col("mid").alias("sim_mid"), F.col("vkey").alias("id_b"))
         return (a.join(self.vpairs, "id_a").join(b, "id_b")
