@@ -64,7 +64,16 @@ class FactoredSims:
         return looked.withColumn(out, sim).drop("id_a", "id_b", *([] if out == "sim" else ["sim"]))
 
     def as_table(self) -> DataFrame:
-        return self.neighbors(self.members.select("mid"))
+        """The full item x item table. Its size is the output's size, far
+        above the inputs', so the catalogue side is first spread over every
+        task slot (a catalogue-sized exchange that AQE does not coalesce):
+        each slot then expands its share against the broadcast vector pairs."""
+        par = self.members.sparkSession.sparkContext.defaultParallelism
+        a = self.members.repartition(par).select("mid", F.col("vkey").alias("id_a"))
+        b = self.members.select(F.col("mid").alias("sim_mid"), F.col("vkey").alias("id_b"))
+        return (a.join(self.vpairs, "id_a").join(b, "id_b")
+                .where(F.col("mid") != F.col("sim_mid"))
+                .select("mid", "sim_mid", "sim"))
 
 
 def as_source(sims) -> TableSims | FactoredSims:
