@@ -53,7 +53,7 @@ def recent_ratings(history: DataFrame, n_recent: int = N_RECENT,
 def realtime_recs(incoming: DataFrame, history: DataFrame, seen: DataFrame, sims,
                   n_recent: int = N_RECENT, n_candidates: int = N_CANDIDATES,
                   sim_strong: float = SIM_STRONG, like_score: float = LIKE_SCORE,
-                  formula: str = "default") -> DataFrame:
+                  formula: str = "default", spread: bool = True) -> DataFrame:
     """Score candidates for each incoming rating: ``(event_id, uid, mid, score)``.
 
     ``incoming`` = ``(event_id, uid, mid, ...)``; ``history`` =
@@ -92,7 +92,14 @@ def realtime_recs(incoming: DataFrame, history: DataFrame, seen: DataFrame, sims
     # 2. recents of the batch's users
     recents = recent_ratings(history, n_recent, users)
 
-    # 3. candidate x recent within the event, similarity lookup, aggregate
+    # 3. candidate x recent within the event, similarity lookup, aggregate.
+    # The candidate rows are few next to what they expand to (x n_recent, then
+    # the similarity lookups), so they are spread over every task slot by
+    # event; the final per-(event, candidate) aggregate reuses that
+    # partitioning without another exchange.
+    if spread:
+        par = incoming.sparkSession.sparkContext.defaultParallelism
+        cands = cands.repartition(par, "event_id")
     x = src.pair_sims(cands.join(recents, "uid"), "cand", "r_mid", out="rsim")
     x = x.withColumn("rsim", F.coalesce("rsim", F.lit(0.0)))
     strong = F.col("rsim") > sim_strong
