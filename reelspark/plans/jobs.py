@@ -12,6 +12,9 @@ Usage::
     python -m reelspark.plans.jobs lfm        --source parquet:/data/raw --sink parquet:/data/out
     python -m reelspark.plans.jobs content    --source parquet:/data/raw --sink parquet:/data/out
     python -m reelspark.plans.jobs load --movies m.csv --ratings r.csv --tags t.csv --sink parquet:/data/raw
+    python -m reelspark.plans.jobs log-clean --source text:/logs --sink parquet:/msgs --checkpoint /ck/logs
+    python -m reelspark.plans.jobs realtime --source text:/msgs --tables parquet:/data/raw \
+        --sink parquet:/data/out --checkpoint /ck/rt
 
 Tables are read with ``read_table`` (Parquet folders or JDBC) - the job never
 caches an input whole: each output needs two or three columns of the ratings
@@ -97,6 +100,32 @@ def _similarity_lists(sims: DataFrame, packed: bool, top_n: int | None) -> DataF
     return _packed(ranked, "mid", "sim_mid", "sim")
 
 
+def log_clean_job(spark: SparkSession, source: dict, sink: dict, checkpoint: str,
+                  trigger: dict | None = None):
+    """Stream: log lines -> rating messages (one text line each)."""
+    from reelspark.streaming.logs import start_log_cleaning
+    return start_log_cleaning(spark, source, sink, checkpoint, trigger)
+
+
+def realtime_job(spark: SparkSession, source: dict, tables: dict, sink: dict, checkpoint: str,
+                 trigger: dict | None = None):
+    """Stream: rating messages -> per-event recommendations.
+
+    Side tables come from ``tables``: the rating history (``rec_rating``,
+    bucketed by user if written with ``write_side_table``), the seen pairs
+    (the same ratings) and the similarity between movies (content similarity
+    of ``rec_movie``, threshold 0.6, kept in factored form). Results go to
+    ``<sink>/rec_real_time/batch_id=N``.
+    """
+    from reelspark.streaming.realtime import start_realtime
+    ratings = read_table(spark, T_RATING, tables)
+    seen = ratings.select("uid", "mid", *(["uid_bucket"] if "uid_bucket" in ratings.columns else []))
+    sims = content.content_sim_source(read_table(spark, T_MOVIE, tables), threshold=0.6, decimals=9)
+    out = f"{sink['path'].rstrip('/')}/{T_REAL_TIME}"
+    return start_realtime(spark, source, lambda: ratings, seen, sims, out, checkpoint,
+                          rejects_path=out + "_rejects", trigger=trigger)
+
+
 def _target(spec: str) -> dict:
     fmt, _, path = spec.partition(":")
     return {"format": fmt, "path": path}
@@ -105,7 +134,10 @@ def _target(spec: str) -> dict:
 def main(argv: list[str] | None = None) -> None:
     from reelspark.session import build_session
     ap = argparse.ArgumentParser(prog="reelspark.plans.jobs")
-    ap.add_argument("job", choices=["load", "statistics", "lfm", "content"])
+    ap.add_argument("job", choices=["load", "statistics", "lfm", "content", "log-clean", "realtime"])
+    ap.add_argument("--tables", help="side tables of the realtime job")
+    ap.add_argument("--checkpoint", help="stream checkpoint folder (shared storage)")
+    ap.add_argument("--once", action="store_true", help="process what is available, then stop")
     ap.add_argument("--source", default=None)
     ap.add_argument("--sink", required=True)
     ap.add_argument("--movies")
@@ -123,6 +155,15 @@ def main(argv: list[str] | None = None) -> None:
         lfm_job(spark, _target(args.source), sink, packed=False if args.flat else True)
     elif args.job == "content":
         content_job(spark, _target(args.source), sink)
+    elif args.job in ("log-clean", "realtime"):
+        src = _target(args.source)
+        src = {"format": src["format"], "path": src["path"]}
+        trigger = {"availableNow": True} if args.once else None
+        if args.job == "log-clean":
+            q = log_clean_job(spark, src, sink, args.checkpoint, trigger)
+        else:
+            q = realtime_job(spark, src, _target(args.tables), sink, args.checkpoint, trigger)
+        q.awaitTermination()
     spark.stop()
 
 

@@ -36,3 +36,24 @@ def test_load_statistics_lfm_content_jobs(spark, tmp_dir):
 
     jobs.content_job(spark, src, out)
     assert read_table(spark, jobs.T_CONTENT_RECS, out).count() > 0
+
+
+def test_stream_jobs_once(spark, tmp_dir):
+    from reelspark.sources.files import write_table
+    raw = {"format": "parquet", "path": os.path.join(tmp_dir, "tables")}
+    write_table(td.movies(spark, SF_SMALL), jobs.T_MOVIE, raw)
+    write_table(td.ratings_ev(spark, SF_SMALL).drop("event_id"), jobs.T_RATING, raw)
+    logs = os.path.join(tmp_dir, "logs")
+    td.log_lines(spark, SF_SMALL).select("value").write.text(logs)
+    msgs = {"format": "text", "path": os.path.join(tmp_dir, "msgs")}
+    q = jobs.log_clean_job(spark, {"format": "text", "path": logs}, msgs,
+                           os.path.join(tmp_dir, "ck1"), {"availableNow": True})
+    q.awaitTermination(300)
+    n_msgs = spark.read.text(msgs["path"]).count()
+    assert n_msgs == td.log_lines(spark, SF_SMALL).where("value LIKE '%MOVIE_RATING_PREFIX:%'").count()
+    out = {"format": "parquet", "path": os.path.join(tmp_dir, "out")}
+    q = jobs.realtime_job(spark, msgs, raw, out, os.path.join(tmp_dir, "ck2"), {"availableNow": True})
+    q.awaitTermination(300)
+    recs = spark.read.parquet(os.path.join(out["path"], jobs.T_REAL_TIME))
+    assert set(recs.columns) >= {"event_id", "uid", "mid", "score", "batch_id"}
+    assert recs.count() > 0
