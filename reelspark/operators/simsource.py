@@ -21,8 +21,17 @@ from pyspark.sql import functions as F
 
 
 class TableSims:
-    def __init__(self, table: DataFrame):
-        self.table = table.select("mid", "sim_mid", "sim")
+    """Lookups against a materialised ``(mid, sim_mid, sim)`` table.
+
+    ``dedupe=True`` keeps one row per ordered pair, as a lookup map would
+    (the reference builds a map, so a repeated pair keeps a single value);
+    it costs a shuffle of the table, so long-running streams should dedupe
+    and persist the static table once rather than per batch.
+    """
+
+    def __init__(self, table: DataFrame, dedupe: bool = False):
+        t = table.select("mid", "sim_mid", "sim")
+        self.table = t.dropDuplicates(["mid", "sim_mid"]) if dedupe else t
 
     def neighbors(self, items: DataFrame) -> DataFrame:
         return self.table.join(items.select("mid"), "mid", "left_semi")
@@ -76,5 +85,13 @@ class FactoredSims:
                 .select("mid", "sim_mid", "sim"))
 
 
+def sims_from_packed(packed: DataFrame, key: str = "mid", recs: str = "recs") -> DataFrame:
+    """A stored similarity table ``(mid, '(mid,sim)|(mid,sim)|...')`` back to
+    flat ``(mid, sim_mid, sim)`` rows (malformed entries are dropped)."""
+    from reelspark.functions.lists import explode_ranked, unpack_list
+    lists = packed.select(F.col(key).alias("mid"), unpack_list(F.col(recs)).alias("recs"))
+    return explode_ranked(lists, "mid", item="sim_mid", score="sim").select("mid", "sim_mid", "sim")
+
+
 def as_source(sims) -> TableSims | FactoredSims:
     return sims if isinstance(sims, (TableSims, FactoredSims)) else TableSims(sims)

@@ -65,3 +65,14 @@ def test_recent_ratings_order_and_cut(spark):
     # newest timestamps are 114 (events 28, 29) then 113 (26, 27); ties by event id desc
     assert [(r["r_mid"]) for r in rec] and len(rec) == 3
     assert sorted(r["r_mid"] for r in rec) == sorted([29 % 5, 28 % 5, 27 % 5])
+
+
+def test_sims_from_packed_and_dedupe(spark):
+    from reelspark.operators.simsource import TableSims, sims_from_packed
+    packed = spark.createDataFrame([(1, "(2,0.9)|(3,0.8)"), (2, "(1,0.9)|(bad)")], "mid int, recs string")
+    flat = sims_from_packed(packed)
+    assert sorted(tuple(r) for r in flat.collect()) == [(1, 2, 0.9), (1, 3, 0.8), (2, 1, 0.9)]
+    dup = flat.unionByName(flat)
+    pairs = spark.createDataFrame([(1, 2), (1, 9)], "a int, b int")
+    got = TableSims(dup, dedupe=True).pair_sims(pairs, "a", "b").collect()
+    assert sorted((r["a"], r["b"], r["sim"]) for r in got) == [(1, 2, 0.9), (1, 9, None)]
