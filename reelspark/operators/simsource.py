@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelspark.session import checkpoint_dir
+
 
 class TableSims:
     """Lookups against a materialised ``(mid, sim_mid, sim)`` table.
@@ -33,6 +35,12 @@ class TableSims:
         t = table.select("mid", "sim_mid", "sim")
         self.table = t.dropDuplicates(["mid", "sim_mid"]) if dedupe else t
 
+    def materialize(self) -> "TableSims":
+        """Compute the table once and cut its lineage (reliable checkpoint in
+        the session's checkpoint folder), for use by every micro-batch."""
+        checkpoint_dir(self.table.sparkSession)
+        return TableSims(self.table.checkpoint(eager=True))
+
     def neighbors(self, items: DataFrame) -> DataFrame:
         return self.table.join(items.select("mid"), "mid", "left_semi")
 
@@ -56,6 +64,12 @@ class FactoredSims:
         sim = F.round("sim", decimals) if decimals is not None else F.col("sim")
         self.vpairs = vpairs.select("id_a", "id_b", sim.alias("sim"))
 
+    def materialize(self) -> "FactoredSims":
+        """Compute members and vector pairs once (reliable checkpoints), so a
+        stream does not redo the TF-IDF and block products per batch."""
+        checkpoint_dir(self.members.sparkSession)
+        return FactoredSims(self.members.checkpoint(eager=True), self.vpairs.checkpoint(eager=True))
+
     def neighbors(self, items: DataFrame) -> DataFrame:
         src = self.members.join(items.select("mid"), "mid", "left_semi")
         a = src.select("mid", F.col("vkey").alias("id_a"))

@@ -120,7 +120,8 @@ def realtime_job(spark: SparkSession, source: dict, tables: dict, sink: dict, ch
     from reelspark.streaming.realtime import start_realtime
     ratings = read_table(spark, T_RATING, tables)
     seen = ratings.select("uid", "mid", *(["uid_bucket"] if "uid_bucket" in ratings.columns else []))
-    sims = content.content_sim_source(read_table(spark, T_MOVIE, tables), threshold=0.6, decimals=9)
+    sims = content.content_sim_source(read_table(spark, T_MOVIE, tables), threshold=0.6,
+                                      decimals=9).materialize()
     out = f"{sink['path'].rstrip('/')}/{T_REAL_TIME}"
     return start_realtime(spark, source, lambda: ratings, seen, sims, out, checkpoint,
                           rejects_path=out + "_rejects", trigger=trigger)
