@@ -1,0 +1,35 @@
+"""The driver may import __spark_entry__ from any working directory. Python
+workers then cannot import this package from their cwd, so every pandas-UDF
+body must be self-contained (pickled by value). Run the UDF-backed queries in
+a subprocess started elsewhere."""
+
+import os
+import subprocess
+import sys
+import tempfile
+
+from tests.conftest import ROOT, SF_SMALL
+
+SCRIPT = f"""
+import importlib.util
+spec = importlib.util.spec_from_file_location("entry", {os.path.join(ROOT, "__spark_entry__.py")!r})
+E = importlib.util.module_from_spec(spec); spec.loader.exec_module(E)
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "4").getOrCreate())
+spark.sparkContext.setLogLevel("ERROR")
+for q in ["item_similarity", "content_similarity", "realtime_recs", "als_user_recs_cross",
+          "als_item_similarity"]:
+    n = E.queries()[q](spark, {SF_SMALL!r}).count()
+    print("OK", q, n, flush=True)
+spark.stop()
+"""
+
+
+def test_udf_queries_run_from_another_directory():
+    cwd = tempfile.mkdtemp(prefix="reelspark-cwd-")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", SCRIPT], cwd=cwd, env=env, capture_output=True,
+                         text=True, timeout=900)
+    oks = [line for line in out.stdout.splitlines() if line.startswith("OK ")]
+    assert len(oks) == 5, out.stdout[-2000:] + out.stderr[-3000:]
