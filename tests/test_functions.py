@@ -79,3 +79,14 @@ def test_sql_java_double_text_matches_spark(spark):
     jvm = [r[0] for r in spark.createDataFrame([(v,) for v in vals], "x double")
            .select(F.col("x").cast("string")).collect()]
     assert duck == jvm
+
+
+def test_clean_log_lines_keep_unmatched_and_bytes(spark):
+    from reelspark.operators.logs import clean_log_lines
+    pre = "MOVIE_RATING_PREFIX:"
+    df = spark.createDataFrame([(bytearray(f"INFO {pre}1|2|3.0|4".encode()),),
+                                (bytearray(b"INFO heartbeat"),)], "value binary")
+    kept = [r["message"] for r in clean_log_lines(df, keep_unmatched=True).collect()]
+    assert kept == ["1|2|3.0|4", "INFO heartbeat"]
+    dropped = [r["message"] for r in clean_log_lines(df).collect()]
+    assert dropped == ["1|2|3.0|4"]
