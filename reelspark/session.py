@@ -7,7 +7,6 @@ shared folder used to cut lineage (ALS iterations, split inputs, stream state).
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -70,10 +69,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "spark.checkpoint.dir is not set: give the job a shared folder "
         "(HDFS/S3/...) so lineage can be cut reliably")
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
