@@ -102,6 +102,13 @@ def test_realtime_stream_with_bucketed_side_tables(spark, tmp_dir):
                        lambda: hist, seen, sims, out, ck, trigger={"availableNow": True})
     q.awaitTermination(300)
     got = spark.read.parquet(out)
+    n_first = got.count()
+    # restart from the checkpoint: no new input, no new batch, same output
+    q = start_realtime(spark, {"format": "text", "path": src, "max_files_per_trigger": 1},
+                       lambda: hist, seen, sims, out, ck, trigger={"availableNow": True})
+    q.awaitTermination(300)
+    got = spark.read.parquet(out)
+    assert got.count() == n_first
     want = realtime_recs(parts["incoming"], parts["history"], parts["seen"], sims)
     key = ["uid", "mid", F.round("score", 9).alias("score")]
     assert got.select("batch_id").distinct().count() == 2
