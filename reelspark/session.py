@@ -69,3 +69,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "spark.checkpoint.dir is not set: give the job a shared folder "
         "(HDFS/S3/...) so lineage can be cut reliably")
+
+
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a large cluster run, sized from the input volume.
+
+    Shuffles start with enough partitions that each holds about
+    ``target_partition_bytes`` of the largest input (e.g. 100 TB -> ~400k),
+    never fewer than 3 per core; AQE then coalesces small ones and splits
+    skewed ones, so partitions stay within executor memory instead of
+    spilling. File splits match the target size; broadcast stays bounded by
+    a fixed measured-size threshold.
+    """
+    initial = max(3 * cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
