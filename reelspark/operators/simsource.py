@@ -16,11 +16,19 @@ actually read).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelspark.session import checkpoint_dir
 
+BUCKET_COL = "a_bucket"
+
+
+def _bucket(col: str, buckets: int):
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
+
 
 class TableSims:
     """Lookups against a materialised ``(mid, sim_mid, sim)`` table.
@@ -59,22 +67,40 @@ class FactoredSims:
     items with the same vector are neighbours.
     """
 
-    def __init__(self, members: DataFrame, vpairs: DataFrame, decimals: int | None = None):
+    def __init__(self, members: DataFrame, vpairs: DataFrame, decimals: int | None = None,
+                 buckets: int | None = None):
         self.members = members.select("mid", "vkey")
         sim = F.round("sim", decimals) if decimals is not None else F.col("sim")
-        self.vpairs = vpairs.select("id_a", "id_b", sim.alias("sim"))
-
-    def materialize(self) -> "FactoredSims":
-        """Compute members and vector pairs once (reliable checkpoints), so a
-        stream does not redo the TF-IDF and block products per batch."""
-        checkpoint_dir(self.members.sparkSession)
-        return FactoredSims(self.members.checkpoint(eager=True), self.vpairs.checkpoint(eager=True))
+        extra = [BUCKET_COL] if buckets else []
+        self.vpairs = vpairs.select("id_a", "id_b", sim.alias("sim"), *extra)
+        self.buckets = buckets
+
+    def materialize(self, path: str | None = None, buckets: int = 256) -> "FactoredSims":
+        """Compute members and vector pairs once, so a stream does not redo the
+        TF-IDF and block products per batch. Members get a reliable
+        checkpoint; vector pairs are written to ``path`` (default: a folder in
+        the session's checkpoint dir) partitioned by a hash bucket of
+        ``id_a``, and every later lookup reads only the buckets it needs."""
+        spark = self.members.sparkSession
+        root = checkpoint_dir(spark)
+        path = path or f"{root.rstrip('/')}/factored-sims-{uuid.uuid4().hex}"
+        (self.vpairs.withColumn(BUCKET_COL, _bucket("id_a", buckets))
+         .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path))
+        return FactoredSims(self.members.checkpoint(eager=True), spark.read.parquet(path),
+                            buckets=buckets)
+
+    def _pairs_for(self, vkeys: DataFrame) -> DataFrame:
+        """Vector pairs whose ``id_a`` may be in ``vkeys`` (bucket-pruned)."""
+        if not self.buckets:
+            return self.vpairs
+        ids = [r[0] for r in vkeys.select(_bucket("vkey", self.buckets).alias("b")).distinct().collect()]
+        return self.vpairs.where(F.col(BUCKET_COL).isin(ids)).drop(BUCKET_COL)
 
     def neighbors(self, items: DataFrame) -> DataFrame:
         src = self.members.join(items.select("mid"), "mid", "left_semi")
         a = src.select("mid", F.col("vkey").alias("id_a"))
         b = self.members.select(F.col("mid").alias("sim_mid"), F.col("vkey").alias("id_b"))
-        return (a.join(self.vpairs, "id_a").join(b, "id_b")
+        return (a.join(self._pairs_for(src.select("vkey")), "id_a").join(b, "id_b")
                 .where(F.col("mid") != F.col("sim_mid"))
                 .select("mid", "sim_mid", "sim"))
 
@@ -82,7 +108,8 @@ class FactoredSims:
         ma = self.members.select(F.col("mid").alias(a), F.col("vkey").alias("id_a"))
         mb = self.members.select(F.col("mid").alias(b), F.col("vkey").alias("id_b"))
         keyed = pairs.join(ma, a, "left").join(mb, b, "left")
-        looked = keyed.join(self.vpairs, ["id_a", "id_b"], "left")
+        vp = self._pairs_for(self.members.join(pairs.select(F.col(a).alias("mid")), "mid", "left_semi"))
+        looked = keyed.join(vp, ["id_a", "id_b"], "left")
         sim = F.when(F.col(a) != F.col(b), F.col("sim"))
         return looked.withColumn(out, sim).drop("id_a", "id_b", *([] if out == "sim" else ["sim"]))
 
@@ -94,7 +121,8 @@ class FactoredSims:
         par = self.members.sparkSession.sparkContext.defaultParallelism
         a = self.members.repartition(par).select("mid", F.col("vkey").alias("id_a"))
         b = self.members.select(F.col("mid").alias("sim_mid"), F.col("vkey").alias("id_b"))
-        return (a.join(self.vpairs, "id_a").join(b, "id_b")
+        vp = self.vpairs.drop(BUCKET_COL) if self.buckets else self.vpairs
+        return (a.join(vp, "id_a").join(b, "id_b")
                 .where(F.col("mid") != F.col("sim_mid"))
                 .select("mid", "sim_mid", "sim"))
 

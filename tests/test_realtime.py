@@ -76,3 +76,20 @@ def test_sims_from_packed_and_dedupe(spark):
     pairs = spark.createDataFrame([(1, 2), (1, 9)], "a int, b int")
     got = TableSims(dup, dedupe=True).pair_sims(pairs, "a", "b").collect()
     assert sorted((r["a"], r["b"], r["sim"]) for r in got) == [(1, 2, 0.9), (1, 9, None)]
+
+
+def test_materialized_factored_sims_equal_lazy(spark):
+    from reelspark.operators import content
+    from reelspark.sources import testdata as td
+    from tests.conftest import SF_SMALL
+    lazy = content.content_sim_source(td.movies(spark, SF_SMALL), 0.6, decimals=9)
+    mat = lazy.materialize(buckets=16)
+    items = spark.createDataFrame([(i,) for i in range(0, 200, 7)], "mid int")
+    key = ["mid", "sim_mid", "sim"]
+    assert mat.neighbors(items).count() == lazy.neighbors(items).count() > 0
+    assert mat.neighbors(items).exceptAll(lazy.neighbors(items).select(*key)).count() == 0
+    pairs = spark.createDataFrame([(1, 2), (3, 3), (5, 180), (7, 9999)], "a int, b int")
+    got = {(r["a"], r["b"]): r["sim"] for r in mat.pair_sims(pairs, "a", "b").collect()}
+    want = {(r["a"], r["b"]): r["sim"] for r in lazy.pair_sims(pairs, "a", "b").collect()}
+    assert got == want and got[(3, 3)] is None and got[(7, 9999)] is None
+    assert mat.as_table().count() == lazy.as_table().count()
