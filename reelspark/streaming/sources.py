@@ -39,6 +39,8 @@ def write_lines(df: DataFrame, sink: dict, checkpoint: str, trigger: dict | None
         return (w.format("kafka").options(**sink.get("options", {}))
                 .start())
     if fmt == "memory":
+        if not query_name:
+            w = w.queryName(sink.get("name", "reelspark_out"))
         return w.format("memory").start()
     return w.format(fmt).options(**sink.get("options", {})).start(sink["path"])
 
