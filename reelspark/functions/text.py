@@ -67,3 +67,11 @@ def format_rating_message(uid: Column, mid: Column, score: Column, ts: Column) -
     """Inverse of ``parse_rating_message`` (used to build log lines)."""
     return F.concat_ws(FIELD_SEP, uid.cast("string"), mid.cast("string"),
                        score.cast("string"), ts.cast("string"))
+
+
+def parse_recent_entry(c: Column | str) -> Column:
+    """``'mid:score'`` (an entry of an external recent-ratings list) ->
+    struct ``(mid int, score double)``; malformed parts become NULL."""
+    parts = F.split(_col(c), ":", -1)
+    return F.struct(F.trim(F.get(parts, 0)).try_cast("int").alias("mid"),
+                    F.trim(F.get(parts, 1)).try_cast("double").alias("score"))

@@ -90,3 +90,10 @@ def test_clean_log_lines_keep_unmatched_and_bytes(spark):
     assert kept == ["1|2|3.0|4", "INFO heartbeat"]
     dropped = [r["message"] for r in clean_log_lines(df).collect()]
     assert dropped == ["1|2|3.0|4"]
+
+
+def test_parse_recent_entry(spark):
+    from reelspark.functions.text import parse_recent_entry
+    df = spark.createDataFrame([("1:3.0",), (" 2 : 4.5 ",), ("x:1",), ("7",)], "e string")
+    got = [(r["p"]["mid"], r["p"]["score"]) for r in df.select(parse_recent_entry("e").alias("p")).collect()]
+    assert got == [(1, 3.0), (2, 4.5), (None, 1.0), (7, None)]
