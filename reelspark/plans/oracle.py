@@ -234,6 +234,18 @@ SELECT event_id, uid, cand AS mid,
              - log10(greatest(count_if(sim > 0.7 AND r_score <= 3.0), 1)), 6) AS score
 FROM x GROUP BY event_id, uid, cand"""
 
+REALTIME_RECS_AS_CODED = REALTIME_RECS.replace("""SELECT event_id, uid, cand AS mid,
+       round(avg(sim * r_score)
+             + log10(greatest(count_if(sim > 0.7 AND r_score > 3.0), 1))
+             - log10(greatest(count_if(sim > 0.7 AND r_score <= 3.0), 1)), 6) AS score
+FROM x GROUP BY event_id, uid, cand""", """SELECT event_id, uid, mid,
+       round(CASE WHEN inc > 0 AND dec > 0 AND inc - log10(dec) > 0
+                  THEN base + log10(inc - log10(dec)) END, 6) AS score
+FROM (SELECT event_id, uid, cand AS mid, avg(sim * r_score) AS base,
+             count_if(sim > 0.7 AND r_score > 3.0) AS inc,
+             count_if(sim > 0.7 AND r_score <= 3.0) AS dec
+      FROM x GROUP BY event_id, uid, cand)""")
+
 RMSE_ITEM_MEAN = with_(RATINGS_LI, """
 avg_s AS (SELECT mid, avg(score) AS prediction FROM ratings GROUP BY mid)""", """
 pred AS (SELECT p.uid, p.mid, a.prediction FROM (SELECT DISTINCT uid, mid FROM ratings) p

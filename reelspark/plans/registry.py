@@ -84,6 +84,15 @@ def q_realtime_recs(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("score", F.round("score", REPORT_DECIMALS))
 
 
+def q_realtime_recs_as_coded(spark: SparkSession, sf: str) -> DataFrame:
+    """The reference's scoring exactly as coded: ``mean + log10(inc - log10(dec))``,
+    NULL where it would fail (a count missing) or yield no finite number."""
+    parts = td.realtime_inputs(spark, sf)
+    out = realtime.realtime_recs(parts["incoming"], parts["history"], parts["seen"],
+                                 realtime_sims(spark, sf), formula="as_coded")
+    return out.withColumn("score", F.round("score", REPORT_DECIMALS))
+
+
 def q_realtime_lists(spark: SparkSession, sf: str) -> DataFrame:
     """Real-time results packed per event, as the reference stores them."""
     return realtime.realtime_lists(q_realtime_recs(spark, sf))
@@ -144,6 +153,7 @@ def all_queries() -> dict[str, Query]:
         "log_to_ratings": q_log_to_ratings,
         "realtime_recs": q_realtime_recs,
         "realtime_lists": q_realtime_lists,
+        "realtime_recs_as_coded": q_realtime_recs_as_coded,
         "als_user_recs": q_als_user_recs,
         "als_user_recs_cross": q_als_user_recs_cross,
         "als_item_similarity": q_als_item_similarity,
@@ -168,6 +178,7 @@ def all_oracles() -> dict[str, str]:
         "log_to_ratings": o.LOG_TO_RATINGS,
         "realtime_recs": o.REALTIME_RECS,
         "realtime_lists": o.REALTIME_LISTS,
+        "realtime_recs_as_coded": o.REALTIME_RECS_AS_CODED,
         "rmse_item_mean": o.RMSE_ITEM_MEAN,
         "pack_recs": o.PACK_RECS,
         "unpack_recs": o.GENRE_TOPN,
