@@ -263,3 +263,9 @@ SELECT event_id, uid,
        string_agg('(' || CAST(mid AS VARCHAR) || ',' || """ + java_double_text("score") + """ || ')', '|'
                   ORDER BY score DESC, mid ASC) AS movies
 FROM recs GROUP BY event_id, uid"""
+
+LOG_MESSAGES_KEEP_UNMATCHED = with_(RATINGS_EV, LOG_LINES) + """
+SELECT event_id,
+       CASE WHEN contains(value, 'MOVIE_RATING_PREFIX:')
+            THEN trim(split_part(value, 'MOVIE_RATING_PREFIX:', 2)) ELSE value END AS message
+FROM lines"""

@@ -71,6 +71,13 @@ def q_log_to_ratings(spark: SparkSession, sf: str) -> DataFrame:
     return logs.log_to_ratings(td.log_lines(spark, sf))
 
 
+def q_log_messages_keep_unmatched(spark: SparkSession, sf: str) -> DataFrame:
+    """Log cleaning as the reference codes it: rating lines become their
+    message, every other line is forwarded unchanged."""
+    lines = td.log_lines(spark, sf)
+    return logs.clean_log_lines(lines, keep_unmatched=True).select("event_id", "message")
+
+
 def realtime_sims(spark: SparkSession, sf: str):
     """Content similarity source over the whole catalogue (factored form)."""
     return content.content_sim_source(td.movies(spark, sf), threshold=REALTIME_SIM_THRESHOLD,
@@ -151,6 +158,7 @@ def all_queries() -> dict[str, Query]:
         "content_similarity": q_content_similarity,
         "item_similarity": q_item_similarity,
         "log_to_ratings": q_log_to_ratings,
+        "log_messages_keep_unmatched": q_log_messages_keep_unmatched,
         "realtime_recs": q_realtime_recs,
         "realtime_lists": q_realtime_lists,
         "realtime_recs_as_coded": q_realtime_recs_as_coded,
@@ -176,6 +184,7 @@ def all_oracles() -> dict[str, str]:
         "content_similarity": o.CONTENT_SIMILARITY,
         "item_similarity": o.ITEM_SIMILARITY,
         "log_to_ratings": o.LOG_TO_RATINGS,
+        "log_messages_keep_unmatched": o.LOG_MESSAGES_KEEP_UNMATCHED,
         "realtime_recs": o.REALTIME_RECS,
         "realtime_lists": o.REALTIME_LISTS,
         "realtime_recs_as_coded": o.REALTIME_RECS_AS_CODED,
