@@ -35,8 +35,9 @@ LIKE_SCORE = 3.0       # liked when score > 3.0, else disliked
 
 
 def recent_ratings(history: DataFrame, n_recent: int = N_RECENT,
-                   users: DataFrame | None = None) -> DataFrame:
-    """Last ``n_recent`` ratings per user: ``(uid, r_mid, r_score)``.
+                   users: DataFrame | None = None, with_rank: bool = False) -> DataFrame:
+    """Last ``n_recent`` ratings per user: ``(uid, r_mid, r_score)``
+    (plus ``r_rank``, 1 = newest, when ``with_rank``).
 
     ``users`` (optional) restricts the history to those users first.
     """
@@ -47,7 +48,8 @@ def recent_ratings(history: DataFrame, n_recent: int = N_RECENT,
     ranked = top_k(h.select("uid", "mid", "score", "timestamp",
                             *(["event_id"] if "event_id" in h.columns else [])),
                    ["uid"], order, n_recent, rank="r_rank")
-    return ranked.select("uid", F.col("mid").alias("r_mid"), F.col("score").alias("r_score"))
+    return ranked.select("uid", *(["r_rank"] if with_rank else []), F.col("mid").alias("r_mid"),
+                         F.col("score").alias("r_score"))
 
 
 def realtime_recs(incoming: DataFrame, history: DataFrame, seen: DataFrame, sims,

@@ -269,3 +269,13 @@ SELECT event_id,
        CASE WHEN contains(value, 'MOVIE_RATING_PREFIX:')
             THEN trim(split_part(value, 'MOVIE_RATING_PREFIX:', 2)) ELSE value END AS message
 FROM lines"""
+
+GENRE_VOCABULARY = with_(MOVIES) + """
+SELECT DISTINCT trim(g) AS genre FROM movies, unnest(string_split(genres, '|')) AS t(g)
+WHERE genres IS NOT NULL AND trim(g) <> ''"""
+
+RECENT_RATINGS = with_(RATINGS_EV) + """
+SELECT uid, CAST(r_rank AS INTEGER) AS r_rank, mid AS r_mid, score AS r_score FROM (
+  SELECT uid, mid, score,
+         row_number() OVER (PARTITION BY uid ORDER BY timestamp DESC, event_id DESC) AS r_rank
+  FROM ratings_ev) WHERE r_rank <= 20"""

@@ -46,6 +46,15 @@ def q_genre_topn_token(spark: SparkSession, sf: str) -> DataFrame:
     return stats.genre_topn(td.movies(spark, sf), avg, match="token")
 
 
+def q_genre_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.genre_vocabulary(td.movies(spark, sf))
+
+
+def q_recent_ratings(spark: SparkSession, sf: str) -> DataFrame:
+    """Last 20 ratings of every user over the whole event-rating table."""
+    return realtime.recent_ratings(td.ratings_ev(spark, sf), with_rank=True)
+
+
 def q_movie_tags(spark: SparkSession, sf: str) -> DataFrame:
     return stats.movie_tags(td.movies(spark, sf), td.tags(spark, sf))
 
@@ -155,6 +164,8 @@ def all_queries() -> dict[str, Query]:
         "genre_topn": q_genre_topn,
         "genre_topn_token": q_genre_topn_token,
         "movie_tags": q_movie_tags,
+        "genre_vocabulary": q_genre_vocabulary,
+        "recent_ratings": q_recent_ratings,
         "content_similarity": q_content_similarity,
         "item_similarity": q_item_similarity,
         "log_to_ratings": q_log_to_ratings,
@@ -181,6 +192,8 @@ def all_oracles() -> dict[str, str]:
         "genre_topn": o.GENRE_TOPN,
         "genre_topn_token": o.GENRE_TOPN_TOKEN,
         "movie_tags": o.MOVIE_TAGS,
+        "genre_vocabulary": o.GENRE_VOCABULARY,
+        "recent_ratings": o.RECENT_RATINGS,
         "content_similarity": o.CONTENT_SIMILARITY,
         "item_similarity": o.ITEM_SIMILARITY,
         "log_to_ratings": o.LOG_TO_RATINGS,
