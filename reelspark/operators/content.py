@@ -46,6 +46,13 @@ def tfidf(movies: DataFrame, num_features: int = TFIDF_FEATURES) -> DataFrame:
                       vector_to_array("features").alias("tfidf"))
 
 
+def tfidf_long(movies: DataFrame, num_features: int = TFIDF_FEATURES) -> DataFrame:
+    """Non-zero TF-IDF weights in long form: ``(mid, bucket, weight)``."""
+    vec = tfidf(movies, num_features)
+    e = vec.select("mid", F.posexplode("tfidf").alias("bucket", "weight"))
+    return e.where(F.col("weight") != 0.0)
+
+
 def content_sim_source(movies: DataFrame, threshold: float = CONTENT_THRESHOLD,
                        num_features: int = TFIDF_FEATURES, block_size: int | None = None,
                        decimals: int | None = None) -> FactoredSims:

@@ -279,3 +279,6 @@ SELECT uid, CAST(r_rank AS INTEGER) AS r_rank, mid AS r_mid, score AS r_score FR
   SELECT uid, mid, score,
          row_number() OVER (PARTITION BY uid ORDER BY timestamp DESC, event_id DESC) AS r_rank
   FROM ratings_ev) WHERE r_rank <= 20"""
+
+CONTENT_TFIDF = with_(MOVIES, *tfidf_ctes()) + """
+SELECT mid, CAST(bucket AS INTEGER) AS bucket, round(w, 6) AS weight FROM w WHERE w <> 0"""

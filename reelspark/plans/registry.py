@@ -59,6 +59,12 @@ def q_movie_tags(spark: SparkSession, sf: str) -> DataFrame:
     return stats.movie_tags(td.movies(spark, sf), td.tags(spark, sf))
 
 
+def q_content_tfidf(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashed TF-IDF weights of every movie (non-zero entries)."""
+    w = content.tfidf_long(td.movies(spark, sf))
+    return w.select("mid", "bucket", F.round("weight", REPORT_DECIMALS).alias("weight"))
+
+
 def q_content_similarity(spark: SparkSession, sf: str) -> DataFrame:
     return content.content_similarity(td.movies(spark, sf), threshold=0.8, decimals=REPORT_DECIMALS)
 
@@ -166,6 +172,7 @@ def all_queries() -> dict[str, Query]:
         "movie_tags": q_movie_tags,
         "genre_vocabulary": q_genre_vocabulary,
         "recent_ratings": q_recent_ratings,
+        "content_tfidf": q_content_tfidf,
         "content_similarity": q_content_similarity,
         "item_similarity": q_item_similarity,
         "log_to_ratings": q_log_to_ratings,
@@ -194,6 +201,7 @@ def all_oracles() -> dict[str, str]:
         "movie_tags": o.MOVIE_TAGS,
         "genre_vocabulary": o.GENRE_VOCABULARY,
         "recent_ratings": o.RECENT_RATINGS,
+        "content_tfidf": o.CONTENT_TFIDF,
         "content_similarity": o.CONTENT_SIMILARITY,
         "item_similarity": o.ITEM_SIMILARITY,
         "log_to_ratings": o.LOG_TO_RATINGS,
