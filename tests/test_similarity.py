@@ -100,3 +100,13 @@ def test_block_count_rule():
     assert block_count(300, 8) == 2                          # blocks not below MIN_BLOCK
     assert block_count(10_000_000, 8_000) == 220             # 45k vectors per block
     assert block_count(10_000_000, 8) == 200                 # memory bound: <= 50k per block
+
+
+def test_product_blocks_copy_the_larger_side_least():
+    from reelspark.operators.similarity import MAX_BLOCK, product_blocks
+    bu, bi = product_blocks(100_000_000, 1_000_000, 8000)
+    assert bu >= 100_000_000 / MAX_BLOCK and bi >= 1_000_000 / MAX_BLOCK
+    assert bi < bu  # users (the larger side) are copied to fewer item blocks
+    assert product_blocks(1000, 1000, 8) == (4, 4)
+    assert product_blocks(100, 50, 8) == (1, 1)
+    assert product_blocks(30, 50, 8, block_size=8) == (4, 7)
