@@ -136,6 +136,12 @@ def q_als_item_similarity(spark: SparkSession, sf: str) -> DataFrame:
     return factor.factor_similarity(_als_model(spark, sf))
 
 
+def q_als_holdout_rmse(spark: SparkSession, sf: str) -> DataFrame:
+    """ALS (rank 50, 10 it., lambda 0.01) fit on a seeded 80 % of the
+    ratings, RMSE on the other 20 %."""
+    return factor.als_holdout_rmse(td.ratings_li(spark, sf))
+
+
 def q_rmse_item_mean(spark: SparkSession, sf: str) -> DataFrame:
     """RMSE operator checked exactly: the item mean as the prediction."""
     r = td.ratings_li(spark, sf)
@@ -184,6 +190,7 @@ def all_queries() -> dict[str, Query]:
         "als_user_recs_cross": q_als_user_recs_cross,
         "als_item_similarity": q_als_item_similarity,
         "rmse_item_mean": q_rmse_item_mean,
+        "als_holdout_rmse": q_als_holdout_rmse,
         "als_grid_search": q_als_grid_search,
         "pack_recs": q_pack_recs,
         "unpack_recs": q_unpack_recs,
