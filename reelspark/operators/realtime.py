@@ -37,14 +37,18 @@ LIKE_SCORE = 3.0       # liked when score > 3.0, else disliked
 def recent_ratings(history: DataFrame, n_recent: int = N_RECENT,
                    users: DataFrame | None = None, with_rank: bool = False) -> DataFrame:
     """Last ``n_recent`` ratings per user: ``(uid, r_mid, r_score)``
-    (plus ``r_rank``, 1 = newest, when ``with_rank``).
+    (plus ``r_rank``, 1 = newest, when ``with_rank``). Newest first by
+    ``timestamp``, then ``event_id`` (if present), then ``mid``, ``score``.
 
     ``users`` (optional) restricts the history to those users first.
     """
     h = history
     if users is not None:
         h = h.join(users, "uid", "left_semi")
-    order = [F.desc("timestamp")] + ([F.desc("event_id")] if "event_id" in h.columns else [])
+    # a total order, so a re-run task picks the same rows (event_id, when
+    # present, already decides; mid and score only break remaining ties)
+    order = ([F.desc("timestamp")] + ([F.desc("event_id")] if "event_id" in h.columns else [])
+             + [F.asc("mid"), F.asc("score")])
     ranked = top_k(h.select("uid", "mid", "score", "timestamp",
                             *(["event_id"] if "event_id" in h.columns else [])),
                    ["uid"], order, n_recent, rank="r_rank")

@@ -67,6 +67,15 @@ def test_recent_ratings_order_and_cut(spark):
     assert sorted(r["r_mid"] for r in rec) == sorted([29 % 5, 28 % 5, 27 % 5])
 
 
+def test_recent_ratings_ties_without_event_id(spark):
+    hist = spark.createDataFrame([(7, m, float(m % 5), 100) for m in (9, 3, 5, 1)] + [(7, 8, 2.0, 99)],
+                                 "uid int, mid int, score double, timestamp long")
+    rec = recent_ratings(hist, n_recent=3, with_rank=True).collect()
+    # all newest ratings share a timestamp: lower item id first
+    assert [(r["r_rank"], r["r_mid"]) for r in sorted(rec, key=lambda r: r["r_rank"])] == [
+        (1, 1), (2, 3), (3, 5)]
+
+
 def test_sims_from_packed_and_dedupe(spark):
     from reelspark.operators.simsource import TableSims, sims_from_packed
     packed = spark.createDataFrame([(1, "(2,0.9)|(3,0.8)"), (2, "(1,0.9)|(bad)")], "mid int, recs string")
