@@ -1,3 +1,5 @@
+import contextlib
+import io
 import os
 import sys
 import tempfile
@@ -28,3 +30,38 @@ def rows(df, *cols):
     """Collect small test results as sorted tuples."""
     cols = cols or tuple(df.columns)
     return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+SKEW_SPLIT = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+NO_AQE = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+
+
+@contextlib.contextmanager
+def session_conf(spark, conf):
+    """Set session SQL confs for the block, then restore the previous values."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def plan_text(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()

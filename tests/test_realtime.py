@@ -1,10 +1,9 @@
-import contextlib
-import io
 import math
 
 import pytest
 
 from reelspark.operators.realtime import realtime_recs, recent_ratings
+from tests.conftest import NO_AQE, SKEW_SPLIT, plan_text, session_conf
 
 INC = "event_id long, uid int, mid int, score double, timestamp int"
 HIST = "event_id long, uid int, mid int, score double, timestamp int"
@@ -122,41 +121,14 @@ def test_hot_user_same_result_with_skew_split(spark):
             for b in rnd.sample(range(60), 15) if a != b]
     seen = [(u, m) for (_, u, m, _, _) in hist[:200]]
 
-    keys = {"spark.sql.adaptive.enabled": None, "spark.sql.autoBroadcastJoinThreshold": None,
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": None,
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": None,
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": None,
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": None,
-            "spark.sql.adaptive.forceOptimizeSkewedJoin": None}
-    old = {k: spark.conf.get(k, None) for k in keys}
-
-    def set_conf(conf):
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-    try:
-        set_conf({"spark.sql.adaptive.enabled": "false",
-                  "spark.sql.autoBroadcastJoinThreshold": "-1"})
+    with session_conf(spark, NO_AQE):
         plain = run(spark, inc, hist, seen, sims)
-        set_conf({"spark.sql.adaptive.enabled": "true",
-                  "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-                  "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
-                  "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
-                  "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1",
-                  "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"})
+    with session_conf(spark, SKEW_SPLIT):
         df = realtime_recs(spark.createDataFrame(inc, INC), spark.createDataFrame(hist, HIST),
                            spark.createDataFrame(seen, "uid int, mid int"),
                            spark.createDataFrame(sims, SIMS))
         split = {(r["event_id"], r["mid"]): r["score"] for r in df.collect()}
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain()
-        assert "skew=true" in buf.getvalue()  # AQE did split a join
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        assert "skew=true" in plan_text(df)  # AQE did split a join
     assert plain and sum(1 for (e, _) in plain if e % 3 == 0) > 0
     assert plain.keys() == split.keys()
     assert all(plain[k] == pytest.approx(split[k], rel=1e-12, abs=1e-12) for k in plain)
