@@ -110,3 +110,6 @@ def test_product_blocks_copy_the_larger_side_least():
     assert product_blocks(1000, 1000, 8) == (4, 4)
     assert product_blocks(100, 50, 8) == (1, 1)
     assert product_blocks(30, 50, 8, block_size=8) == (4, 7)
+    # a costlier left copy moves blocks to the left side
+    bl, br = product_blocks(20_000, 20_000, 8, left_weight=110, right_weight=50)
+    assert bl > br and product_blocks(20_000, 20_000, 8) == (5, 5)
