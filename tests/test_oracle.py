@@ -21,7 +21,7 @@ def test_every_query_registered_has_callable():
     surveyed = {"movie_tags", "history_hot", "recent_hot", "average_score", "genre_topn",
                 "genre_topn_token", "als_user_recs", "als_user_recs_cross", "item_similarity",
                 "als_item_similarity", "als_grid_search", "rmse_item_mean", "content_similarity",
-                "log_to_ratings", "realtime_recs", "pack_recs", "unpack_recs"}
+                "log_to_ratings", "realtime_recs", "pack_recs", "unpack_recs", "als_holdout_rmse"}
     assert surveyed <= set(q)
 
 
