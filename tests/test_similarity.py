@@ -113,3 +113,19 @@ def test_product_blocks_copy_the_larger_side_least():
     # a costlier left copy moves blocks to the left side
     bl, br = product_blocks(20_000, 20_000, 8, left_weight=110, right_weight=50)
     assert bl > br and product_blocks(20_000, 20_000, 8) == (5, 5)
+
+
+def test_product_blocks_respect_memory_cap_property():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from reelspark.operators.similarity import MAX_BLOCK, product_blocks
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.integers(1, 10**9), st.integers(1, 10**9), st.integers(1, 20_000),
+           st.floats(1, 1000), st.floats(1, 1000))
+    def check(nl, nr, par, wl, wr):
+        bl, br = product_blocks(nl, nr, par, left_weight=wl, right_weight=wr)
+        assert bl >= 1 and br >= 1
+        assert -(-nl // bl) <= MAX_BLOCK and -(-nr // br) <= MAX_BLOCK
+    check()
