@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import tokencount, tokenfile
+from . import bpe, tokencount, tokenfile
 from .common import scratch_path, table
 
 
+def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe.encode(docs).select("doc_id", "ids_packed")
+    return bpe.decode(ids).select(
+        "doc_id", F.expr("octet_length(ids_packed) div 4").cast("long").alias("n_tokens"),
+        F.sha2("ids_packed", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     tokenfile.write_token_files(tokenfile.encode_sorted(table(spark, sf_dir, "documents")), path)
@@ -22,6 +30,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict:
     return {
+        "op6_bpe_roundtrip": op6_bpe_roundtrip,
         "op7_token_files": op7_token_files,
         "op8_token_counts": op8_token_counts,
     }
