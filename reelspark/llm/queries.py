@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, tokencount, tokenfile
-from .common import scratch_path, table
+from . import bpe, langid, tokencount, tokenfile
+from .common import hash_bucket, scratch_path, table
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = hash_bucket("doc_id", 5) == 0
+    model = langid.train(docs.where(~held_out))
+    out = langid.identify(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out.alias("held_out"), "language.*")
 
 
 def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +38,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict:
     return {
+        "op1_language_id": op1_language_id,
         "op6_bpe_roundtrip": op6_bpe_roundtrip,
         "op7_token_files": op7_token_files,
         "op8_token_counts": op8_token_counts,
