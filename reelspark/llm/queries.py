@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, tokencount, tokenfile
+from . import bpe, langid, tokencount, tokenfile, toxicity
 from .common import hash_bucket, scratch_path, table
 
 
@@ -17,6 +17,16 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "language.*")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = hash_bucket("doc_id", 3) == 1
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").where(~held_out))
+    out = toxicity.score_toxicity(docs, model)
+    return out.select("doc_id", held_out.alias("held_out"), "toxicity.score",
+                      (F.col("toxicity.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                      F.size("toxicity.passages").alias("n_passages"))
+
+
 def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = bpe.encode(docs).select("doc_id", "ids_packed")
@@ -39,6 +49,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict:
     return {
         "op1_language_id": op1_language_id,
+        "op2_toxicity": op2_toxicity,
         "op6_bpe_roundtrip": op6_bpe_roundtrip,
         "op7_token_files": op7_token_files,
         "op8_token_counts": op8_token_counts,
