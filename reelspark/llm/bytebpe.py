@@ -16,6 +16,11 @@ from .common import slices, worker_store
 
 BYTE_BPE = "byte_bpe_50k.json"
 _CUT = re.compile(r"(?<=\S) | (?=\S)")
+# Fixed values of the vocabulary file's format: characters for bytes that do
+# not print (the others stand for themselves), and the one for a space.
+_PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = {b: chr(0x100 + k) for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+_SPACE = _BYTE_CHARS[0x20]
 
 
 def tokenizer_path(name: str) -> str:
@@ -59,15 +64,6 @@ def _careful_chunks(text: str) -> list[str]:
     return [p[1:] if p[0] == " " and len(p) > 1 and not p[1].isspace() else "\0" + p for p in parts]
 
 
-def _gaps(values: list) -> list[int]:
-    """Places of None in ``values``."""
-    found, at = [], -1
-    for _ in range(values.count(None)):
-        at = values.index(None, at + 1)
-        found.append(at)
-    return found
-
-
 class ChunkCoder:
     """Maps texts to one value per chunk: ``value(ids)`` of the chunk's ids.
 
@@ -81,6 +77,7 @@ class ChunkCoder:
         special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.special = special
         self.cut = re.compile("(" + "|".join(sorted(map(re.escape, special), key=len, reverse=True)) + ")") if special else None
+        self.marks = {m: self.tok.encode(m, add_special_tokens=False).ids for m in ".,;:!?"}
         self.value = value
         self.known = known or {}
         self.cache = worker_store(store)
@@ -88,9 +85,28 @@ class ChunkCoder:
         self.cache_entries = cache_entries + len(self.known)
 
     def encode_chunks(self, chunks: list[str]) -> list:
-        """Values of chunks, straight from the tokenizers library."""
-        texts = [c[1:] if c[0] == "\0" else " " + c for c in chunks]
-        return [self.value(e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        """Values of chunks, from the tokenizers library.
+
+        A run of letters after a space, with or without one closing mark, is
+        one pre-token or two and goes straight to the library's model; other
+        chunks, and letters that a Unicode version may class anew (U+0250 and
+        above), go through the whole library.
+        """
+        out: list = [None] * len(chunks)
+        rest = []
+        tokenize = self.tok.model.tokenize
+        for k, c in enumerate(chunks):
+            word, mark = (c[:-1], self.marks[c[-1]]) if c[-1] in self.marks else (c, [])
+            if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
+                if not word.isascii():
+                    word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
+                out[k] = self.value([t.id for t in tokenize(_SPACE + word)] + mark)
+            else:
+                rest.append(k)
+        texts = [chunks[k][1:] if chunks[k][0] == "\0" else " " + chunks[k] for k in rest]
+        for k, e in zip(rest, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
+            out[k] = self.value(e.ids)
+        return out
 
     def _flat_chunks(self, text: str, chunks=_chunks) -> list[str]:
         """Chunks of a whole text; the library cuts at special tokens first."""
@@ -103,26 +119,33 @@ class ChunkCoder:
 
     def encode(self, texts: list):
         """Yield for every text (None: empty) the list of its chunks' values."""
-        for run in slices(texts):
-            get = self.cache.get
+        get = self.cache.get
+        for run in slices(texts, 1 << 20):
             rows, misses = [], set()
             for text in run:
                 parts = self._flat_chunks(text)
                 values = list(map(get, parts))
-                gaps = _gaps(values)
-                if any(parts[i][0].isspace() for i in gaps):
-                    parts = self._flat_chunks(text, _careful_chunks)
-                    values = list(map(get, parts))
-                    gaps = _gaps(values)
-                gaps = [(i, parts[i]) for i in gaps]
-                misses.update(c for _, c in gaps)
-                rows.append((values, gaps))
+                gaps = [i for i, v in enumerate(values) if v is None]
+                lacking = [parts[i] for i in gaps]
+                misses.update(lacking)
+                rows.append((values, gaps, lacking))
+            spaced = {c for c in misses if c[0].isspace()}
+            if spaced:
+                misses -= spaced
+                for k, (_, _, lacking) in enumerate(rows):
+                    if not spaced.isdisjoint(lacking):
+                        parts = self._flat_chunks(run[k], _careful_chunks)
+                        values = list(map(get, parts))
+                        gaps = [i for i, v in enumerate(values) if v is None]
+                        lacking = [parts[i] for i in gaps]
+                        misses.update(lacking)
+                        rows[k] = (values, gaps, lacking)
             fresh = {}
             wanted = list(misses)
             for at in range(0, len(wanted), 20_000):
                 fresh.update(zip(wanted[at:at + 20_000], self.encode_chunks(wanted[at:at + 20_000])))
-            for values, gaps in rows:
-                for i, c in gaps:
+            for values, gaps, lacking in rows:
+                for i, c in zip(gaps, lacking):
                     values[i] = fresh[c]
                 yield values
             if len(self.cache) + len(fresh) > self.cache_entries:
