@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, tokencount, tokenfile, toxicity
+from . import bpe, decontam, embdedup, htmltext, langid, linededup, minhash, tokencount, tokenfile, toxicity
 from .common import hash_bucket, scratch_path, table
 
 
@@ -27,6 +27,60 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("toxicity.passages").alias("n_passages"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return htmltext.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = linededup.dedup_lines(docs)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+OP4_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+hot AS (SELECT key, max(doc_id) AS last_doc FROM k WHERE length(key) >= 20
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.*, coalesce(k.doc_id < hot.last_doc, false) AS gone FROM k LEFT JOIN hot USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r, doc_id
+"""
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"), "contaminated")
+
+
+OP5_SQL = """
+WITH dw AS (SELECT row_number() OVER () AS r, doc_id,
+                   list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+iw AS (SELECT CAST(item_id AS VARCHAR) AS item_id,
+              list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM benchmark),
+it AS (SELECT item_id, ws, unnest(generate_series(1, greatest(len(ws) - 12, 1))) AS i FROM iw WHERE len(ws) > 0),
+win AS (SELECT DISTINCT item_id, ws[i:i + 12] AS w FROM it),
+sizes AS (SELECT DISTINCT len(w) AS n FROM win),
+places AS (SELECT r, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS i FROM dw, sizes WHERE len(ws) >= n),
+grams AS (SELECT r, i, n, ws[i:i + n - 1] AS w FROM places),
+hits AS (SELECT r, i, n, item_id FROM grams JOIN win USING (w)),
+items AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM hits GROUP BY r),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM dw LEFT JOIN items USING (r) LEFT JOIN covered USING (r)
+"""
+
+
 def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = bpe.encode(docs).select("doc_id", "ids_packed")
@@ -46,15 +100,31 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(docs).drop("text")
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embdedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict:
     return {
         "op1_language_id": op1_language_id,
         "op2_toxicity": op2_toxicity,
+        "op3_html_text": op3_html_text,
+        "op4_line_dedup": op4_line_dedup,
+        "op5_decontamination": op5_decontamination,
         "op6_bpe_roundtrip": op6_bpe_roundtrip,
         "op7_token_files": op7_token_files,
         "op8_token_counts": op8_token_counts,
+        "op9_embedding_dedup": op9_embedding_dedup,
+        "op10_minhash_dedup": op10_minhash_dedup,
     }
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return {
+        "op4_line_dedup": OP4_SQL,
+        "op5_decontamination": OP5_SQL,
+    }
