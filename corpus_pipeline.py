@@ -1,12 +1,71 @@
-"""Corpus pipeline (stages follow)."""
+"""Corpus pipeline: documents to token ids in five stages.
 
-STAGES = []
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
+written as Parquet and reread as the next stage's ``docs``. All but the last
+return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from reelspark.llm import bpe, decontam, langid, linededup, minhash
+from reelspark.llm.common import hash_bucket, materialise, table
+
+# A document stays if some language has this share of it (or, for a single
+# language, this posterior probability).
+MIN_LANGUAGE_SCORE = 0.4
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without letters and those that no language explains."""
+    model = langid.train(docs.where(hash_bucket("doc_id", 5) != 0))
+    found = langid.identify(docs, model, into="_language")
+    known = (F.col("_language.lang_pred") != langid.UNKNOWN) & (F.col("_language.score") >= MIN_LANGUAGE_SCORE)
+    return found.where(known).select(*[docs[c] for c in docs.columns])
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without their repeated lines; ``n_chars`` follows the text."""
+    out = linededup.dedup_lines(docs)
+    new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
+    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return minhash.keep_first(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the benchmark does not contaminate."""
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, lang, source, n_tokens, ids`` and the text that the ids decode to."""
+    out = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text")))
+    return out.select("doc_id", "lang", "source", F.expr("octet_length(ids_packed) div 4").cast("long").alias("n_tokens"),
+                      bpe.unpack_udf()("ids_packed").alias("ids"), "decoded")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("tokens", tokens),
+]
+
+# Language inference and BPE have no SQL form; tests hold every stage against
+# a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

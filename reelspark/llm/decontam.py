@@ -132,3 +132,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_
                      F.explode(F.sequence(F.lit(1).cast("long"), F.col("d.copies"))).alias("copy"))
     return out.select("doc_id", "text_hash", "n_words", "n_hit", "items",
                       ((F.col("n_hit") > 0) & (F.col("n_hit") * MIN_SHARE >= F.col("n_words"))).alias("contaminated"), "spans")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that are not contaminated."""
+    bad = contamination(docs, benchmark, text, id_col).where("contaminated").select(
+        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct()
+    same = docs[id_col].eqNullSafe(bad["_doc"]) & (F.xxhash64(docs[text]) == bad["_hash"])
+    return docs.join(bad, same, "left_anti")

@@ -25,9 +25,9 @@ and no link between components is lost. Verified links go through distributed
 union-find grouping (``components``).
 
 Defined results: a document without words (or text) has an empty set and is
-linked with nothing. Rows that repeat an id count as one document per
-different text, and rows without an id are linked with nothing and kept; both
-keep all their rows. Other columns pass through in ``keep_first``.
+linked with nothing. Rows that repeat an id with one text share its result;
+with different texts each text has its own. Rows without an id are linked with
+nothing and kept. Other columns pass through in ``keep_first``.
 """
 
 from __future__ import annotations
@@ -158,16 +158,18 @@ def _signature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                 d2.append(int(mix(s + np.uint64(2)).sum(dtype=np.uint64).astype(np.int64)))
                 sigs.append(mix(super_minhash(s)).astype("<u2").tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).slice(at, len(texts)), pa.array(n, pa.int64()), pa.array(d1, pa.int64()),
-                 pa.array(d2, pa.int64()), pa.array(sigs, pa.binary())], ["doc_id", "n_shingles", "d1", "d2", "sig"])
+                [b.column(0).slice(at, len(texts)), b.column(2).slice(at, len(texts)), pa.array(n, pa.int64()),
+                 pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sigs, pa.binary())],
+                ["doc_id", "text_hash", "n_shingles", "d1", "d2", "sig"])
             at += len(texts)
 
 
 def signatures(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``doc_id, n_shingles, d1, d2`` (the set's size and digest) and ``sig``,
-    16 bits of each place's value; null for an empty set."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_signature_batches, "doc_id long, n_shingles long, d1 long, d2 long, sig binary")
+    """``doc_id, text_hash, n_shingles, d1, d2`` (the set's size and digest) and
+    ``sig``, 16 bits of each place's value; null for an empty set."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
+    return rows.mapInArrow(_signature_batches,
+                           "doc_id long, text_hash long, n_shingles long, d1 long, d2 long, sig binary")
 
 
 def similar_udf():
@@ -217,7 +219,7 @@ def _cross_pairs(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Per row: ``doc_id, n_shingles, component_id, kept``."""
+    """Per row: ``doc_id, text_hash, n_shingles, component_id, kept``."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = materialise(signatures(source), "signatures")
     named = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
@@ -249,5 +251,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     found = classes.join(comps, "id", "left").select("n_shingles", "d1", "d2", F.coalesce("component_id", "id").alias("comp"))
     out = rows.join(found, ["n_shingles", "d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("doc_id")).otherwise(F.col("comp"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def keep_first(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that are kept: one document of each group."""
+    gone = near_duplicates(docs, text, id_col).where(~F.col("kept")).select(
+        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct()
+    return docs.join(gone, (docs[id_col] == gone["_doc"]) & (F.xxhash64(docs[text]) == gone["_hash"]), "left_anti")
