@@ -80,13 +80,12 @@ def realtime_recs(incoming: DataFrame, history: DataFrame, seen: DataFrame, sims
     # 1. candidates: unseen similar items, top-N per event.
     # Neighbours of each batch item are ranked once (sim desc, id asc). The
     # N best unseen neighbours of an event lie within the first
-    # N + |items seen by the user| ranks, so only those rows are joined to
-    # the event (exact; a user's seen list bounds the extra rows; counting
-    # seen rows with repeats only loosens the bound).
+    # N + |distinct items seen by the user| ranks, so only those rows are
+    # joined to the event (exact; repeats of a pair do not widen the bound).
     nb = top_k(src.neighbors(items), ["mid"], [F.desc("sim"), F.asc("sim_mid")], None,
                rank="nrank")
     seen_b = seen.select("uid", F.col("mid").alias("cand")).join(users, "uid", "left_semi")
-    n_seen = seen_b.groupBy("uid").agg(F.count(F.lit(1)).alias("n_seen"))
+    n_seen = seen_b.distinct().groupBy("uid").agg(F.count(F.lit(1)).alias("n_seen"))
     lim = F.lit(n_candidates) + F.coalesce(F.col("n_seen"), F.lit(0))
     cands = (ev.join(n_seen, "uid", "left").withColumn("lim", lim)
              .join(nb, "mid").where(F.col("nrank") <= F.col("lim"))
@@ -125,14 +124,15 @@ def realtime_recs(incoming: DataFrame, history: DataFrame, seen: DataFrame, sims
     return agg.select("event_id", "uid", F.col("cand").alias("mid"), score.alias("score"))
 
 
-def realtime_lists(recs: DataFrame) -> DataFrame:
-    """Per-event result rows as stored by the reference: ``(event_id, uid,
-    movies)`` with ``movies`` = ``(mid,score)|...``, best score first (ties:
-    lower id). Each list holds at most ``n_candidates`` entries, so packing a
-    group into one row is bounded."""
+def realtime_lists(recs: DataFrame, incoming: DataFrame) -> DataFrame:
+    """One result row per incoming rating, as stored by the reference:
+    ``(event_id, uid, movies)`` with ``movies`` = ``(mid,score)|...``, best
+    score first (ties: lower id), and the empty text for a rating without any
+    scored candidate. Each list holds at most ``n_candidates`` entries, so
+    packing a group into one row is bounded."""
     from reelspark.functions.lists import collect_ranked, pack_list
     ranked = top_k(recs, ["event_id"], [F.desc("score"), F.asc("mid")], None)
     lists = collect_ranked(ranked, "event_id", "mid", "score")
-    users = recs.select("event_id", "uid").distinct()
-    return users.join(lists, "event_id").select("event_id", "uid",
-                                                pack_list(F.col("recs")).alias("movies"))
+    packed = lists.select("event_id", pack_list(F.col("recs")).alias("movies"))
+    return (incoming.select("event_id", "uid").join(packed, "event_id", "left")
+            .select("event_id", "uid", F.coalesce("movies", F.lit("")).alias("movies")))

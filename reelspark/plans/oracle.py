@@ -210,11 +210,11 @@ SELECT message, uid, mid, score, timestamp FROM parsed
 WHERE uid IS NOT NULL AND mid IS NOT NULL AND score IS NOT NULL"""
 
 REALTIME_RECS = with_(RATINGS_EV, MOVIES, *content_pairs_ctes(0.6, 9), """
-cuts AS (SELECT CAST(floor(count(*) * 0.5) AS BIGINT) AS c1,
-                CAST(floor(count(*) * 0.9) AS BIGINT) AS c2 FROM events)""", """
-seen AS (SELECT DISTINCT r.uid, r.mid FROM ratings_ev r, cuts WHERE r.event_id < cuts.c1)""", """
-hist AS (SELECT r.* FROM ratings_ev r, cuts WHERE r.event_id < cuts.c2)""", """
-inc AS (SELECT r.* FROM ratings_ev r, cuts WHERE r.event_id >= cuts.c2)""", """
+cuts AS (SELECT min(timestamp) + CAST(floor((max(timestamp) - min(timestamp)) * 0.9) AS INT) AS c
+         FROM ratings_ev)""", """
+seen AS (SELECT DISTINCT r.uid, r.mid FROM ratings_ev r, cuts WHERE r.timestamp < cuts.c)""", """
+hist AS (SELECT r.* FROM ratings_ev r, cuts WHERE r.timestamp < cuts.c)""", """
+inc AS (SELECT r.* FROM ratings_ev r, cuts WHERE r.timestamp >= cuts.c)""", """
 cand AS (SELECT event_id, uid, cand FROM (
   SELECT i.event_id, i.uid, s.sim_mid AS cand,
          row_number() OVER (PARTITION BY i.event_id ORDER BY s.sim DESC, s.sim_mid ASC) AS rn
@@ -258,11 +258,14 @@ SELECT genres, string_agg('(' || CAST(mid AS VARCHAR) || ',' || """ + java_doubl
                           ORDER BY rank) AS recs
 FROM flat GROUP BY genres"""
 
-REALTIME_LISTS = "WITH recs AS (" + REALTIME_RECS + """)
-SELECT event_id, uid,
+REALTIME_LISTS = "WITH recs AS (" + REALTIME_RECS + "),\n" + with_(RATINGS_EV)[5:].rstrip() + """,
+cut AS (SELECT min(timestamp) + CAST(floor((max(timestamp) - min(timestamp)) * 0.9) AS INT) AS c FROM ratings_ev),
+inc AS (SELECT event_id, uid FROM ratings_ev, cut WHERE timestamp >= cut.c),
+lists AS (SELECT event_id,
        string_agg('(' || CAST(mid AS VARCHAR) || ',' || """ + java_double_text("score") + """ || ')', '|'
                   ORDER BY score DESC, mid ASC) AS movies
-FROM recs GROUP BY event_id, uid"""
+FROM recs GROUP BY event_id)
+SELECT inc.event_id, inc.uid, coalesce(movies, '') AS movies FROM inc LEFT JOIN lists USING (event_id)"""
 
 LOG_MESSAGES_KEEP_UNMATCHED = with_(RATINGS_EV, LOG_LINES) + """
 SELECT event_id,

@@ -117,7 +117,7 @@ def q_realtime_recs_as_coded(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_realtime_lists(spark: SparkSession, sf: str) -> DataFrame:
     """Real-time results packed per event, as the reference stores them."""
-    return realtime.realtime_lists(q_realtime_recs(spark, sf))
+    return realtime.realtime_lists(q_realtime_recs(spark, sf), td.realtime_inputs(spark, sf)["incoming"])
 
 
 def _als_model(spark: SparkSession, sf: str):

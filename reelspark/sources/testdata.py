@@ -88,22 +88,23 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("event_id", line.alias("value"))
 
 
-def event_cuts(spark: SparkSession, sf_dir: str, seen_frac: float = 0.5,
-               history_frac: float = 0.9) -> tuple[int, int]:
-    """Event-id cuts of the real-time split (ids are a dense 0-based sequence).
+def history_cut(spark: SparkSession, sf_dir: str, history_frac: float = 0.9) -> int:
+    """Second at which the given share of the events' time range has passed.
 
-    One bounded aggregate to the driver: the row count.
+    One bounded aggregate to the driver: the first and last second.
     """
-    n = table(spark, sf_dir, "events").select("event_id").count()
-    return int(n * seen_frac), int(n * history_frac)
+    r = ratings_ev(spark, sf_dir).agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("z")).first()
+    return 0 if r["a"] is None else r["a"] + int((r["z"] - r["a"]) * history_frac)
 
 
 def realtime_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Split ``ratings_ev`` into seen pairs, rating history and incoming events."""
-    seen_cut, hist_cut = event_cuts(spark, sf_dir)
+    """Split ``ratings_ev`` by time into rating history and incoming events;
+    the seen pairs are those of the whole history."""
+    cut = history_cut(spark, sf_dir)
     r = ratings_ev(spark, sf_dir)
+    history = r.where(F.col("timestamp") < cut)
     return {
-        "seen": r.where(F.col("event_id") < seen_cut).select("uid", "mid"),
-        "history": r.where(F.col("event_id") < hist_cut),
-        "incoming": r.where(F.col("event_id") >= hist_cut),
+        "seen": history.select("uid", "mid"),
+        "history": history,
+        "incoming": r.where(F.col("timestamp") >= cut),
     }
