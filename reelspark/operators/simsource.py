@@ -113,6 +113,16 @@ class FactoredSims:
         sim = F.when(F.col(a) != F.col(b), F.col("sim"))
         return looked.withColumn(out, sim).drop("id_a", "id_b", *([] if out == "sim" else ["sim"]))
 
+    def neighbor_counts(self) -> DataFrame:
+        """``(mid, n_similar)`` of every member, from the factored form alone:
+        vector pairs joined with the number of members per vector, so nothing
+        is expanded to item pairs."""
+        size = self.members.groupBy("vkey").agg(F.count(F.lit(1)).alias("size"))
+        per_vector = (self.vpairs.join(size.select(F.col("vkey").alias("id_b"), "size"), "id_b")
+                      .groupBy("id_a").agg(F.sum("size").alias("near")))
+        return (self.members.join(per_vector.withColumnRenamed("id_a", "vkey"), "vkey")
+                .select("mid", (F.col("near") - 1).alias("n_similar")))
+
     def as_table(self) -> DataFrame:
         """The full item x item table. Its size is the output's size, far
         above the inputs', so the catalogue side is first spread over every

@@ -49,32 +49,35 @@ def genre_vocabulary(movies: DataFrame) -> DataFrame:
 
 
 def _substring_matches(genre_strings: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(genres string, genre) where genre is a substring of the string.
+    """(string_key, genre) where genre is a substring of the keyed string.
 
     The reference tests ``genres.contains(genre)`` for every (genre, movie)
-    pair. We turn that theta join into an equi-join: every substring of each
-    *distinct* genre string whose length lies in the vocabulary's length
-    range is generated and joined on equality with the vocabulary. The work
-    is linear in the number of distinct strings, no pair of tables is
-    enumerated, and Spark picks broadcast or shuffle by the measured size.
+    pair. We turn that theta join into an equi-join: the substrings of each
+    *distinct* genre string are generated for the lengths that occur among
+    genre names only, and joined on equality with the vocabulary. A string of
+    n characters gives at most n pieces per occurring length, rows carry the
+    string's key instead of the string, and no pair of tables is enumerated.
     """
-    bounds = vocab.agg(F.min(F.length("genre")).alias("lo"),
-                       F.max(F.length("genre")).alias("hi")).first()
-    if bounds is None or bounds["lo"] is None:
-        return genre_strings.select("genres", F.lit(None).cast("string").alias("genre")).limit(0)
-    lo, hi = int(bounds["lo"]), int(bounds["hi"])
+    lengths = sorted(r[0] for r in vocab.select(F.length("genre")).distinct().collect())
     s = F.col("genres")
-    starts = F.sequence(F.lit(1), F.length(s))
-    subs = F.flatten(F.transform(starts, lambda p: F.transform(
-        F.sequence(F.lit(lo), F.greatest(F.lit(lo), F.least(F.lit(hi), F.length(s) - p + 1))),
-        lambda n: F.substring(s, p, n))))
-    # Only pieces that really have the requested length (the degenerate
-    # sequence above may emit a short tail piece when the string is short).
-    cand = (genre_strings.where(F.length(s) >= lo)
-            .select("genres", F.explode(F.array_distinct(subs)).alias("piece"))
-            .where(F.length("piece") >= lo))
-    return (cand.join(vocab, cand.piece == vocab.genre)
-            .select("genres", "genre").distinct())
+
+    def pieces(n: int):
+        starts = F.when(F.length(s) >= n, F.sequence(F.lit(1), F.length(s) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda p: F.substring(s, p, n))
+
+    keyed = genre_strings.select(string_key("genres").alias("string_key"), "genres")
+    if not lengths:
+        return keyed.select("string_key", F.lit(None).cast("string").alias("genre")).limit(0)
+    parts = [keyed.select("string_key", F.explode(F.array_distinct(pieces(n))).alias("genre")) for n in lengths]
+    all_pieces = parts[0]
+    for p in parts[1:]:
+        all_pieces = all_pieces.unionByName(p)
+    return all_pieces.join(vocab, "genre").select("string_key", "genre").distinct()
+
+
+def string_key(col: str):
+    """A 256-bit key that stands for a genre string in joins."""
+    return F.sha2(F.col(col).cast("binary"), 256)
 
 
 def genre_topn(movies: DataFrame, avg_scores: DataFrame, n: int = GENRE_TOP_N,
@@ -97,7 +100,8 @@ def genre_topn(movies: DataFrame, avg_scores: DataFrame, n: int = GENRE_TOP_N,
         # catalogue alone, so the ratings are scanned once (for the means).
         strings = movies.where(F.col("genres").isNotNull()).select("genres").distinct()
         mapping = _substring_matches(strings, vocab)
-        pairs = rated.join(mapping, "genres").select("genre", "mid", "score")
+        pairs = (rated.withColumn("string_key", string_key("genres")).join(mapping, "string_key")
+                 .select("genre", "mid", "score"))
     else:
         raise ValueError(f"unknown match mode {match!r}")
     ranked = top_k(pairs, ["genre"], [F.desc("score"), F.asc("mid")], n)
@@ -114,3 +118,10 @@ def movie_tags(movies: DataFrame, tags: DataFrame) -> DataFrame:
                  .groupBy("mid")
                  .agg(F.concat_ws("|", F.array_sort(F.collect_set("tag"))).alias("tags")))
     return movies.join(per_movie, "mid", "left")
+
+
+def movie_tag_pairs(movies: DataFrame, tags: DataFrame) -> DataFrame:
+    """The distinct tags of movies as flat ``(mid, tag)`` rows, for movies
+    whose tags are too many for one text."""
+    return (tags.where(F.col("tag").isNotNull()).select("mid", "tag").distinct()
+            .join(movies.select("mid"), "mid", "left_semi"))

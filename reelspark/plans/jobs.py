@@ -12,10 +12,20 @@ Usage::
     python -m reelspark.plans.jobs lfm        --source parquet:/data/raw --sink parquet:/data/out
     python -m reelspark.plans.jobs content    --source parquet:/data/raw --sink parquet:/data/out
     python -m reelspark.plans.jobs load --movies m.csv --ratings r.csv --tags t.csv --sink parquet:/data/raw
-    python -m reelspark.plans.jobs log-clean --source text:/logs --sink parquet:/msgs --checkpoint /ck/logs
+    python -m reelspark.plans.jobs tune       --source parquet:/data/raw --sink parquet:/data/out
+    python -m reelspark.plans.jobs log-clean --source text:/logs --sink text:/msgs --checkpoint /ck/logs
     python -m reelspark.plans.jobs realtime --source text:/msgs --tables parquet:/data/raw \
         --sink parquet:/data/out --checkpoint /ck/rt
 
+A target is ``format:path``; ``--source-option``, ``--sink-option`` and
+``--tables-option`` add ``key=value`` pairs to it. JDBC takes the URL as its
+path and ``partition_column``, ``lower``, ``upper``, ``partitions`` and
+connection properties as options; Kafka takes its options as they are::
+
+    --source jdbc:jdbc:derby:/db --source-option partition_column=mid --source-option lower=0 \
+        --source-option upper=1000000 --source-option partitions=64
+    --source kafka: --source-option kafka.bootstrap.servers=h:9092 --source-option subscribe=ratings
+
 Tables are read with ``read_table`` (Parquet folders or JDBC) - the job never
 caches an input whole: each output needs two or three columns of the ratings
 and re-reads them with column pruning.
@@ -30,6 +40,7 @@ from pyspark.sql import functions as F
 
 from reelspark.functions import lists
 from reelspark.operators import content, factor, stats
+from reelspark.operators.simsource import TableSims, sims_from_packed
 from reelspark.sources.files import load_movies, load_ratings, load_tags, read_table, write_table
 
 # Result table names, equal to the reference's.
@@ -38,6 +49,7 @@ T_HISTORY_HOT, T_RECENT_HOT = "rec_history_hot", "rec_recent_hot"
 T_AVERAGE, T_GENRES_TOP = "rec_average_score", "rec_GENRES_TOP"
 T_USER_RECS, T_MOVIE_RECS = "rec_user_movies", "rec_movie_movies"
 T_CONTENT_RECS, T_REAL_TIME = "rec_content_recs", "rec_real_time"
+T_TUNING = "rec_als_tuning"
 
 
 def _packed(flat: DataFrame, key: str, item: str, score: str) -> DataFrame:
@@ -102,70 +114,111 @@ def _similarity_lists(sims: DataFrame, packed: bool, top_n: int | None) -> DataF
 
 def log_clean_job(spark: SparkSession, source: dict, sink: dict, checkpoint: str,
                   trigger: dict | None = None):
-    """Stream: log lines -> rating messages (one text line each)."""
+    """Stream: log lines -> rating messages (one text line each), to a format
+    that the ``realtime`` job reads."""
+    if sink.get("format") not in ("text", "kafka"):
+        raise ValueError("rating messages are lines: give a text or kafka sink")
     from reelspark.streaming.logs import start_log_cleaning
     return start_log_cleaning(spark, source, sink, checkpoint, trigger)
 
 
+def stored_similarities(spark: SparkSession, tables: dict) -> DataFrame:
+    """``(mid, sim_mid, sim)`` from the stored lists of the ``lfm`` job, flat or packed."""
+    stored = read_table(spark, T_MOVIE_RECS, tables)
+    return sims_from_packed(stored) if "recs" in stored.columns else stored.select("mid", "sim_mid", "sim")
+
+
 def realtime_job(spark: SparkSession, source: dict, tables: dict, sink: dict, checkpoint: str,
-                 trigger: dict | None = None):
+                 trigger: dict | None = None, similarity: str = "stored"):
     """Stream: rating messages -> per-event recommendations.
 
     Side tables come from ``tables``: the rating history (``rec_rating``,
     bucketed by user if written with ``write_side_table``), the seen pairs
-    (the same ratings) and the similarity between movies (content similarity
-    of ``rec_movie``, threshold 0.6, kept in factored form). Results go to
-    ``<sink>/rec_real_time/batch_id=N``.
+    (the same ratings) and the stored item similarity (``rec_movie_movies``),
+    or with ``similarity="content"`` the content similarity of ``rec_movie``
+    (threshold 0.6, kept in factored form). Incoming ratings join the history
+    of later batches. Results go to ``<sink>/rec_real_time/batch_id=N`` (one
+    packed list per rating) and ``<sink>/rec_real_time_flat``.
     """
     from reelspark.streaming.realtime import start_realtime
+    if sink.get("format", "parquet") != "parquet":
+        raise ValueError("replayed batches overwrite their own folder: give a parquet sink")
     ratings = read_table(spark, T_RATING, tables)
     seen = ratings.select("uid", "mid", *(["uid_bucket"] if "uid_bucket" in ratings.columns else []))
-    sims = content.content_sim_source(read_table(spark, T_MOVIE, tables), threshold=0.6,
-                                      decimals=9).materialize()
+    if similarity == "content":
+        sims = content.content_sim_source(read_table(spark, T_MOVIE, tables), threshold=0.6,
+                                          decimals=9).materialize()
+    else:
+        sims = TableSims(stored_similarities(spark, tables), dedupe=True).materialize()
     out = f"{sink['path'].rstrip('/')}/{T_REAL_TIME}"
-    return start_realtime(spark, source, lambda: ratings, seen, sims, out, checkpoint,
-                          rejects_path=out + "_rejects", trigger=trigger)
+    return start_realtime(spark, source, lambda: ratings, seen, sims, out + "_flat", checkpoint,
+                          rejects_path=out + "_rejects", history_path=out + "_history",
+                          trigger=trigger, lists_path=out)
+
+
+def tune_job(spark: SparkSession, source: dict, sink: dict) -> None:
+    """Hold-out RMSE of every ALS setting of the grid, the best one marked."""
+    write_table(factor.als_grid_search(read_table(spark, T_RATING, source)), T_TUNING, sink)
+
+
+_TABLE_KEYS = ("partition_column", "lower", "upper", "partitions", "batchsize")
 
 
-def _target(spec: str) -> dict:
+def _target(spec: str, options: list[str] | None = None) -> dict:
+    """``format:path`` and ``key=value`` options as a source or sink dict."""
     fmt, _, path = spec.partition(":")
-    return {"format": fmt, "path": path}
+    pairs = dict(o.split("=", 1) for o in options or [])
+    if fmt == "jdbc":
+        own = {k: v for k, v in pairs.items() if k in _TABLE_KEYS}
+        return {"format": fmt, "url": path, **own,
+                "properties": {k: v for k, v in pairs.items() if k not in _TABLE_KEYS}}
+    return {"format": fmt, **({"path": path} if path else {}), "options": pairs}
 
 
 def main(argv: list[str] | None = None) -> None:
     from reelspark.session import build_session
     ap = argparse.ArgumentParser(prog="reelspark.plans.jobs")
-    ap.add_argument("job", choices=["load", "statistics", "lfm", "content", "log-clean", "realtime"])
+    ap.add_argument("job", choices=["load", "statistics", "lfm", "content", "tune", "log-clean", "realtime"])
     ap.add_argument("--tables", help="side tables of the realtime job")
     ap.add_argument("--checkpoint", help="stream checkpoint folder (shared storage)")
     ap.add_argument("--once", action="store_true", help="process what is available, then stop")
     ap.add_argument("--source", default=None)
     ap.add_argument("--sink", required=True)
+    for name in ("source", "sink", "tables"):
+        ap.add_argument(f"--{name}-option", action="append", metavar="KEY=VALUE")
+    ap.add_argument("--similarity", choices=["stored", "content"], default="stored",
+                    help="similarity of the realtime job")
+    ap.add_argument("--top-n", type=int, help="cut similarity lists to this length (packed lists need it)")
     ap.add_argument("--movies")
     ap.add_argument("--ratings")
     ap.add_argument("--tags")
     ap.add_argument("--flat", action="store_true", help="write ranked rows instead of packed text")
     args = ap.parse_args(argv)
+    shared = SparkSession.getActiveSession() is not None  # the caller's session stays open
     spark = build_session(app_name=f"reelspark-{args.job}")
-    sink = _target(args.sink)
+    sink = _target(args.sink, args.sink_option)
+    source = _target(args.source, args.source_option) if args.source else {}
+    packed = not args.flat
     if args.job == "load":
         load_job(spark, args.movies, args.ratings, args.tags, sink)
     elif args.job == "statistics":
-        statistics_job(spark, _target(args.source), sink, packed=not args.flat)
+        statistics_job(spark, source, sink, packed=packed)
     elif args.job == "lfm":
-        lfm_job(spark, _target(args.source), sink, packed=False if args.flat else True)
+        lfm_job(spark, source, sink, packed=packed, sim_top_n=args.top_n)
     elif args.job == "content":
-        content_job(spark, _target(args.source), sink)
-    elif args.job in ("log-clean", "realtime"):
-        src = _target(args.source)
-        src = {"format": src["format"], "path": src["path"]}
+        content_job(spark, source, sink, packed=packed and args.top_n is not None, sim_top_n=args.top_n)
+    elif args.job == "tune":
+        tune_job(spark, source, sink)
+    else:
         trigger = {"availableNow": True} if args.once else None
         if args.job == "log-clean":
-            q = log_clean_job(spark, src, sink, args.checkpoint, trigger)
+            q = log_clean_job(spark, source, sink, args.checkpoint, trigger)
         else:
-            q = realtime_job(spark, src, _target(args.tables), sink, args.checkpoint, trigger)
+            q = realtime_job(spark, source, _target(args.tables, args.tables_option), sink, args.checkpoint,
+                             trigger, args.similarity)
         q.awaitTermination()
-    spark.stop()
+    if not shared:
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -154,6 +154,44 @@ def q_als_grid_search(spark: SparkSession, sf: str) -> DataFrame:
     return factor.als_grid_search(td.ratings_li(spark, sf))
 
 
+def embedding_factors(spark: SparkSession, sf: str) -> DataFrame:
+    e = td.table(spark, sf, "embeddings").where(F.col("embedding").isNotNull())
+    return e.select(F.col("vec_id").cast("int").alias("id"), F.col("embedding").cast("array<double>").alias("features"))
+
+
+def q_factor_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocked top-20 by dot product, the embeddings as both factor tables."""
+    v = embedding_factors(spark, sf)
+    return factor.top_products(v, v, 20).withColumn("score", F.round("score", REPORT_DECIMALS))
+
+
+def q_factor_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions of all distinct event pairs from given factors."""
+    v = embedding_factors(spark, sf)
+    pairs = td.ratings_ev(spark, sf).select("uid", "mid").distinct()
+    return factor.predict_pairs(v, v, pairs).withColumn("prediction", F.round("prediction", REPORT_DECIMALS))
+
+
+def q_als_recs_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Every user's ALS recommendations against the model's own factors."""
+    return factor.als_recs_check(_als_model(spark, sf))
+
+
+def q_als_user_optimality(spark: SparkSession, sf: str) -> DataFrame:
+    """Every user's normal equations over all ratings after the ALS fit."""
+    m = _als_model(spark, sf)
+    return factor.als_user_optimality(factor.factors(m, "user"), factor.factors(m, "item"), td.ratings_li(spark, sf))
+
+
+def q_content_neighbor_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """How many similar movies each movie has, from vector pairs alone."""
+    return content.content_sim_source(td.movies(spark, sf), threshold=0.8).neighbor_counts()
+
+
+def q_movie_tag_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.movie_tag_pairs(td.movies(spark, sf), td.tags(spark, sf))
+
+
 def q_pack_recs(spark: SparkSession, sf: str) -> DataFrame:
     """Top-10 per genre packed as ``(mid,score)|...`` text, best first."""
     flat = q_genre_topn(spark, sf)
@@ -192,6 +230,12 @@ def all_queries() -> dict[str, Query]:
         "rmse_item_mean": q_rmse_item_mean,
         "als_holdout_rmse": q_als_holdout_rmse,
         "als_grid_search": q_als_grid_search,
+        "factor_topk": q_factor_topk,
+        "factor_predict": q_factor_predict,
+        "als_recs_check": q_als_recs_check,
+        "als_user_optimality": q_als_user_optimality,
+        "content_neighbor_counts": q_content_neighbor_counts,
+        "movie_tag_pairs": q_movie_tag_pairs,
         "pack_recs": q_pack_recs,
         "unpack_recs": q_unpack_recs,
     }
@@ -217,6 +261,12 @@ def all_oracles() -> dict[str, str]:
         "realtime_lists": o.REALTIME_LISTS,
         "realtime_recs_as_coded": o.REALTIME_RECS_AS_CODED,
         "rmse_item_mean": o.RMSE_ITEM_MEAN,
+        "factor_topk": o.FACTOR_TOPK,
+        "factor_predict": o.FACTOR_PREDICT,
+        "als_recs_check": o.ALS_RECS_CHECK,
+        "als_user_optimality": o.ALS_USER_OPTIMALITY,
+        "content_neighbor_counts": o.CONTENT_VECTOR_PAIRS,
+        "movie_tag_pairs": o.MOVIE_TAG_PAIRS,
         "pack_recs": o.PACK_RECS,
         "unpack_recs": o.GENRE_TOPN,
     }

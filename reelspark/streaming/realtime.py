@@ -11,21 +11,24 @@ bucket of ``uid``; each batch then reads only the buckets of its own users
 (static partition pruning on the bucket ids of the batch - a list bounded by
 the bucket count), instead of scanning both tables every few seconds.
 
-Exactly-once: every output (recommendations, rejects, history increments) is
-written to a ``batch_id=N`` partition with dynamic partition overwrite, so a
-batch replayed after a failure replaces its own earlier attempt instead of
-appending twice. The checkpoint folder holds source offsets and commits.
+Exactly-once: every output (recommendations, lists, rejects, history
+increments) is written to its own ``batch_id=N`` folder with a plain
+overwrite, so a batch replayed after a failure replaces its own earlier
+attempt, also when it now has no rows. A batch reads only the history
+increments of earlier batches, never its own first attempt. The checkpoint
+folder holds source offsets and commits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspark.operators.logs import parse_ratings
-from reelspark.operators.realtime import N_CANDIDATES, N_RECENT, realtime_recs
+from reelspark.operators.realtime import N_CANDIDATES, N_RECENT, realtime_lists, realtime_recs
 from reelspark.streaming.sources import _trigger, read_lines
 
 
@@ -57,36 +60,63 @@ def prune_to_users(side: DataFrame, users: DataFrame, buckets: int = USER_BUCKET
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn("batch_id", F.lit(batch_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
 
 
-def with_event_ids(batch: DataFrame) -> DataFrame:
-    """Stable per-batch event ids: the Kafka (partition, offset) when present,
-    else the row position, which a replay of the same batch reproduces."""
+def earlier_batches(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    """Rows that batches before ``batch_id`` wrote under ``path`` (none at first)."""
+    rows = spark.read.schema(f"{schema}, batch_id long").option("basePath", path)
+    try:
+        return rows.parquet(path).where(F.col("batch_id") < batch_id).drop("batch_id")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def with_event_ids(batch: DataFrame, batch_id: int) -> DataFrame:
+    """Event ids that a replay reproduces and that rise from batch to batch:
+    the Kafka (partition, offset) when present, else the batch, the partition
+    and the row's place in it."""
     if "src_offset" in batch.columns:
         eid = F.shiftleft(F.col("src_partition").cast("long"), 40) + F.col("src_offset")
     else:
-        eid = F.monotonically_increasing_id()
+        place = F.monotonically_increasing_id()
+        row = place.bitwiseAND(F.lit((1 << 33) - 1))
+        eid = F.lit(int(batch_id) << 44) + F.shiftleft(F.shiftright(place, 33), 28) + row
     return batch.withColumn("event_id", eid)
 
 
+HISTORY = "event_id long, uid int, mid int, score double, timestamp int"
+
+
 def score_batch(batch: DataFrame, batch_id: int, history: Callable[[], DataFrame],
                 seen: DataFrame, sims: DataFrame, out_path: str,
                 rejects_path: str | None = None, history_path: str | None = None,
-                n_recent: int = N_RECENT, n_candidates: int = N_CANDIDATES) -> None:
-    parsed = parse_ratings(with_event_ids(batch).withColumnRenamed("value", "message"))
+                n_recent: int = N_RECENT, n_candidates: int = N_CANDIDATES,
+                lists_path: str | None = None) -> None:
+    """Score one micro-batch. With ``history_path`` the batch's ratings become
+    history for later batches; with ``lists_path`` one packed list per rating
+    is written, the empty list included."""
+    parsed = parse_ratings(with_event_ids(batch, batch_id).withColumnRenamed("value", "message"))
     parsed = parsed.persist()
     try:
         if rejects_path:
             _write_batch(parsed.where(~F.col("valid")).select("message"), rejects_path, batch_id)
         incoming = parsed.where("valid").select("event_id", "uid", "mid", "score", "timestamp")
-        hist_b = prune_to_users(history(), incoming)
+        hist = history()
+        hist_b = prune_to_users(hist, incoming)
+        if history_path:
+            past = earlier_batches(batch.sparkSession, history_path, batch_id, HISTORY)
+            hist_b = hist_b.unionByName(past, allowMissingColumns=True)
         seen_b = prune_to_users(seen, incoming)
         recs = realtime_recs(incoming, hist_b, seen_b, sims, n_recent=n_recent,
                              n_candidates=n_candidates)
         _write_batch(recs, out_path, batch_id)
+        if lists_path:
+            written = batch.sparkSession.read.schema("event_id long, uid int, mid int, score double").parquet(
+                f"{out_path.rstrip('/')}/batch_id={int(batch_id)}")
+            _write_batch(realtime_lists(written, incoming), lists_path, batch_id)
         if history_path:
             _write_batch(incoming, history_path, batch_id)
     finally:
@@ -96,17 +126,18 @@ def score_batch(batch: DataFrame, batch_id: int, history: Callable[[], DataFrame
 def start_realtime(spark: SparkSession, source: dict, history: Callable[[], DataFrame],
                    seen: DataFrame, sims: DataFrame, out_path: str, checkpoint: str,
                    rejects_path: str | None = None, history_path: str | None = None,
-                   trigger: dict | None = None):
+                   trigger: dict | None = None, lists_path: str | None = None):
     """Start the scoring stream (default trigger: 5-second micro-batches).
 
-    ``history`` is called once per batch, so it can re-read a table that
-    earlier batches append to (``history_path``); ``seen`` and ``sims`` are
-    static snapshots, as in the reference.
+    ``history`` is called once per batch and joined by what earlier batches
+    added under ``history_path``; ``seen`` and ``sims`` are static snapshots,
+    as in the reference.
     """
     lines = read_lines(spark, source)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        score_batch(batch, batch_id, history, seen, sims, out_path, rejects_path, history_path)
+        score_batch(batch, batch_id, history, seen, sims, out_path, rejects_path, history_path,
+                    lists_path=lists_path)
 
     w = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     return _trigger(w, trigger).start()

@@ -35,25 +35,27 @@ OUTPUT = T.StructType([
 ])
 
 
+def _newest(rows: pd.DataFrame, n: int) -> pd.DataFrame:
+    """The ``n`` newest rows in the order of ``recent_ratings``."""
+    order = np.lexsort((rows["score"].to_numpy(float), rows["mid"].to_numpy(np.int64),
+                        -rows["event_id"].to_numpy(np.int64), -rows["timestamp"].to_numpy(np.int64)))[:n]
+    return rows.iloc[order]
+
+
 def _merge_fn(n_recent: int):
     def run(key, pdfs, state):
-        uid = int(key[0])
+        top = pd.DataFrame({"mid": [], "score": [], "timestamp": [], "event_id": []})
         if state.exists:
             mids, scores, ts, eids = state.get
-            parts = [pd.DataFrame({"mid": list(mids), "score": list(scores),
-                                   "timestamp": list(ts), "event_id": list(eids)})]
-        else:
-            parts = []
-        for pdf in pdfs:
-            parts.append(pdf[["mid", "score", "timestamp", "event_id"]])
-        allr = pd.concat(parts, ignore_index=True)
-        order = np.lexsort((-allr["event_id"].to_numpy(np.int64),
-                            -allr["timestamp"].to_numpy(np.int64)))[:n_recent]
-        top = allr.iloc[order]
+            top = pd.DataFrame({"mid": list(mids), "score": list(scores),
+                                "timestamp": list(ts), "event_id": list(eids)})
+        for pdf in pdfs:  # folded chunk by chunk: a hot user never gathers more
+            chunk = pdf[["mid", "score", "timestamp", "event_id"]]
+            top = _newest(pd.concat([top, chunk], ignore_index=True) if len(top) else chunk, n_recent)
         value = (top["mid"].astype("int32").tolist(), top["score"].astype(float).tolist(),
                  top["timestamp"].astype("int32").tolist(), top["event_id"].astype("int64").tolist())
         state.update(value)
-        yield pd.DataFrame({"uid": [uid], "mids": [value[0]], "scores": [value[1]],
+        yield pd.DataFrame({"uid": [int(key[0])], "mids": [value[0]], "scores": [value[1]],
                             "ts": [value[2]], "eids": [value[3]]})
     return run
 

@@ -76,3 +76,13 @@ def test_genre_topn_cuts_at_n(spark):
     out = stats.genre_topn(m, stats.average_score(r, ordered=False))
     assert out.count() == 10
     assert out.agg(F.max("rank")).first()[0] == 10
+
+
+def test_very_long_genre_string(spark):
+    long = "x" * 20_000 + "|Drama|" + "y" * 300
+    movies = spark.createDataFrame([(1, long), (2, "Drama"), (3, "Melodrama|Dram")], "mid int, genres string")
+    avg = spark.createDataFrame([(1, 4.0), (2, 3.0), (3, 5.0)], "mid int, score double")
+    got = {(r["genres"], r["mid"]) for r in stats.genre_topn(movies, avg).collect()}
+    assert {m for g, m in got if g == "Drama"} == {1, 2}
+    assert {m for g, m in got if g == "Dram"} == {1, 2, 3}
+    assert {m for g, m in got if len(g) == 20_000} == {1}

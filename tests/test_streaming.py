@@ -1,5 +1,7 @@
+import math
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from reelspark.operators.logs import log_to_ratings
@@ -114,3 +116,39 @@ def test_realtime_stream_with_bucketed_side_tables(spark, tmp_dir):
     assert got.select("batch_id").distinct().count() == 2
     assert got.count() == want.count() > 0
     assert got.select(*key).exceptAll(want.select(*key)).count() == 0
+
+
+def _batch(spark, *messages):
+    return spark.createDataFrame([(m,) for m in messages], "value string").coalesce(1)
+
+
+def test_replayed_batches_change_nothing(spark, tmp_dir):
+    from reelspark.streaming.realtime import score_batch
+    sims = spark.createDataFrame([(50, 10, 0.9), (10, 50, 0.9), (10, 1, 0.8), (1, 10, 0.8)], "mid int, sim_mid int, sim double")
+    hist = spark.createDataFrame([(1, 7, 1, 4.0, 100)], "event_id long, uid int, mid int, score double, timestamp int")
+    seen = spark.createDataFrame([], "uid int, mid int")
+    out, lists, past, rej = (os.path.join(tmp_dir, n) for n in ("recs", "lists", "past", "rejects"))
+
+    def run(batch_id, *messages):
+        score_batch(_batch(spark, *messages), batch_id, lambda: hist, seen, sims, out, rej, past, lists_path=lists)
+
+    def state():
+        return [sorted(map(tuple, spark.read.parquet(p).collect())) for p in (out, lists, past)]
+
+    run(0, "7|50|5.0|200", "8|50|5.0|201")
+    first = state()
+    assert len(first[0]) == 1 and len(first[1]) == 2  # user 8 has no history: an empty list
+    run(0, "7|50|5.0|200", "8|50|5.0|201")
+    assert state() == first
+    # the second batch sees the ratings of the first: item 50 counts for candidate 10
+    run(1, "7|50|5.0|300", "8|50|5.0|301")
+    second = state()
+    new = {r[1]: r[3] for r in second[0] if r[4] == 1}
+    assert new[7] == pytest.approx((0.8 * 4 + 0.9 * 5) / 2 + math.log10(2)) and new[8] == pytest.approx(0.9 * 5)
+    run(1, "7|50|5.0|300", "8|50|5.0|301")
+    run(0, "7|50|5.0|200", "8|50|5.0|201")
+    assert state() == second
+    assert len({r[0] for r in second[2]}) == 4  # event ids differ between batches
+    # a replay that now has nothing leaves nothing behind
+    run(1)
+    assert [r for r in state()[0] if r[4] == 1] == [] and [r for r in state()[1] if r[3] == 1] == []
