@@ -1,0 +1,56 @@
+"""Small fixtures shared by the tests of this folder."""
+
+from __future__ import annotations
+
+import re
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def docs(spark, texts, **columns):
+    """Documents of (id, text) pairs, with clashing extra columns if given."""
+    rows = [(i, t, "en", "src0", None if t is None else len(t)) for i, t in texts]
+    df = spark.createDataFrame(rows, DOCS)
+    from pyspark.sql import functions as F
+    for name, value in columns.items():
+        df = df.withColumn(name, F.lit(value))
+    return df
+
+
+def near_words(text):
+    return [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").translate(LOWER)) if w]
+
+
+def bench_words(text):
+    return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER)) if w]
+
+
+def components(nodes, links):
+    """Smallest reachable node per node."""
+    up = {n: n for n in nodes}
+
+    def find(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        if a != b:
+            up[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def brute_near(texts):
+    """doc_id -> (set size, component) by comparing all pairs of texts."""
+    sets = {}
+    for i, t in texts:
+        w = near_words(t)
+        sets[i] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    ids = sorted(sets)
+    links = [(a, b) for k, a in enumerate(ids) for b in ids[:k]
+             if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    comp = components(ids, links)
+    return {i: (len(sets[i]), comp[i]) for i in ids}

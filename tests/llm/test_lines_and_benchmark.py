@@ -1,0 +1,129 @@
+"""Line dedup and decontamination against brute force."""
+
+from collections import defaultdict
+from hashlib import sha256
+
+import pytest
+from pyspark.sql import functions as F
+
+from reelspark.llm import decontam, linededup
+from tests.conftest import plan_text
+from tests.llm.helpers import LOWER, bench_words, docs
+
+LONG = "This line is long enough to count"
+LINES = [
+    (1, f"{LONG}\nown line of the first document\n"), (2, f"  {LONG.upper()}\t\nshort\nshort"), (3, f"x\n{LONG}\n{LONG}"),
+    (4, "short\nshort"), (5, None), (6, ""), (7, "\n\n"), (8, "Émile était une ligne assez longue"),
+    (9, "émile était une ligne assez longue"), (10, "émile était une ligne assez longue"),
+    (11, "\x85not ascii space at the edges"), (12, "not ascii space at the edges"),
+    (13, "\n".join(f"line number {i} of the very long document" for i in range(3000))),
+    (14, "\n".join(f"line number {i} of the very long document" for i in range(2999, -1, -1))),
+    (15, "\n".join(f"line number {i} of the very long document" for i in range(0, 3000, 2))),
+]
+
+
+def brute_lines(rows, min_docs=3, min_chars=20):
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+    held = defaultdict(set)
+    for i, t in rows:
+        for x in (t or "").split("\n"):
+            if len(key(x)) >= min_chars:
+                held[key(x)].add(i)
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if not (len(held.get(key(x), ())) >= min_docs and i < max(held[key(x)]))]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("batches", [1, 4, 9])
+def test_line_dedup_equals_brute_force(spark, batches):
+    d = docs(spark, LINES, place=1, h1="clash", key="clash", kept_text="clash")
+    out = linededup.dedup_lines(d, batches=batches)
+    got = sorted((r["doc_id"], r["n_lines"], r["n_dropped"], r["kept_text"]) for r in out.collect())
+    assert got == brute_lines(LINES)
+    assert out.columns.count("kept_text") == 1 and "h1" in out.columns
+
+
+def test_line_dedup_ties_nulls_and_empty(spark):
+    rows = [(1, LONG), (1, LONG), (1, f"a\n{LONG}"), (2, LONG), (3, LONG), (None, LONG)]
+    got = sorted(((r["doc_id"] or 0), r["n_dropped"], r["kept_text"]) for r in linededup.dedup_lines(docs(spark, rows)).collect())
+    assert got == [(0, 1, ""), (1, 1, ""), (1, 1, ""), (1, 1, "a"), (2, 1, ""), (3, 0, LONG)]
+    assert linededup.dedup_lines(docs(spark, [])).collect() == []
+
+
+def test_runs_are_compacted_by_level(spark):
+    runs = linededup.SortedRuns(spark, fanout=2)
+    for b in range(5):
+        rows = [(b * 10 + i, LONG) for i in range(2)]
+        runs.add(linededup.line_hashes(docs(spark, rows), "text", "doc_id", 1, 20))
+    assert [len(x) for x in runs.levels] == [1, 0, 1]
+    assert [(r["n_docs"], r["last_doc"]) for r in runs.entries().collect()] == [(10, 41)]
+    batch = linededup.line_hashes(docs(spark, [(7, LONG), (99, LONG), (8, "another line of some length")]), "text", "doc_id", 1, 20)
+    assert sorted(r["doc"] for r in runs.survivors(batch, 3).collect()) == [8, 99]
+    assert [r["doc"] for r in runs.dropped(batch, 3).collect()] == [7]
+
+
+def test_native_plans(spark):
+    plan = plan_text(linededup.dedup_lines(docs(spark, LINES[:3])))
+    plan += plan_text(decontam.contamination(docs(spark, LINES[:3]), spark.createDataFrame([(1, "a b c")], "item_id long, text string")))
+    assert not [w for w in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop") if w in plan]
+
+
+def brute_hits(rows, items, window=13):
+    wins = defaultdict(set)
+    for item, t in items:
+        w = bench_words(t)
+        for k in range(max(1, len(w) - window + 1)) if w else ():
+            wins[tuple(w[k:k + window])].add(str(item))
+    out = []
+    for i, t in rows:
+        w = bench_words(t)
+        hit, found = set(), set()
+        for win, own in wins.items():
+            for k in range(len(w) - len(win) + 1):
+                if tuple(w[k:k + len(win)]) == win:
+                    hit.update(range(k, k + len(win)))
+                    found |= own
+        out.append((i, len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=repr)
+
+
+ITEM = " ".join(f"word{i}" for i in range(20))
+ITEMS = [(1, ITEM), (2, "short item"), (3, None), (4, "..."), (5, ITEM + " more words after it"), (10, "solo"), (10, ITEM),
+         (11, "a a a a a a a a a a a a a a a")]
+TEXTS = [
+    (1, "before " + ITEM.upper() + " after"), (2, " ".join(ITEM.split()[3:16])), (3, " ".join(ITEM.split()[3:15])),
+    (4, "a SHORT, item! and solo"), (5, None), (6, ""), (7, "?!"), (8, "a " * 40), (9, "filler " * 400 + ITEM),
+    (10, "Solo" + " x" * 18), (11, "sólo solo" + " x" * 30), (12, "short"), (13, "wörd " + "solo-solo " * 3),
+    (14, " ".join(ITEM.split()[::-1])), (15, ITEM.replace(" ", "--") + "\n" + ITEM),
+]
+
+
+def contaminated(df):
+    return sorted(((r["doc_id"], r["n_words"], r["n_hit"], list(r["items"]), r["contaminated"]) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("limit", [decontam.BROADCAST_ROWS, 0])
+def test_decontamination_equals_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontam, "bounded", lambda df, n=limit: F.broadcast(df) if n else df)
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string").withColumn("token", F.lit("clash"))
+    d = docs(spark, TEXTS, ws="clash", token="clash")
+    assert contaminated(decontam.contamination(d, bench)) == brute_hits(TEXTS, ITEMS)
+
+
+def test_decontamination_ties_nulls_and_empty(spark):
+    rows = [(1, ITEM), (1, ITEM), (1, "clean text"), (None, ITEM), (None, "clean")]
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    d = docs(spark, rows)
+    assert contaminated(decontam.contamination(d, bench)) == brute_hits(rows, ITEMS)
+    assert sorted(((r["doc_id"] or 0), r["text"]) for r in decontam.drop_contaminated(d, bench).collect()) == [
+        (0, "clean"), (1, "clean text")]
+    assert decontam.contamination(docs(spark, []), bench).collect() == []
+    none = contaminated(decontam.contamination(d, bench.where("item_id < 0")))
+    assert [x[2:] for x in none] == [(0, [], False)] * len(rows)
+
+
+def test_digests(spark):
+    assert sha256(b"").hexdigest() == spark.range(1).select(F.sha2(F.encode(F.array_join(F.array().cast("array<string>"), ","), "UTF-8"), 256)).first()[0]

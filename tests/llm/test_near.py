@@ -1,0 +1,165 @@
+"""Near-duplicates of texts and vectors, and components, against brute force."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from reelspark.llm import embdedup, minhash, queries
+from reelspark.llm.components import connected_components, forest
+from tests.conftest import SF_SMALL
+from tests.llm.helpers import brute_near, components, docs
+
+
+def test_forest_and_components_equal_union_find(spark):
+    rng = random.Random(1)
+    links = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(150)]
+    links += [(1000 + i, 1001 + i) for i in range(60)] + [(5000, x) for x in range(4000, 4200)]  # a chain and a hub
+    links = [x for x in links if x[0] != x[1]]
+    want = components({n for x in links for n in x}, links)
+    node, root = forest(np.array([a for a, _ in links]), np.array([b for _, b in links]))
+    assert dict(zip(node.tolist(), root.tolist())) == want
+    df = spark.createDataFrame([*links, (None, 3), (7, 7)], "a long, b long").repartition(5)
+    got = connected_components(df).collect()
+    assert len(got) == len(want) and {r["id"]: r["component_id"] for r in got} == want
+
+
+def test_no_links(spark):
+    assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_super_minhash_is_a_permutation_rank_sketch():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 7, 60, 700, 5000):
+        e = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        sig = minhash.super_minhash(e)
+        assert (sig < np.uint64(minhash.PERMUTED) << np.uint64(32)).all()
+        slow = np.full(minhash.PERMUTED, np.iinfo(np.uint64).max, np.uint64)
+        for x in e:  # every rank of every element, without stopping early
+            order = list(range(minhash.PERMUTED))
+            for rank in range(minhash.PERMUTED):
+                y = int(minhash.mix(np.array([x], np.uint64) + np.uint64((rank + 1) * 0x632BE59BD9B4E019 & (1 << 64) - 1))[0])
+                pick = rank + (((y & 0xFFFFFFFF) * (minhash.PERMUTED - rank)) >> 32)
+                order[rank], order[pick] = order[pick], order[rank]
+                slow[order[rank]] = min(slow[order[rank]], np.uint64(rank << 32 | y >> 32))
+            if n > 100:
+                break
+        if n <= 100:
+            assert (sig == slow).all()
+
+
+def test_super_minhash_estimates_similarity():
+    rng = np.random.default_rng(2)
+    errors = []
+    for _ in range(40):
+        e = np.unique(rng.integers(0, 1 << 63, 400).astype(np.uint64))
+        a, b = e[:350], e[50:]
+        errors.append((minhash.super_minhash(a) == minhash.super_minhash(b)).mean() - 0.75)
+    assert abs(np.mean(errors)) < 0.02 and np.std(errors) < math.sqrt(0.75 * 0.25 / minhash.PERMUTED) * 1.2
+
+
+def near_rows():
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    base = [word() for _ in range(60)]
+    rows = [(100 + i, " ".join(base[:i] + ["CHANGED"] + base[i + 1:])) for i in range(0, 60, 3)]
+    rows += [(200 + i, " ".join(base)) for i in range(5)] + [(300, " ".join(base).upper()), (301, "\n".join(base))]
+    chain = [word() for _ in range(120)]  # neighbours alike, ends unlike
+    rows += [(400 + i, " ".join(chain[5 * i:5 * i + 60])) for i in range(12)]
+    rows += [(500, None), (501, ""), (502, " \t"), (503, "two words"), (504, "Two  words"), (505, "\x85"), (506, "\x85")]
+    rows += [(600 + i, " ".join(word() for _ in range(rng.randint(1, 80)))) for i in range(60)]
+    rows += [(700, "w " * 30_000), (701, "w " * 20_000)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("block", [minhash.BLOCK, 3])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rows = near_rows()
+    want = brute_near(rows)
+    d = docs(spark, rows, bucket="clash", band=1, comp=2)
+    got = minhash.near_duplicates(d.repartition(4)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r["n_shingles"], r["component_id"]) == want[r["doc_id"]]
+        assert r["kept"] == (r["doc_id"] == r["component_id"])
+    kept = sorted(r["doc_id"] for r in minhash.keep_first(d).collect())
+    assert kept == sorted(i for i, (_, c) in want.items() if i == c)
+
+
+def test_near_duplicates_ties_nulls_and_empty(spark):
+    a, b = "one two three four five six seven", "other words of a quite different text here"
+    rows = [(3, a), (3, a), (3, b), (1, b), (2, a), (None, a), (None, b)]
+    d = docs(spark, rows)
+    got = sorted((r["doc_id"] or 0, r["component_id"] or 0, r["kept"]) for r in minhash.near_duplicates(d).collect())
+    assert got == [(0, 0, True), (0, 0, True), (1, 1, True), (2, 2, True), (3, 1, False), (3, 2, False), (3, 2, False)]
+    assert len(minhash.keep_first(d).collect()) == 4
+    assert minhash.near_duplicates(docs(spark, [])).collect() == []
+
+
+def test_long_texts_in_pieces_hash_the_same(monkeypatch):
+    text = " ".join(f"word{i % 977} " for i in range(5000))
+    whole = minhash.Shingler().shingles(text)
+    monkeypatch.setattr(minhash, "_PIECE", 1000)
+    assert (minhash.Shingler().shingles(text) == whole).all()
+
+
+def test_minhash_query_on_whole_table(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    want = brute_near(rows)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in queries.op10_minhash_dedup(spark, SF_SMALL).collect()}
+    assert got == want
+
+
+def vectors():
+    rng = np.random.default_rng(9)
+    rows, centre = [], rng.standard_normal((20, 16))
+    for k, c in enumerate(centre):
+        for i in range(k % 6 + 1):
+            rows.append((len(rows), (c + rng.standard_normal(16) * 0.12).astype(float).tolist()))
+    rows += [(1000 + i, centre[3].tolist()) for i in range(40)] + [(2000, (centre[3] * 7.5).tolist()), (2001, (centre[3] * 1e150).tolist())]
+    rows += [(3000, None), (3001, [0.0] * 16), (3002, [0.0] * 16), (3003, [float("nan")] + [1.0] * 15), (3004, [float("inf")] * 16),
+             (3005, [None] + [1.0] * 15), (3006, []), (3007, [1.0, 0.0]), (3008, [1.0, 0.1]), (3009, (-centre[3]).tolist())]
+    return rows
+
+
+def brute_vectors(rows, threshold=0.9):
+    ok = [(i, np.array(v)) for i, v in rows if v and None not in v and np.isfinite(v).all() and np.any(v)]
+    unit = {i: v / np.abs(v).max() / np.linalg.norm(v / np.abs(v).max()) for i, v in ok}
+    links = [(a, b) for a in unit for b in unit if b < a and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= threshold]
+    comp = components([i for i, _ in rows], links)
+    n = {i: sum(i in x for x in links) for i, _ in rows}
+    return {i: (n[i], comp[i]) for i, _ in rows}, len(links)
+
+
+@pytest.mark.parametrize("block", [embdedup.BLOCK, 5])
+def test_vectors_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(embdedup, "BLOCK", block)
+    rows = vectors()
+    want, n_links = brute_vectors(rows)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("label", F.lit(1)).withColumn("h1", F.lit("x"))
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embdedup.near_duplicates(df, recall=0.9999).collect()}
+    assert len(got) == len(rows)
+    assert sum(x[0] for x in got.values()) / 2 >= 0.99 * n_links
+    for i, (n, c) in want.items():
+        assert got[i][0] <= n and got[i][2] == (got[i][1] == i)
+    assert {i: x[:2] for i, x in got.items()} == want
+
+
+def test_vectors_ties_nulls_and_empty(spark):
+    schema = "vec_id long, embedding array<float>"
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, -0.0]), (None, [1.0, 0.0])]
+    got = sorted((r["vec_id"] or 0, r["n_links"], r["component_id"], r["kept"])
+                 for r in embdedup.near_duplicates(spark.createDataFrame(rows, schema)).collect())
+    assert got == [(0, 0, None, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
+    assert embdedup.near_duplicates(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_plan_reaches_its_recall():
+    for n in (10, 10_000, 10**9):
+        planes, tables = embdedup.plan(n)
+        agree = (1 - math.acos(0.9) / math.pi) ** planes
+        assert 1 - (1 - agree) ** tables >= embdedup.RECALL
