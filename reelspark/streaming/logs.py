@@ -16,7 +16,8 @@ from reelspark.streaming.sources import read_lines, write_lines
 def start_log_cleaning(spark: SparkSession, source: dict, sink: dict, checkpoint: str,
                        trigger: dict | None = None, parsed: bool = False,
                        keep_unmatched: bool = False):
-    """Start the cleaning stream.
+    """Start the cleaning stream. ``log_rejects`` (``operators/logs.py``) gives
+    the messages that the typed form leaves out, as a stream of its own.
 
     ``parsed=False`` writes the message text as ``value`` (for a Kafka topic
     consumed by the scorer); ``parsed=True`` writes typed rating rows.

@@ -97,3 +97,9 @@ def test_parse_recent_entry(spark):
     df = spark.createDataFrame([("1:3.0",), (" 2 : 4.5 ",), ("x:1",), ("7",)], "e string")
     got = [(r["p"]["mid"], r["p"]["score"]) for r in df.select(parse_recent_entry("e").alias("p")).collect()]
     assert got == [(1, 3.0), (2, 4.5), (None, 1.0), (7, None)]
+
+
+def test_malformed_list_entries_are_listed(spark):
+    df = spark.createDataFrame([("(1,2.5)|(x,1)|7",), (None,), ("",), ("(3,4.0)",)], "t string")
+    got = [r[0] for r in df.select(lists.malformed_entries(F.col("t"))).collect()]
+    assert got == [["(x,1)", "7"], [], [], []]
