@@ -80,7 +80,7 @@ class FactoredSims:
         TF-IDF and block products per batch. Members get a reliable
         checkpoint; vector pairs are written to ``path`` (default: a folder in
         the session's checkpoint dir) partitioned by a hash bucket of
-        ``id_a``, and every later lookup reads only the buckets it needs."""
+        ``id_a``, a join column of every later lookup."""
         spark = self.members.sparkSession
         root = checkpoint_dir(spark)
         path = path or f"{root.rstrip('/')}/factored-sims-{uuid.uuid4().hex}"
@@ -89,29 +89,29 @@ class FactoredSims:
         return FactoredSims(self.members.checkpoint(eager=True), spark.read.parquet(path),
                             buckets=buckets)
 
-    def _pairs_for(self, vkeys: DataFrame) -> DataFrame:
-        """Vector pairs whose ``id_a`` may be in ``vkeys`` (bucket-pruned)."""
+    def _with_bucket(self, df: DataFrame, key: str = "id_a") -> tuple[DataFrame, list[str]]:
+        """``df`` ready to join the vector pairs: with stored pairs the bucket
+        of ``key`` is a join column too, so Spark can prune the scan to the
+        buckets at hand when it runs; nothing is collected for it."""
         if not self.buckets:
-            return self.vpairs
-        ids = [r[0] for r in vkeys.select(_bucket("vkey", self.buckets).alias("b")).distinct().collect()]
-        return self.vpairs.where(F.col(BUCKET_COL).isin(ids)).drop(BUCKET_COL)
+            return df, []
+        return df.withColumn(BUCKET_COL, _bucket(key, self.buckets)), [BUCKET_COL]
 
     def neighbors(self, items: DataFrame) -> DataFrame:
         src = self.members.join(items.select("mid"), "mid", "left_semi")
-        a = src.select("mid", F.col("vkey").alias("id_a"))
+        a, on = self._with_bucket(src.select("mid", F.col("vkey").alias("id_a")))
         b = self.members.select(F.col("mid").alias("sim_mid"), F.col("vkey").alias("id_b"))
-        return (a.join(self._pairs_for(src.select("vkey")), "id_a").join(b, "id_b")
+        return (a.join(self.vpairs, [*on, "id_a"]).join(b, "id_b")
                 .where(F.col("mid") != F.col("sim_mid"))
                 .select("mid", "sim_mid", "sim"))
 
     def pair_sims(self, pairs: DataFrame, a: str, b: str, out: str = "sim") -> DataFrame:
         ma = self.members.select(F.col("mid").alias(a), F.col("vkey").alias("id_a"))
         mb = self.members.select(F.col("mid").alias(b), F.col("vkey").alias("id_b"))
-        keyed = pairs.join(ma, a, "left").join(mb, b, "left")
-        vp = self._pairs_for(self.members.join(pairs.select(F.col(a).alias("mid")), "mid", "left_semi"))
-        looked = keyed.join(vp, ["id_a", "id_b"], "left")
+        keyed, on = self._with_bucket(pairs.join(ma, a, "left").join(mb, b, "left"))
+        looked = keyed.join(self.vpairs, [*on, "id_a", "id_b"], "left")
         sim = F.when(F.col(a) != F.col(b), F.col("sim"))
-        return looked.withColumn(out, sim).drop("id_a", "id_b", *([] if out == "sim" else ["sim"]))
+        return looked.withColumn(out, sim).drop("id_a", "id_b", *on, *([] if out == "sim" else ["sim"]))
 
     def neighbor_counts(self) -> DataFrame:
         """``(mid, n_similar)`` of every member, from the factored form alone:
