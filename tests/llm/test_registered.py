@@ -1,0 +1,85 @@
+"""The registered queries of the subpackage: SQL, plans, the pipeline's stages."""
+
+import os
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from reelspark.llm import decontam, linededup, queries
+from tests.conftest import ROOT, SF_SMALL, plan_text
+from tests.llm.helpers import bench_words, brute_near, docs
+
+sys.path.insert(0, os.path.join(ROOT, "scripts"))
+
+import __spark_entry__ as E  # noqa: E402
+from oracle_check import compare  # noqa: E402
+
+
+def test_one_query_per_operator_is_registered():
+    names = [n for n in E.queries() if n.startswith("op")]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+
+
+@pytest.mark.parametrize("name", sorted(queries.all_oracles()))
+def test_query_matches_its_sql(spark, name):
+    res = compare(spark, SF_SMALL, [name], verbose=False)
+    assert res[name][0] == "MATCH", res[name]
+
+
+@pytest.mark.parametrize("name", ["op4_line_dedup", "op5_decontamination", "op9_embedding_dedup", "op10_minhash_dedup"])
+def test_no_pairwise_join(spark, name):
+    plan = plan_text(queries.all_queries()[name](spark, SF_SMALL))
+    assert not [op for op in ("CartesianProduct", "BroadcastNestedLoopJoin") if op in plan]
+
+
+def test_stages(spark):
+    start = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "decontamination", "tokens"]
+    d = start.withColumn("text", F.when(F.col("doc_id") == 3, "1234 5678").otherwise(F.col("text"))).cache()
+    one = corpus_pipeline.language_id(spark, d, SF_SMALL)
+    assert one.columns == d.columns
+    left = {r["doc_id"] for r in d.collect()} - {r["doc_id"] for r in one.collect()}
+    assert 3 in left and len(left) <= 2
+
+    two = corpus_pipeline.line_dedup(spark, one, SF_SMALL).cache()
+    assert two.columns == d.columns and two.count() == one.count()
+    want = {r["doc_id"]: r["kept_text"] for r in linededup.dedup_lines(one).collect()}
+    assert {r["doc_id"]: r["text"] for r in two.collect()} == want
+    assert two.where(F.col("n_chars") != F.char_length("text")).count() == 0
+
+    three = corpus_pipeline.near_dedup(spark, two, SF_SMALL).cache()
+    comp = brute_near([(r["doc_id"], r["text"]) for r in two.collect()])
+    assert sorted(r["doc_id"] for r in three.collect()) == sorted(i for i, (_, c) in comp.items() if c == i)
+
+    bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    four = corpus_pipeline.decontamination(spark, three, SF_SMALL).cache()
+    bad = {r["doc_id"] for r in decontam.contamination(three, bench).where("contaminated").collect()}
+    assert {r["doc_id"] for r in four.collect()} == {r["doc_id"] for r in three.collect()} - bad
+
+    five = corpus_pipeline.tokens(spark, four, SF_SMALL)
+    text = {r["doc_id"]: r["text"] for r in four.collect()}
+    rows = five.collect()
+    assert len(rows) == len(text) and all(len(r["ids"]) == r["n_tokens"] for r in rows)
+    for r in rows:  # decoding gives the words back, lower-cased and split into tokens
+        joined = r["decoded"].replace("</w>", "").replace(" ", "")
+        assert text[r["doc_id"]].isascii() is False or joined == "".join(text[r["doc_id"]].lower().split())
+
+
+def test_stages_take_nulls_ties_and_empty_tables(spark):
+    rows = [(1, None), (2, ""), (3, "the and of that with this from"), (3, "the and of that with this from"), (None, "the and of that with")]
+    for d in (docs(spark, rows), docs(spark, [])):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, d, SF_SMALL).columns == d.columns
+            stage(spark, d, SF_SMALL).collect()
+        assert len(corpus_pipeline.tokens(spark, d, SF_SMALL).collect()) == d.count()
+
+
+def test_contaminated_words_are_counted_on_whole_texts(spark):
+    item = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").orderBy("item_id").first()["text"]
+    d = docs(spark, [(1, "x " * 5000 + item), (2, item)])
+    got = {r["doc_id"]: r for r in decontam.contamination(d, spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")).collect()}
+    n = len(bench_words(item))
+    assert got[1]["n_hit"] == got[2]["n_hit"] == n and got[1]["n_words"] == 5000 + n
+    assert got[2]["contaminated"] and not got[1]["contaminated"]
