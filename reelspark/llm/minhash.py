@@ -14,11 +14,13 @@ bands; a pair of similarity 0.75 misses all of them with probability
 the whole texts, in two rounds:
 
 1. every class against the smallest class id that it shares a band with;
-2. in bands whose members lie in different components after that, every pair
+2. in bands whose members lie in different components after that, all pairs
    across components whose signatures agree in ``MIN_AGREE`` of the places
-   (a pair of similarity 0.75 has less with probability 1e-7). Members of large
-   buckets are compared in blocks of ``BLOCK`` rows, each pair of blocks in a group
-   of its own.
+   (a pair of similarity 0.75 has less with probability 1e-7), each in the
+   first band that it shares. Members of large buckets are compared in blocks
+   of ``BLOCK`` rows, each pair of blocks on its own. Texts travel with the
+   members that have such a partner, once per block, and a task returns links
+   that join components, so pairs are never rows.
 
 Pairs inside a component need no look, so copies are not expanded into pairs
 and no link between components is lost. Verified links go through distributed
@@ -35,7 +37,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -172,10 +173,19 @@ def signatures(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> D
                            "doc_id long, text_hash long, n_shingles long, d1 long, d2 long, sig binary")
 
 
+def similar(s: np.ndarray, t: np.ndarray) -> bool:
+    """Whether two sorted distinct sets have the similarity asked for."""
+    both = len(s) + len(t)
+    if min(len(s), len(t)) * 100 < max(len(s), len(t)) * SIMILARITY:
+        return False
+    common = both - len(np.unique(np.concatenate((s, t))))
+    return bool(common and 100 * common >= SIMILARITY * (both - common))
+
+
 def similar_udf():
     """Arrow UDF (text, text) -> whether their full shingle sets are similar enough."""
     @F.arrow_udf("boolean")
-    def similar(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def verdicts(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         shingler = Shingler()
         last_text, last = None, None
         for left, right in batches:
@@ -184,16 +194,10 @@ def similar_udf():
                 a, b = left[i].as_py(), right[i].as_py()
                 if last is None or b != last_text:
                     last_text, last = b, shingler.shingles(b)
-                s = shingler.shingles(a)
-                both = len(s) + len(last)
-                if min(len(s), len(last)) * 100 < max(len(s), len(last)) * SIMILARITY:
-                    out.append(False)
-                    continue
-                common = both - len(np.unique(np.concatenate((s, last))))
-                out.append(bool(common and 100 * common >= SIMILARITY * (both - common)))
+                out.append(similar(shingler.shingles(a), last))
             yield pa.array(out, pa.bool_())
 
-    return similar
+    return verdicts
 
 
 def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -203,19 +207,105 @@ def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.where(similar_udf()("text_a", "text_b")).select("a", "b")
 
 
-def _cross_pairs(group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs across components of one pair of blocks that agree enough."""
-    sig = np.frombuffer(b"".join(group["sig"]), "<u2").reshape(len(group), -1)
-    ids, comp = group["id"].to_numpy(), group["comp"].to_numpy()
-    one = np.flatnonzero(group["side"].to_numpy() != 1)
-    two = np.flatnonzero(group["side"].to_numpy() != 0)
-    a, b = [], []
-    for i in one:
-        agree = (sig[two] == sig[i]).mean(axis=1)
-        hit = two[(agree >= MIN_AGREE) & (comp[two] != comp[i]) & (ids[two] != ids[i])]
-        a.append(np.minimum(ids[i], ids[hit]))
-        b.append(np.maximum(ids[i], ids[hit]))
-    return pd.DataFrame({"b": np.concatenate(a), "a": np.concatenate(b)}).drop_duplicates() if a else pd.DataFrame({"b": [], "a": []})
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Rows of equal values in the first ``keys`` columns, from sorted batches."""
+    held = None
+    for batch in batches:
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        change = np.zeros(max(batch.num_rows - 1, 0), bool)
+        for k in range(keys):
+            values = batch.column(k).to_numpy()
+            change |= values[1:] != values[:-1]
+        at = 0
+        for end in np.flatnonzero(change) + 1:
+            yield batch.slice(at, end - at)
+            at = int(end)
+        held = batch.slice(at) if batch.num_rows else None
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _candidates(run: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, row, agreement) of a run's pairs that round 2 has to verify."""
+    col = {name: run.column(k) for k, name in enumerate(run.schema.names)}
+    sig = np.frombuffer(b"".join(col["sig"].to_pylist()), "<u2").reshape(run.num_rows, -1)
+    bands = sig.view("<u8")
+    ids, comp, side = (col[c].to_numpy() for c in ("id", "comp", "side"))
+    band = int(col["band"][0].as_py())
+    one, two = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    left, right, share = [], [], []
+    step = max(1, (1 << 24) // (max(len(two), 1) * sig.shape[1]))
+    for at in range(0, len(one), step):
+        rows = one[at:at + step]
+        far = (comp[rows][:, None] != comp[two][None, :]) & (ids[rows][:, None] != ids[two][None, :])
+        if side[rows[0]] == 2:  # a block with itself: each pair once
+            far &= rows[:, None] < two[None, :]
+        i, j = np.nonzero(far)
+        i, j = rows[i], two[j]
+        for part in range(0, len(i), 1 << 16):
+            x, y = i[part:part + (1 << 16)], j[part:part + (1 << 16)]
+            agree = (sig[x] == sig[y]).mean(axis=1)
+            ok = (agree >= MIN_AGREE) & ~(bands[x, :band] == bands[y, :band]).any(axis=1)
+            left.append(x[ok])
+            right.append(y[ok])
+            share.append(agree[ok])
+    if not left:
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0)
+    return np.concatenate(left), np.concatenate(right), np.concatenate(share)
+
+
+def _with_partner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows that have a pair to verify in their run."""
+    out, held = [], 0
+    for run in runs(batches, 3):
+        i, j, _ = _candidates(run)
+        if len(i):
+            out.append(run.take(pa.array(np.unique(np.concatenate([i, j])))))
+            held += out[-1].num_rows
+            if held >= 4096:
+                yield pa.Table.from_batches(out).combine_chunks().to_batches()[0]
+                out, held = [], 0
+    if out:
+        yield pa.Table.from_batches(out).combine_chunks().to_batches()[0]
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of runs of rows with texts that join components of the run, the
+    most similar signatures first."""
+    shingler = Shingler()
+    sets: dict[int, np.ndarray] = {}
+    found: list[tuple[int, int]] = []
+    for run in runs(batches, 3):
+        i, j, agree = _candidates(run)
+        ids, comp = run.column("id").to_pylist(), run.column("comp").to_pylist()
+        texts = run.column("text")
+        up: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while up.get(c, c) != c:
+                c = up[c]
+            return c
+
+        def shingles(k: int) -> np.ndarray:
+            if ids[k] not in sets:
+                if len(sets) >= 2 * BLOCK:
+                    sets.clear()
+                sets[ids[k]] = shingler.shingles(texts[k].as_py())
+            return sets[ids[k]]
+
+        for k in np.argsort(-agree, kind="stable"):
+            x, y = int(i[k]), int(j[k])
+            a, b = root(comp[x]), root(comp[y])
+            if a != b and similar(shingles(x), shingles(y)):
+                up[max(a, b)] = min(a, b)
+                found.append((ids[x], ids[y]))
+        if len(found) >= 4096:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+            found = []
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -226,7 +316,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     classes = materialise(named.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")),
                           "set-classes")
     members = (classes.select("id", "sig", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
-               .select("id", F.xxhash64("band", F.expr(f"substring(sig, band * {2 * BAND_ROWS} + 1, {2 * BAND_ROWS})")).alias("bucket")))
+               .select("id", "band", F.xxhash64("band", F.expr(f"substring(sig, band * {2 * BAND_ROWS} + 1, {2 * BAND_ROWS})")).alias("bucket")))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("id").alias("low")).where("size > 1")
     shared = materialise(members.join(sizes, "bucket"), "shared-buckets")
 
@@ -234,19 +324,33 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     links = materialise(verify(stars, source), "links-1")
     comps = materialise(connected_components(links), "components-1")
 
-    placed = shared.join(comps, "id", "left").select("bucket", "id", "size", F.coalesce("component_id", "id").alias("comp"))
+    placed = shared.join(comps, "id", "left").select("bucket", "band", "id", "size", F.coalesce("component_id", "id").alias("comp"))
     mixed = (placed.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
              .where("c0 <> c1").select("bucket"))
     left = placed.join(mixed, "bucket").join(classes.select("id", "sig"), "id")
     blocks = F.ceil(F.col("size") / BLOCK)
     own = F.pmod(F.xxhash64("id"), blocks)
     other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
-    groups = (left.select("bucket", "id", "comp", "sig", own.alias("own"), other.alias("other"))
-              .select("bucket", "id", "comp", "sig", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
-                      F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side")))
-    cross = (groups.groupBy("bucket", "lo", "hi").applyInPandas(_cross_pairs, "b long, a long").distinct())
-    more = materialise(verify(cross, source), "links-2")
-    comps = connected_components(links.unionByName(more))
+    dealt = (left.select("bucket", "band", "id", "comp", "sig", own.alias("own"), other.alias("other"))
+             .select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "band", "id", "comp",
+                     F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
+                     "sig"))
+    schema = "bucket long, lo long, hi long, band int, id long, comp long, side int, sig binary"
+    keys = ["bucket", "lo", "hi"]
+    partners = materialise(dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_with_partner, schema), "partners")
+    texts = source.select(F.col("doc_id").alias("id"), "text")
+    more = (partners.join(texts, "id").repartition(*keys).sortWithinPartitions(*keys)
+            .select(*partners.columns, "text").mapInArrow(_verified, "a long, b long"))
+    more = materialise(more, "links-2")
+
+    # Only components are left to join: one more grouping over their few links.
+    part = comps.select(F.col("id"), F.col("component_id").alias("c"))
+    across = (more.join(part.select(F.col("id").alias("a"), F.col("c").alias("ca")), "a", "left")
+              .join(part.select(F.col("id").alias("b"), F.col("c").alias("cb")), "b", "left")
+              .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    outer = connected_components(across).select(F.col("id").alias("c"), F.col("component_id").alias("outer"))
+    comps = (classes.select("id").join(part, "id", "left").select("id", F.coalesce("c", "id").alias("c"))
+             .join(outer, "c", "left").select("id", F.coalesce("outer", "c").alias("component_id")))
 
     found = classes.join(comps, "id", "left").select("n_shingles", "d1", "d2", F.coalesce("component_id", "id").alias("comp"))
     out = rows.join(found, ["n_shingles", "d1", "d2"], "left")
