@@ -65,19 +65,20 @@ def _careful_chunks(text: str) -> list[str]:
 
 
 class ChunkCoder:
-    """Maps texts to one value per chunk: ``value(ids)`` of the chunk's ids.
+    """Maps texts to one value per chunk: ``value(ids)`` of the chunk's ids,
+    where the value of joined ids is the sum (+) of their values.
 
     ``known`` (chunk -> value) is the first tier. Misses are encoded and kept
     in a worker cache of at most ``cache_entries`` chunks of at most 64
     characters, which starts from ``known`` again when it is full.
     """
 
-    def __init__(self, name, value, store, known=None, cache_entries=500_000):
+    def __init__(self, name, value, store, known=None, cache_entries=800_000):
         self.tok = load_tokenizer(name)
         special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.special = special
         self.cut = re.compile("(" + "|".join(sorted(map(re.escape, special), key=len, reverse=True)) + ")") if special else None
-        self.marks = {m: self.tok.encode(m, add_special_tokens=False).ids for m in ".,;:!?"}
+        self.marks = {m: value(self.tok.encode(m, add_special_tokens=False).ids) for m in ".,;:!?"}
         self.value = value
         self.known = known or {}
         self.cache = worker_store(store)
@@ -94,13 +95,16 @@ class ChunkCoder:
         """
         out: list = [None] * len(chunks)
         rest = []
-        tokenize = self.tok.model.tokenize
+        tokenize, value, marks, known = self.tok.model.tokenize, self.value, self.marks, self.cache.get
         for k, c in enumerate(chunks):
-            word, mark = (c[:-1], self.marks[c[-1]]) if c[-1] in self.marks else (c, [])
+            mark = marks.get(c[-1])
+            word = c if mark is None else c[:-1]
             if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
-                if not word.isascii():
-                    word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
-                out[k] = self.value([t.id for t in tokenize(_SPACE + word)] + mark)
+                got = known(word) if mark is not None else None
+                if got is None:
+                    plain = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_CHARS)
+                    got = value([t.id for t in tokenize(_SPACE + plain)])
+                out[k] = got if mark is None else got + mark
             else:
                 rest.append(k)
         texts = [chunks[k][1:] if chunks[k][0] == "\0" else " " + chunks[k] for k in rest]

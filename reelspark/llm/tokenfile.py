@@ -14,6 +14,7 @@ one id stand in the order of their text's hash and then text; a null id comes fi
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -38,7 +39,7 @@ def encode_sorted(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ChunkCoder(tokenizer, lambda ids: np.array(ids, "<u4").tobytes(), "id-cache")
+        coder = ChunkCoder(tokenizer, lambda ids: struct.pack(f"<{len(ids)}I", *ids), "id-cache")
         start = 0
         for b in batches:
             at = 0
@@ -80,7 +81,7 @@ def write_token_files(encoded: DataFrame, path: str, encoding: str = "dictionary
      .option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes)
      .option("parquet.enable.dictionary", str(encoding == "dictionary").lower())
      .option("parquet.writer.version", "PARQUET_1_0" if encoding == "dictionary" else "PARQUET_2_0")
-     .option("compression", "zstd").parquet(path))
+     .option("compression", "snappy").parquet(path))
 
 
 def read_tokens(spark: SparkSession, path: str, columns: tuple = ("doc_id", "n_tokens", "file_start", "ids")) -> DataFrame:
