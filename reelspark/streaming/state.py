@@ -35,14 +35,14 @@ OUTPUT = T.StructType([
 ])
 
 
-def _newest(rows: pd.DataFrame, n: int) -> pd.DataFrame:
-    """The ``n`` newest rows in the order of ``recent_ratings``."""
-    order = np.lexsort((rows["score"].to_numpy(float), rows["mid"].to_numpy(np.int64),
-                        -rows["event_id"].to_numpy(np.int64), -rows["timestamp"].to_numpy(np.int64)))[:n]
-    return rows.iloc[order]
-
-
 def _merge_fn(n_recent: int):
+    # defined here, so that it is pickled by value with the function below
+    def newest(rows: pd.DataFrame, n: int) -> pd.DataFrame:
+        """The ``n`` newest rows in the order of ``recent_ratings``."""
+        order = np.lexsort((rows["score"].to_numpy(float), rows["mid"].to_numpy(np.int64),
+                            -rows["event_id"].to_numpy(np.int64), -rows["timestamp"].to_numpy(np.int64)))[:n]
+        return rows.iloc[order]
+
     def run(key, pdfs, state):
         top = pd.DataFrame({"mid": [], "score": [], "timestamp": [], "event_id": []})
         if state.exists:
@@ -51,7 +51,7 @@ def _merge_fn(n_recent: int):
                                 "timestamp": list(ts), "event_id": list(eids)})
         for pdf in pdfs:  # folded chunk by chunk: a hot user never gathers more
             chunk = pdf[["mid", "score", "timestamp", "event_id"]]
-            top = _newest(pd.concat([top, chunk], ignore_index=True) if len(top) else chunk, n_recent)
+            top = newest(pd.concat([top, chunk], ignore_index=True) if len(top) else chunk, n_recent)
         value = (top["mid"].astype("int32").tolist(), top["score"].astype(float).tolist(),
                  top["timestamp"].astype("int32").tolist(), top["event_id"].astype("int64").tolist())
         state.update(value)
