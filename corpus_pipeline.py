@@ -15,7 +15,7 @@ from reelspark.llm.common import hash_bucket, materialise, table
 
 # A document stays if some language has this share of it (or, for a single
 # language, this posterior probability).
-MIN_LANGUAGE_SCORE = 0.4
+MIN_LANGUAGE_SCORE = 0.2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
