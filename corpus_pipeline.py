@@ -45,9 +45,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, lang, source, n_tokens, ids`` and the text that the ids decode to."""
-    out = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text")))
-    return out.select("doc_id", "lang", "source", F.expr("octet_length(ids_packed) div 4").cast("long").alias("n_tokens"),
-                      bpe.unpack_udf()("ids_packed").alias("ids"), "decoded")
+    out = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), lists=True)
+    return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
 STAGES = [

@@ -14,11 +14,13 @@ across white space, and a bounded worker cache keeps the ids of chunks.
 
 Defined results: a null or empty text has no ids and decodes to the empty
 text; special strings in a text become their tokens, as the library does.
+Repeated rows are encoded each; other columns pass through.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -28,13 +30,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bytebpe import load_tokenizer
 from .common import worker_store
 
 WORD_BPE = "word_bpe_49k.json"
-CACHE_CHUNKS = 400_000
-CACHE_PAIRS = 1_000_000
+STEP = 128               # rows that a worker encodes at once
+CACHE_CHUNKS = 300_000
+CACHE_PAIRS = 250_000
 _END = 0x100                 # offset of a word's last symbol
 # Fixed value: the pre-tokeniser's pattern of word_bpe_49k.json.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -150,8 +154,8 @@ class Merges:
         return path
 
 
-class BpeCodec:
-    """Encoder and decoder of one vocabulary file."""
+class BpeEncoder:
+    """Encoder of one vocabulary file."""
 
     def __init__(self, name: str = WORD_BPE):
         import json
@@ -166,11 +170,6 @@ class BpeCodec:
         self.special = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
         self.cut = re.compile("(" + "|".join(sorted(map(re.escape, self.special), key=len, reverse=True)) + ")")
         self.cache: dict[str, bytes] = {}
-        names = {**{i: s for s, i in model["vocab"].items()}, **{i: s for s, i in self.special.items()}}
-        spelled = [(names.get(i, "") + " ").encode() for i in range(max(names) + 1)]
-        self.lengths = np.array([len(s) for s in spelled], np.int64)
-        self.offsets = np.cumsum(self.lengths) - self.lengths
-        self.data = np.frombuffer(b"".join(spelled), np.uint8)
 
     def _words(self, chunk: str) -> list[str]:
         """Words of a chunk as strings of byte characters."""
@@ -184,7 +183,7 @@ class BpeCodec:
         ids: list[int] = []
         for w in self._words(chunk):
             ids += self.merges.encode(w[:-1] + chr(ord(w[-1]) + _END) if self.suffix else w)
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode_packed(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
@@ -192,7 +191,7 @@ class BpeCodec:
             return b""
         if any(s in text for s in self.special):
             parts = self.cut.split(text)
-            return b"".join(np.array([self.special[p]], "<u4").tobytes() if k % 2 else self.encode_packed(p)
+            return b"".join(struct.pack("<I", self.special[p]) if k % 2 else self.encode_packed(p)
                             for k, p in enumerate(parts))
         chunks = text.split() if not _CONTROL.search(text) else [c for c in _SPACES_ONLY.split(text) if c]
         get = self.cache.get
@@ -211,6 +210,18 @@ class BpeCodec:
             values[at] = ids
         return b"".join(values)
 
+
+class BpeDecoder:
+    """Spellings of all ids in one byte string, with their offsets."""
+
+    def __init__(self, name: str = WORD_BPE):
+        tok = load_tokenizer(name)
+        names = {i: s for s, i in tok.get_vocab(with_added_tokens=True).items()}
+        spelled = [(names.get(i, "") + " ").encode() for i in range(max(names) + 1)]
+        self.lengths = np.array([len(s) for s in spelled], np.int64)
+        self.offsets = np.cumsum(self.lengths) - self.lengths
+        self.data = np.frombuffer(b"".join(spelled), np.uint8)
+
     def decode_packed(self, packed: bytes | None) -> bytes:
         """UTF-8 text of packed ids: token spellings joined by one space."""
         ids = np.frombuffer(packed or b"", "<u4")
@@ -224,54 +235,80 @@ class BpeCodec:
         return b"".join(out)[:-1]
 
 
-def codec(name: str = WORD_BPE) -> BpeCodec:
-    """The worker's codec of a vocabulary file."""
-    store = worker_store("codecs")
+def encoder(name: str = WORD_BPE) -> BpeEncoder:
+    """The worker's encoder of a vocabulary file."""
+    store = worker_store("encoders")
     if name not in store:
-        store[name] = BpeCodec(name)
+        store[name] = BpeEncoder(name)
     return store[name]
 
 
-def encode_udf(tokenizer: str = WORD_BPE):
-    """Arrow UDF text -> packed ids (binary)."""
-    @F.arrow_udf("binary")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        c = codec(tokenizer)
-        for b in batches:
-            yield pa.array([c.encode_packed(t) for t in b.to_pylist()], pa.binary())
+def decoder(name: str = WORD_BPE) -> BpeDecoder:
+    """The worker's decoder of a vocabulary file."""
+    store = worker_store("decoders")
+    if name not in store:
+        store[name] = BpeDecoder(name)
+    return store[name]
 
-    return encode
 
+def _with_columns(docs: DataFrame, source: str, new: str, make) -> DataFrame:
+    """``docs`` without ``source`` and with the columns ``new`` (DDL) that
+    ``make()(values)`` returns as arrays, ``STEP`` rows at a time: a worker
+    holds one step's texts and ids whatever the batch. Columns of the added
+    names are replaced."""
+    added = T.StructType.fromDDL(new)
+    others = [f for f in docs.schema.fields if f.name != source and f.name not in added.names]
+    names = [f.name for f in others] + added.names
+    rows = docs.select(F.col(source), *[F.col(f.name) for f in others])
 
-def decode_udf(tokenizer: str = WORD_BPE):
-    """Arrow UDF packed ids (binary) -> text."""
-    @F.arrow_udf("string")
-    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        c = codec(tokenizer)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
         for b in batches:
-            yield pa.array([c.decode_packed(p) for p in b.to_pylist()], pa.binary()).cast(pa.string())
+            for at in range(0, b.num_rows, STEP):
+                part = b.slice(at, STEP)
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *fn(part.column(0).to_pylist())], names)
 
-    return decode
+    return rows.mapInArrow(run, T.StructType([*others, *added.fields]))
 
 
-def unpack_udf():
-    """Arrow UDF packed ids (binary) -> array of ids."""
-    @F.arrow_udf("array<int>")
-    def unpack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for b in batches:
-            packed = [p or b"" for p in b.to_pylist()]
-            ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
-            ids = np.frombuffer(b"".join(packed), "<i4")
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+def _utf8(spelled: list[bytes]) -> pa.Array:
+    return pa.array(spelled, pa.binary()).cast(pa.string())
+
 
-    return unpack
+def encode(docs: DataFrame, text: str = "text", tokenizer: str = WORD_BPE) -> DataFrame:
+    """``docs`` with ``ids_packed``, the packed ids of every whole text, in place of the text."""
+    def make():
+        e = encoder(tokenizer)
+        return lambda texts: [pa.array([e.encode_packed(t) for t in texts], pa.binary())]
 
+    return _with_columns(docs, text, "ids_packed binary", make)
 
-def encode(docs: DataFrame, text: str = "text", tokenizer: str = WORD_BPE, packed: str = "ids_packed") -> DataFrame:
-    """``docs`` with the packed ids of every whole text."""
-    return docs.withColumn(packed, encode_udf(tokenizer)(F.col(text)))
 
+def decode(tokens: DataFrame, packed: str = "ids_packed", tokenizer: str = WORD_BPE) -> DataFrame:
+    """``tokens`` with ``decoded``, the text of its packed ids, in place of them."""
+    def make():
+        d = decoder(tokenizer)
+        return lambda ids: [_utf8([d.decode_packed(p) for p in ids])]
+
+    return _with_columns(tokens, packed, "decoded string", make)
+
+
+def round_trip(docs: DataFrame, text: str = "text", tokenizer: str = WORD_BPE, lists: bool = False) -> DataFrame:
+    """``docs`` with ``ids_packed`` (or ``ids``, an array, if ``lists``) and
+    ``decoded`` in place of the text: encoded, and the ids decoded again, by
+    one worker."""
+    def make():
+        e, d = encoder(tokenizer), decoder(tokenizer)
+
+        def both(texts: list) -> list:
+            packed = [e.encode_packed(t) for t in texts]
+            decoded = _utf8([d.decode_packed(p) for p in packed])
+            if not lists:
+                return [pa.array(packed, pa.binary()), decoded]
+            ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
+            ids = pa.array(np.frombuffer(b"".join(packed), "<i4"), pa.int32())
+            return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids), decoded]
+
+        return both
 
-def decode(tokens: DataFrame, packed: str = "ids_packed", tokenizer: str = WORD_BPE, into: str = "decoded") -> DataFrame:
-    """``tokens`` with the text of its packed ids."""
-    return tokens.withColumn(into, decode_udf(tokenizer)(F.col(packed)))
+    return _with_columns(docs, text, f"{'ids array<int>' if lists else 'ids_packed binary'}, decoded string", make)

@@ -83,8 +83,7 @@ FROM dw LEFT JOIN items USING (r) LEFT JOIN covered USING (r)
 
 def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs).select("doc_id", "ids_packed")
-    return bpe.decode(ids).select(
+    return bpe.round_trip(docs).select(
         "doc_id", F.expr("octet_length(ids_packed) div 4").cast("long").alias("n_tokens"),
         F.sha2("ids_packed", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 

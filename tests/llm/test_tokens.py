@@ -31,16 +31,28 @@ def library(name):
 
 
 def test_bpe_ids_and_text_equal_the_library(texts):
-    c, t = bpe.codec(), library(bpe.WORD_BPE)
+    c, d, t = bpe.encoder(), bpe.decoder(), library(bpe.WORD_BPE)
     for text, e in zip(texts, t.encode_batch(texts, add_special_tokens=False)):
         packed = c.encode_packed(text)
         assert np.frombuffer(packed, "<u4").tolist() == e.ids, text[:80]
-        assert c.decode_packed(packed).decode() == t.decode(e.ids, skip_special_tokens=False)
-    assert c.encode_packed(None) == b"" and c.decode_packed(None) == b""
+        assert d.decode_packed(packed).decode() == t.decode(e.ids, skip_special_tokens=False)
+    assert c.encode_packed(None) == b"" and d.decode_packed(None) == b""
+
+
+def test_bpe_columns(spark):
+    t = library(bpe.WORD_BPE)
+    d = docs(spark, ROWS, decoded=1, ids="clash")
+    rows = bpe.round_trip(d, lists=True).collect()
+    assert len(rows) == len(ROWS) and "text" not in rows[0].asDict()
+    want = sorted((x, t.decode(x, skip_special_tokens=False)) for x in (t.encode(v or "", add_special_tokens=False).ids for _, v in ROWS))
+    assert sorted((list(r["ids"]), r["decoded"]) for r in rows) == want
+    again = bpe.decode(bpe.encode(d)).collect()
+    assert sorted(r["decoded"] for r in again) == sorted(x for _, x in want)
+    assert bpe.round_trip(docs(spark, [])).collect() == []
 
 
 def test_backtracking_equals_greedy_where_greedy_is_valid():
-    m = bpe.codec().merges
+    m = bpe.encoder().merges
     for word in ("hello", "backtracking", "aaaaaaaa"):
         symbols = word[:-1] + chr(ord(word[-1]) + 0x100)
         assert m.encode(symbols) == m.backtrack(symbols)
