@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_path
+from .common import materialise, scratch_path
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -104,7 +104,8 @@ class SortedRuns:
         return lines.join(*self._beaten(lines, min_docs), "left_semi")
 
     def _beaten(self, lines: DataFrame, min_docs: int):
-        held = self.entries().where(F.col("n_docs") >= min_docs).alias("held")
+        # Written out, so that the join shuffles both sides anew and Spark may split a hot key.
+        held = materialise(self.entries().where(F.col("n_docs") >= min_docs), "line-runs-held").alias("held")
         return held, ((lines["h1"] == F.col("held.h1")) & (lines["h2"] == F.col("held.h2"))
                       & (lines["doc"] < F.col("held.last_doc")))
 
