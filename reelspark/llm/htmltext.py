@@ -5,10 +5,14 @@ the article (menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles, comments of readers) become gaps. Line lengths are summed
 over sliding windows of ``WINDOW`` lines, in which gaps and link lists count
 0. A surge point starts a stretch where the sum rises above the threshold, a
-dive point ends it where a whole window is 0, and the lines between them are
-kept. An ``article`` (or else ``main``) element is the strongest evidence
-there is: where a page has one with text, only its lines count and every line
-of it is above the threshold.
+dive point ends it where a whole window is 0, and the lines between them that
+are no link lists are kept. This runs on every page. ``article`` and ``main``
+elements take part in it in two ways: each line of an ``article``, and of a
+``main`` without one, weighs enough to be a surge point, however short or
+linked it is; and stretches end where an outermost such element starts or
+ends, so that its weight lifts no line outside. Every such element counts, but
+those mostly of links beside others that are not. Text outside is kept or left
+by its own windows, as on pages without such elements.
 
 Defined results: a null or empty page, and one without text, give the empty
 text. Unclosed elements reach to the end of what holds them. Rows are mapped
@@ -122,12 +126,12 @@ def _holds_article(events: list) -> set[int]:
     return out
 
 
-def lines_of(html: str) -> tuple[list[_Line], dict[int, str]]:
-    """Lines in page order and the tag of each article or main element."""
+def lines_of(html: str) -> tuple[list[_Line], dict[int, tuple[str, int]]]:
+    """Lines in page order; tag and outermost holder of each article or main element."""
     events = list(_events(html))
     kept_open = _holds_article(events)
     lines: list[_Line] = []
-    holders: dict[int, str] = {}
+    holders: dict[int, tuple[str, int]] = {}
     stack: list[tuple[str, bool, int]] = []     # tag, gap, holder before it
     gap, holder, links, linked = 0, 0, 0, 0
     parts: list[str] = []
@@ -163,8 +167,9 @@ def lines_of(html: str) -> tuple[list[_Line], dict[int, str]]:
                 gap += 1
             links += tag == "a"
             if tag in ("article", "main") and not gap:
+                outermost = holders[holder][1] if holder else k + 1
                 holder = k + 1
-                holders[holder] = tag
+                holders[holder] = tag, outermost
         elif kind == "close":
             for up in range(len(stack) - 1, -1, -1):
                 if stack[up][0] == tag:
@@ -200,27 +205,38 @@ def _ranges(weights: list[int], threshold: int) -> list[tuple[int, int]]:
     return out
 
 
-def main_text(html: str | None) -> str:
-    """The article's blocks, joined by empty lines."""
-    lines, holders = lines_of(html or "")
+def _raised(lines: list[_Line], holders: dict[int, tuple[str, int]]) -> set[int]:
+    """The holders whose lines are surge points."""
     length: dict[int, int] = {}
+    linked: dict[int, int] = {}
     for line in lines:
-        if line.holder:
+        if line.holder and line.text:
             length[line.holder] = length.get(line.holder, 0) + len(line.text)
-    articles = [h for h in length if length[h] and holders[h] == "article"] or [h for h in length if length[h]]
-    if articles:
-        # Teasers and nested articles are poorer than the one they stand beside.
-        best = max(articles, key=lambda h: (length[h], -h))
-        return "\n\n".join(x.text for x in lines if x.holder == best and x.text)
+            linked[line.holder] = linked.get(line.holder, 0) + line.linked
+    around = {holders[h][1] for h in length if holders[h][0] == "article"}
+    found = {h for h in length if holders[h][0] == "article" or h not in around}
+    # Teasers are poorer than the article that they stand beside.
+    return {h for h in found if linked[h] <= LINK_SHARE * length[h]} or found
+
+
+def main_text(html: str | None) -> str:
+    """The article's blocks, joined by empty lines."""
+    lines, holders = lines_of(html or "")
+    raised = _raised(lines, holders)
     weights: list[int] = []
     places: list[int] = []
+    region = 0
     for k, line in enumerate(lines):
-        if line.gap:
+        outermost = holders[line.holder][1] if line.holder else 0
+        if line.gap or outermost != region:
             weights += [0] * WINDOW
             places += [k] * WINDOW
+            region = outermost
+        if line.holder in raised:
+            weights.append(max(len(line.text), SURGE + 1) if line.text else 0)
         else:
             weights.append(0 if line.linked > LINK_SHARE * len(line.text) else len(line.text))
-            places.append(k)
+        places.append(k)
     ranges = _ranges(weights, SURGE) or _ranges(weights, 0)
     most = max((sum(weights[a:z]) for a, z in ranges), default=0)
     keep = {places[i] for a, z in ranges if 4 * sum(weights[a:z]) >= most for i in range(a, z) if weights[i]}

@@ -155,6 +155,26 @@ def test_surge_and_dive_without_semantic_markup():
     assert htmltext.main_text(html) == f"{para}\n\nShort one.\n\n{para}"
 
 
+STORY = "A long story told in a plain element, with as many words as a page needs to pass the surge threshold. " * 3
+
+
+def test_article_elements_weigh_lines_and_bound_stretches():
+    story = STORY.strip()
+    teaser = "<article><h3>Teaser</h3><p>Two words.</p></article>"
+    # An article of any size takes nothing from the text around it.
+    assert htmltext.main_text(f"<div>{story}</div><div>{teaser}</div>") == f"{story}\n\nTeaser\n\nTwo words."
+    assert htmltext.main_text(f"{ARTICLE}<div>Imprint</div><article><p>{story}</p></article>") == (
+        f"A title\n\nFirst & bold text. Same block.\n\nSecond one\n\n{story}")
+    # Its weight lifts no line outside; those mostly of links are link lists beside another.
+    assert htmltext.main_text(f"<div>Welcome</div>{ARTICLE}<div>Imprint</div>") == htmltext.main_text(ARTICLE)
+    links = "<article><h3><a href=/1>Another story</a></h3><p>More</p></article>"
+    assert htmltext.main_text(ARTICLE + links * 3) == htmltext.main_text(ARTICLE)
+    assert htmltext.main_text(links) == "Another story\n\nMore"
+    # Lines of a main element beside its article.
+    assert htmltext.main_text("<main><h1>Title</h1><article><p>Short.</p></article></main><p>out</p>") == "Title\n\nShort."
+    assert htmltext.main_text(f"<main><p>In main</p></main><div>{teaser}</div>") == "In main\n\nTeaser\n\nTwo words."
+
+
 def test_long_pages_stay_linear():
     html = "<article>" + "<p>word</p>" * 30_000 + "<" * 20_000 + "</article>"
     assert htmltext.main_text(html).startswith("word\n\nword")
