@@ -3,10 +3,12 @@
 Markup is stripped to lines, one per block of text; elements that never hold
 the article (menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles, comments of readers) become gaps. Line lengths are summed
-over sliding windows of ``WINDOW`` lines, in which gaps and link lists count
-0. A surge point starts a stretch where the sum rises above the threshold, a
+over sliding windows of ``WINDOW`` lines, in which link lists and gaps of the
+page's frame (menus, headers, footers, comments; not those of a section) count
+0. Other gaps, such as adverts and notices, leave no trace: the text goes on
+after them. A surge point starts a stretch where the sum rises above the threshold, a
 dive point ends it where a whole window is 0, and the lines between them that
-are no link lists are kept. This runs on every page. ``article`` and ``main``
+are no link lists are kept, whatever other stretches hold. This runs on every page. ``article`` and ``main``
 elements take part in it in two ways: each line of an ``article``, and of a
 ``main`` without one, weighs enough to be a surge point, however short or
 linked it is; and stretches end where an outermost such element starts or
@@ -53,6 +55,11 @@ _WORDS = frozenset(
     "share sharing social sidebar menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer masthead topbar "
     "toolbar comment comments commentlist disqus discussion respond reply replies related recommended recommendations widget "
     "widgets search searchbox form".split())
+_FRAME_TAGS = frozenset("nav header footer menu".split())
+_FRAME_ROLES = frozenset("navigation banner contentinfo menu menubar".split())
+_FRAME_WORDS = frozenset(
+    "menu nav navbar navigation footer masthead topbar comment comments commentlist disqus discussion respond reply replies".split())
+_FRAME_PHRASES = ("site-header", "page-header", "site-footer", "page-footer")
 _PHRASES = ("side-bar", "site-header", "page-header", "site-footer", "page-footer", "skip-link", "read-more", "see-also")
 
 
@@ -74,6 +81,20 @@ def _is_chrome(tag: str, attrs: str) -> bool:
     return False
 
 
+def _is_frame(tag: str, attrs: str) -> bool:
+    """Whether an element that holds no article text belongs to the page's frame."""
+    if tag in _FRAME_TAGS:
+        return True
+    for name, value in _ATTR.findall(attrs):
+        name, value = name.lower(), value.strip("\"'").lower()
+        if name in ("class", "id"):
+            if not _FRAME_WORDS.isdisjoint(_PART.findall(value)) or any(p in value for p in _FRAME_PHRASES):
+                return True
+        elif name == "role" and value in _FRAME_ROLES:
+            return True
+    return False
+
+
 def _names_comment(attrs: str) -> bool:
     """Comments of readers may be articles of their own, inside the article."""
     return any(name.lower() in ("class", "id") and not {"comment", "comments", "reply"}.isdisjoint(_PART.findall(value.lower()))
@@ -133,7 +154,7 @@ def lines_of(html: str) -> tuple[list[_Line], dict[int, tuple[str, int]]]:
     lines: list[_Line] = []
     holders: dict[int, tuple[str, int]] = {}
     stack: list[tuple[str, bool, int]] = []     # tag, gap, holder before it
-    gap, holder, links, linked = 0, 0, 0, 0
+    gap, holder, links, linked, sections = 0, 0, 0, 0, 0
     parts: list[str] = []
 
     def flush():
@@ -162,10 +183,11 @@ def lines_of(html: str) -> tuple[list[_Line], dict[int, tuple[str, int]]]:
                 flush()
             stack.append((tag, chrome, holder))
             if chrome:
-                if not gap:
+                if not gap and not sections and _is_frame(tag, attrs):
                     lines.append(_Line("", 0, holder, True))
                 gap += 1
             links += tag == "a"
+            sections += tag in ("article", "section")
             if tag in ("article", "main") and not gap:
                 outermost = holders[holder][1] if holder else k + 1
                 holder = k + 1
@@ -181,6 +203,7 @@ def lines_of(html: str) -> tuple[list[_Line], dict[int, tuple[str, int]]]:
             for name, chrome, before in reversed(stack[up:]):
                 gap -= chrome
                 links -= name == "a"
+                sections -= name in ("article", "section")
                 holder = before
             del stack[up:]
     flush()
@@ -238,8 +261,7 @@ def main_text(html: str | None) -> str:
             weights.append(0 if line.linked > LINK_SHARE * len(line.text) else len(line.text))
         places.append(k)
     ranges = _ranges(weights, SURGE) or _ranges(weights, 0)
-    most = max((sum(weights[a:z]) for a, z in ranges), default=0)
-    keep = {places[i] for a, z in ranges if 4 * sum(weights[a:z]) >= most for i in range(a, z) if weights[i]}
+    keep = {places[i] for a, z in ranges for i in range(a, z) if weights[i]}
     return "\n\n".join(x.text for k, x in enumerate(lines) if k in keep)
 
 

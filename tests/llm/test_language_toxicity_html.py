@@ -175,6 +175,30 @@ def test_article_elements_weigh_lines_and_bound_stretches():
     assert htmltext.main_text(f"<main><p>In main</p></main><div>{teaser}</div>") == "In main\n\nTeaser\n\nTwo words."
 
 
+INSERTS = ["<div class=ad>Buy</div>", "<div class='cookie-notice'>We use</div>", "<aside>Aside</aside>", "<form>Mail</form>",
+           "<div role=alert>Alert</div>", "<div class=newsletter><div class=menu>Join</div></div>"]
+
+
+@pytest.mark.parametrize("insert", INSERTS)
+def test_inserts_between_sections_of_plain_pages(insert):
+    long, middle, short = STORY.strip() * 7, STORY.strip()[:300], "A closing line."
+    parts = [short, long, short, middle, short]
+    html = "<body><nav>Menu</nav><div>" + long + "</div>" + insert + insert.join(f"<div>{x}</div>" for x in parts)
+    assert htmltext.main_text(html + "</body>") == "\n\n".join([long, *(p.strip() for p in parts)])
+
+
+def test_stretches_are_judged_by_their_own_lines():
+    long, middle = STORY.strip() * 7, STORY.strip()[:300].strip()
+    menu = "".join(f"<div><a href=/{i}>Section {i}</a></div>" for i in range(12))
+    for cut in (menu, "<nav>Contents</nav>", "<div class=site-header>Site</div>"):
+        # No share of the longest stretch is asked for; the page's frame still ends one.
+        assert htmltext.main_text(f"<div>{long}</div>{cut}<div>{middle}</div>") == f"{long}\n\n{middle}"
+        assert htmltext.main_text(f"<div>{long}</div>{cut}<div>Imprint</div>") == long
+    # Headers and menus of a section are not the page's.
+    sections = "".join(f"<section><header><h2>Head</h2></header><p>{x}</p></section>" for x in (long, "Short one.", middle))
+    assert htmltext.main_text(sections) == f"{long}\n\nShort one.\n\n{middle}"
+
+
 def test_long_pages_stay_linear():
     html = "<article>" + "<p>word</p>" * 30_000 + "<" * 20_000 + "</article>"
     assert htmltext.main_text(html).startswith("word\n\nword")
