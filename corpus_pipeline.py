@@ -13,17 +13,15 @@ from pyspark.sql import functions as F
 from reelspark.llm import bpe, decontam, langid, linededup, minhash
 from reelspark.llm.common import hash_bucket, materialise, table
 
-# A document stays if some language has this share of it (or, for a single
-# language, this posterior probability).
-MIN_LANGUAGE_SCORE = 0.2
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters and those that no language explains."""
+    """Drops the documents of unknown language: those without text or letters.
+
+    Letters of no learned language are not told apart; they stay.
+    """
     model = langid.train(docs.where(hash_bucket("doc_id", 5) != 0))
     found = langid.identify(docs, model, into="_language")
-    known = (F.col("_language.lang_pred") != langid.UNKNOWN) & (F.col("_language.score") >= MIN_LANGUAGE_SCORE)
-    return found.where(known).select(*[docs[c] for c in docs.columns])
+    return found.where(F.col("_language.lang_pred") != langid.UNKNOWN).select(*[docs[c] for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

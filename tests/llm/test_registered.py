@@ -67,6 +67,14 @@ def test_stages(spark):
         assert text[r["doc_id"]].isascii() is False or joined == "".join(text[r["doc_id"]].lower().split())
 
 
+def test_only_documents_of_unknown_language_are_rejected(spark):
+    rows = [(i, "the") for i in range(300)] + [(1000, None), (1001, "12 34"), (1002, "zqxj vvkq")]
+    # Thirty languages that the text hardly tells apart: the best has far less than a fifth.
+    d = docs(spark, rows).withColumn("lang", F.concat(F.lit("l"), (F.col("doc_id") % 30).cast("string")))
+    left = corpus_pipeline.language_id(spark, d, SF_SMALL).collect()
+    assert sorted(r["doc_id"] for r in left) == [*range(300), 1002]
+
+
 def test_stages_take_nulls_ties_and_empty_tables(spark):
     rows = [(1, None), (2, ""), (3, "the and of that with this from"), (3, "the and of that with this from"), (None, "the and of that with")]
     for d in (docs(spark, rows), docs(spark, [])):
