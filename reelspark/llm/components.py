@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from .common import materialise
 
@@ -33,16 +34,34 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = new
 
 
+KEY_BYTES = 16
+
+
+def keys_of(column: pa.Array) -> np.ndarray:
+    """A column of longs, or of keys of ``KEY_BYTES`` bytes, as comparable values."""
+    if pa.types.is_integer(column.type):
+        return column.to_numpy()
+    return np.frombuffer(b"".join(column.to_pylist()), f"S{KEY_BYTES}")
+
+
+def column_of(keys: np.ndarray) -> pa.Array:
+    """The column that ``keys_of`` read."""
+    if keys.dtype.kind != "S":
+        return pa.array(keys)
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(KEY_BYTES), len(keys), [None, pa.py_buffer(keys.tobytes())]).cast(pa.binary())
+
+
 def _local_forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stars of each batch's links instead of the links."""
     for batch in batches:
-        node, root = forest(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+        node, root = forest(keys_of(batch.column(0)), keys_of(batch.column(1)))
         far = node != root
-        yield pa.RecordBatch.from_arrays([pa.array(node[far]), pa.array(root[far])], ["u", "v"])
+        yield pa.RecordBatch.from_arrays([column_of(node[far]), column_of(root[far])], ["u", "v"])
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``id, component_id`` (smallest reachable id) of every linked id.
+    """``id, component_id`` (smallest reachable id) of every linked id: a
+    number, or a binary key of ``KEY_BYTES`` bytes.
 
     Links with a null end are ignored. Each round points a node's larger
     neighbours at its smallest one and then its smaller ones likewise, until
@@ -50,8 +69,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     and the joins on a hub's id may be split, so no task needs a whole
     component. Rounds are cut in the shared folder.
     """
-    links = links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
-    stars = materialise(links.mapInArrow(_local_forests, "u long, v long").distinct(), "links")
+    kind = "binary" if isinstance(links.schema[a].dataType, BinaryType) else "long"
+    links = links.select(F.col(a).cast(kind).alias("a"), F.col(b).cast(kind).alias("b")).where("a <> b")
+    stars = materialise(links.mapInArrow(_local_forests, f"u {kind}, v {kind}").distinct(), "links")
     state = _fingerprint(stars)
     while True:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))

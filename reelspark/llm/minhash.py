@@ -7,13 +7,14 @@ gives it. The ranks of one element differ between places, which lowers the
 variance against independent hashes, and elements are taken rank by rank, all
 at once, until no later rank can lower any place (early stop).
 
-Documents with equal sets are one class, represented by its smallest id, found
-by a map-side combined aggregation. Class signatures are cut into ``BANDS``
+Documents with equal sets are one class, represented by its smallest (id, hash
+of the text), found by a map-side combined aggregation; both together name the
+class in all steps, as several texts may bear one id. Class signatures are cut into ``BANDS``
 bands; a pair of similarity 0.75 misses all of them with probability
 (1 - 0.75**4)**32 = 5e-6. Candidates are verified on the full shingle sets of
 the whole texts, in two rounds:
 
-1. every class against the smallest class id that it shares a band with;
+1. every class against the smallest class name that it shares a band with;
 2. in bands whose members lie in different components after that, all pairs
    across components whose signatures agree in ``MIN_AGREE`` of the places
    (a pair of similarity 0.75 has less with probability 1e-7), each in the
@@ -38,11 +39,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, slices
-from .components import connected_components
+from .components import connected_components, keys_of
 
 SHINGLE = 5
 PERMUTED = 128           # places of a signature
@@ -54,6 +55,7 @@ BLOCK = 512
 _MASK32 = np.uint64(0xFFFFFFFF)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _PIECE = 1 << 20
+_LOWEST = -(1 << 63)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -200,10 +202,23 @@ def similar_udf():
     return verdicts
 
 
-def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose whole texts (``doc_id, text``) are similar."""
-    left = pairs.join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+def row_name(doc_id: Column, text_hash: Column) -> Column:
+    """Both numbers as 16 bytes that sort as the numbers do."""
+    def part(c: Column) -> Column:
+        return F.lpad(F.hex(c.bitwiseXOR(F.lit(_LOWEST))), 16, "0")
+
+    return F.unhex(F.concat(part(doc_id), part(text_hash)))
+
+
+def named_id(name: Column) -> Column:
+    """The id of a ``row_name``."""
+    return F.conv(F.substring(F.hex(name), 1, 16), 16, -10).cast("long").bitwiseXOR(F.lit(_LOWEST))
+
+
+def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose whole texts (``id, text``) are similar."""
+    left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+    both = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     return both.where(similar_udf()("text_a", "text_b")).select("a", "b")
 
 
@@ -231,7 +246,8 @@ def _candidates(run: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray
     col = {name: run.column(k) for k, name in enumerate(run.schema.names)}
     sig = np.frombuffer(b"".join(col["sig"].to_pylist()), "<u2").reshape(run.num_rows, -1)
     bands = sig.view("<u8")
-    ids, comp, side = (col[c].to_numpy() for c in ("id", "comp", "side"))
+    ids, comp = (np.unique(keys_of(col[c]), return_inverse=True)[1] for c in ("id", "comp"))
+    side = col["side"].to_numpy()
     band = int(col["band"][0].as_py())
     one, two = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
     left, right, share = [], [], []
@@ -275,15 +291,15 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of runs of rows with texts that join components of the run, the
     most similar signatures first."""
     shingler = Shingler()
-    sets: dict[int, np.ndarray] = {}
-    found: list[tuple[int, int]] = []
+    sets: dict[bytes, np.ndarray] = {}
+    found: list[tuple[bytes, bytes]] = []
     for run in runs(batches, 3):
         i, j, agree = _candidates(run)
         ids, comp = run.column("id").to_pylist(), run.column("comp").to_pylist()
         texts = run.column("text")
-        up: dict[int, int] = {}
+        up: dict[bytes, bytes] = {}
 
-        def root(c: int) -> int:
+        def root(c: bytes) -> bytes:
             while up.get(c, c) != c:
                 c = up[c]
             return c
@@ -302,10 +318,10 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 up[max(a, b)] = min(a, b)
                 found.append((ids[x], ids[y]))
         if len(found) >= 4096:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], ["a", "b"])
             found = []
     if found:
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -313,15 +329,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = materialise(signatures(source), "signatures")
     named = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = materialise(named.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")),
+    classes = named.groupBy("n_shingles", "d1", "d2").agg(F.min(F.struct("doc_id", "text_hash")).alias("low"), F.first("sig").alias("sig"))
+    classes = materialise(classes.select("n_shingles", "d1", "d2", row_name(F.col("low.doc_id"), F.col("low.text_hash")).alias("id"), "sig"),
                           "set-classes")
+    texts = source.where("doc_id IS NOT NULL").select(row_name(F.col("doc_id"), F.xxhash64("text")).alias("id"), "text")
     members = (classes.select("id", "sig", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
                .select("id", "band", F.xxhash64("band", F.expr(f"substring(sig, band * {2 * BAND_ROWS} + 1, {2 * BAND_ROWS})")).alias("bucket")))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("id").alias("low")).where("size > 1")
     shared = materialise(members.join(sizes, "bucket"), "shared-buckets")
 
     stars = shared.groupBy(F.col("id").alias("a")).agg(F.min("low").alias("b")).where("b < a")
-    links = materialise(verify(stars, source), "links-1")
+    links = materialise(verify(stars, texts), "links-1")
     comps = materialise(connected_components(links), "components-1")
 
     placed = shared.join(comps, "id", "left").select("bucket", "band", "id", "size", F.coalesce("component_id", "id").alias("comp"))
@@ -335,12 +353,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
              .select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "band", "id", "comp",
                      F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
                      "sig"))
-    schema = "bucket long, lo long, hi long, band int, id long, comp long, side int, sig binary"
+    schema = "bucket long, lo long, hi long, band int, id binary, comp binary, side int, sig binary"
     keys = ["bucket", "lo", "hi"]
     partners = materialise(dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_with_partner, schema), "partners")
-    texts = source.select(F.col("doc_id").alias("id"), "text")
     more = (partners.join(texts, "id").repartition(*keys).sortWithinPartitions(*keys)
-            .select(*partners.columns, "text").mapInArrow(_verified, "a long, b long"))
+            .select(*partners.columns, "text").mapInArrow(_verified, "a binary, b binary"))
     more = materialise(more, "links-2")
 
     # Only components are left to join: one more grouping over their few links.
@@ -352,9 +369,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     comps = (classes.select("id").join(part, "id", "left").select("id", F.coalesce("c", "id").alias("c"))
              .join(outer, "c", "left").select("id", F.coalesce("outer", "c").alias("component_id")))
 
-    found = classes.join(comps, "id", "left").select("n_shingles", "d1", "d2", F.coalesce("component_id", "id").alias("comp"))
+    found = classes.join(comps, "id", "left").select("n_shingles", "d1", "d2", named_id(F.coalesce("component_id", "id")).alias("comp"))
     out = rows.join(found, ["n_shingles", "d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("doc_id")).otherwise(F.col("comp"))
+    # Every row that bears its component's id is kept, whatever its text.
     return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 

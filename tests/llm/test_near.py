@@ -90,6 +90,26 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, block):
     assert kept == sorted(i for i, (_, c) in want.items() if i == c)
 
 
+def test_texts_of_one_id_share_no_links(spark):
+    words = [f"word{i}" for i in range(80)]
+    x, near, y = " ".join(words), " ".join([*words[:-1], "other"]), " ".join(reversed(words))
+    for rows, gone in (([(3, x), (3, y), (1, near)], {(3, x)}),
+                       ([(-5, x), (-5, y), (-9, near), (7, y), (8, y + " more")], {(-5, x), (7, y), (8, y + " more")})):
+        d = docs(spark, rows)
+        first = min(i for i, _ in rows)
+        want = sorted((i, first if t in (x, near) else max(i for i, u in rows if u == y and i < 7)) for i, t in rows)
+        assert sorted((r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(d).collect()) == want
+        assert {(r["doc_id"], r["text"]) for r in minhash.keep_first(d).collect()} == set(rows) - gone
+
+
+def test_components_of_binary_keys(spark):
+    rng = random.Random(3)
+    keys = [bytes([k % 3, 0] + [0] * 12 + [k // 3, 0]) for k in range(120)]
+    links = [(a, b) for a, b in ((rng.choice(keys), rng.choice(keys)) for _ in range(70)) if a != b]
+    got = connected_components(spark.createDataFrame(links, "a binary, b binary").repartition(3)).collect()
+    assert {bytes(r["id"]): bytes(r["component_id"]) for r in got} == components({n for k in links for n in k}, links)
+
+
 def test_near_duplicates_ties_nulls_and_empty(spark):
     a, b = "one two three four five six seven", "other words of a quite different text here"
     rows = [(3, a), (3, a), (3, b), (1, b), (2, a), (None, a), (None, b)]
