@@ -12,7 +12,8 @@ implies the length bound), and the words there are compared one by one.
 
 Rarity is counted over all documents, with partial sums before the shuffle.
 Window tables are small in practice but not by proof, so they are broadcast
-only under ``BROADCAST_ROWS`` counted rows; beyond, the same join shuffles.
+only under ``BROADCAST_ROWS`` counted rows; beyond, document places are shuffled
+without their words, which the matches then meet again by document.
 
 Only DataFrame operations are used. Defined results: null texts have no
 words, an item without words has no window. Rows that repeat an id are each
@@ -52,6 +53,17 @@ def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def bring_words(places: DataFrame, prefix: DataFrame, source: DataFrame) -> DataFrame:
+    """Prefix matches of ``places`` with their documents' words, and a row
+    without a match for each document, at the place after its last word. Places
+    are shuffled as (document, place, token), words once per document."""
+    hits = places.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "at", "token").join(prefix, "token")
+    hits = hits.where("at >= offset").dropDuplicates(["_doc", "_hash", "at", "window_id"])
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("text_hash").eqNullSafe(F.col("_hash"))
+    found = source.join(hits, same).drop("_doc", "_hash")
+    return found.unionByName(source.withColumn("at", F.size("ws")), allowMissingColumns=True)
+
+
 def item_windows(benchmark: DataFrame, text: str, id_col: str, window: int, size: int) -> tuple[DataFrame, DataFrame]:
     """(distinct windows ``window_id, win, offset, token`` with a row for each
     of their shingles, ``window_id, item_id``)."""
@@ -102,14 +114,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_
                                       F.first("win").alias("win"))
             .where(F.col("p.n") > 0)
             .select("window_id", "win", F.col("p.offset").alias("offset"), F.col("p.token").alias("token")))
-    prefix = bounded(materialise(best, "window-prefixes"))
+    best = materialise(best, "window-prefixes")
+    prefix = bounded(best)
+    matches = bring_words(places(False), best, source) if prefix is best else places(True).join(prefix, "token", "left")
 
     at_end = F.col("at") == F.size("ws")
     start = F.col("at") - F.col("offset")
     size = F.size("win")
     verified = (F.col("win").isNotNull() & (start >= 0) & (start + size <= F.size("ws"))
                 & (F.slice("ws", F.greatest(start, F.lit(0)) + 1, size) == F.col("win")))
-    found = (places(True).join(prefix, "token", "left").where(at_end | verified)
+    found = (matches.where(at_end | verified)
              .select("doc_id", "text_hash", F.when(at_end, F.size("ws")).alias("n_words"),
                      F.when(verified, F.struct(start.alias("start"), (start + size).alias("end"))).alias("span"),
                      F.when(verified, F.col("window_id")).alias("window_id")))

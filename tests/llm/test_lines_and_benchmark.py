@@ -1,5 +1,6 @@
 """Line dedup and decontamination against brute force."""
 
+import re
 from collections import defaultdict
 from hashlib import sha256
 
@@ -113,6 +114,26 @@ def test_decontamination_equals_brute_force(spark, monkeypatch, limit):
     assert contaminated(decontam.contamination(d, bench)) == brute_hits(TEXTS, ITEMS)
 
 
+def test_shuffled_places_carry_no_words(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "bounded", lambda df: df)
+    plans, write = {}, decontam.materialise
+
+    def spy(df, name):
+        plans[name] = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        return write(df, name)
+
+    monkeypatch.setattr(decontam, "materialise", spy)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(1, "filler " * 5000 + ITEM), (1, "filler " * 5000 + ITEM), (None, ITEM), (2, "x " * 5000), (3, None)]
+        got = contaminated(decontam.contamination(docs(spark, rows), spark.createDataFrame(ITEMS, "item_id long, text string")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == brute_hits(rows, ITEMS)
+    dealt = re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", plans["window-hits"])
+    assert dealt and not [x for x in dealt if "ws#" in x and "at#" in x]
+
+
 def test_decontamination_ties_nulls_and_empty(spark):
     rows = [(1, ITEM), (1, ITEM), (1, "clean text"), (None, ITEM), (None, "clean")]
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
