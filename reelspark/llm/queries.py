@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, embdedup, htmltext, langid, linededup, minhash, tokencount, tokenfile, toxicity
+from . import (
+    bpe, decontam, embdedup, filteraudit, htmltext, langid, linededup, minhash, piecebpe, tokencount, tokenfile, toxicity,
+    whitening,
+)
 from .common import hash_bucket, scratch_path, table
 
 
@@ -107,6 +110,56 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '[ \\t-\\r]+'), lambda x: x <> '') AS ws,
+             min(doc_id) OVER (PARTITION BY t) AS first_id FROM d),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+flags AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                 [len(ws) < 100, 100 * len(list_distinct(ws)) < 80 * len(ws),
+                  100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t),
+                  regexp_matches(t, '[#$%&*|]'), coalesce(w.doc_id > first_id, false)] AS fails
+          FROM w LEFT JOIN l USING (doc_id)),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order
+           FROM letter a, letter b, letter c, letter d, letter e
+           WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+steps AS (SELECT filter_order, step, instr('ABCDE', filter_order[step]) AS f,
+                 [instr('ABCDE', x) FOR x IN string_split(filter_order[1:step - 1], '') IF x <> ''] AS before
+          FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+masks AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM flags GROUP BY ALL),
+told AS (SELECT *, len(list_filter(before, lambda b: fails[b])) > 0 AS gone,
+                len(list_filter([1, 2, 3, 4, 5], lambda b: b <> f AND fails[b])) > 0 AS other FROM masks, steps),
+counts AS (SELECT part, filter_order, step, f, sum(n) FILTER (NOT gone AND NOT fails[f]) AS kept,
+                  sum(n) FILTER (NOT gone AND fails[f]) AS removed, sum(n) FILTER (gone AND fails[f]) AS redundant,
+                  sum(n) FILTER (fails[f] AND NOT other) AS unique_fails,
+                  sum(good) FILTER (NOT gone AND fails[f]) AS good_lost, sum(toxic) FILTER (NOT gone AND fails[f]) AS toxic_lost
+           FROM told GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+       CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, f), 0) AS BIGINT) AS shapley
+FROM counts
+"""
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op13_piece_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = piecebpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.encode(ids, "UTF-8"), 256).alias("ids_sha256"),
+                      F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 def all_queries() -> dict:
     return {
         "op1_language_id": op1_language_id,
@@ -119,6 +172,9 @@ def all_queries() -> dict:
         "op8_token_counts": op8_token_counts,
         "op9_embedding_dedup": op9_embedding_dedup,
         "op10_minhash_dedup": op10_minhash_dedup,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_embedding_whitening": op12_embedding_whitening,
+        "op13_piece_roundtrip": op13_piece_roundtrip,
     }
 
 
@@ -126,4 +182,5 @@ def all_oracles() -> dict[str, str]:
     return {
         "op4_line_dedup": OP4_SQL,
         "op5_decontamination": OP5_SQL,
+        "op11_filter_audit": OP11_SQL,
     }

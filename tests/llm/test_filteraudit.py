@@ -1,0 +1,105 @@
+"""Filter audit against a brute force over all orders."""
+
+import re
+from itertools import permutations
+
+import numpy as np
+import pytest
+
+from reelspark.llm import filteraudit
+from tests.llm.helpers import docs
+
+LETTERS = "ABCDE"
+
+
+def fails(rows):
+    """Per row: the letters it fails."""
+    out = []
+    for i, text, _ in rows:
+        t = text or ""
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", t) if w]
+        got = {c for c, bad in (("A", len(words) < 100), ("B", 100 * len(set(words)) < 80 * len(words)),
+                                ("C", 100 * len(re.findall("[A-Z]", t)) > 10 * len(t)), ("D", bool(re.search("[#$%&*|]", t))))
+               if bad}
+        if i is not None and any(j is not None and j < i and (u or "") == t for j, u, _ in rows):
+            got.add("E")
+        out.append(got)
+    return out
+
+
+def brute(rows, good, toxic):
+    found, want = fails(rows), {}
+    for part in {p or "" for _, _, p in rows}:
+        here = [(r[0], f) for r, f in zip(rows, found) if (r[2] or "") == part]
+        shapley = dict.fromkeys(LETTERS, 0)
+        for order in permutations(LETTERS):
+            left = here
+            for step, c in enumerate(order, 1):
+                lost = [(i, f) for i, f in left if c in f]
+                left = [x for x in left if c not in x[1]]
+                shapley[c] += len(lost)
+                want[part, "".join(order), step] = [
+                    len(left), len(lost), sum(c in f for _, f in here) - len(lost), sum(f == {c} for _, f in here),
+                    sum(i in good for i, _ in lost), sum(i in toxic for i, _ in lost)]
+        for (p, order, step), row in want.items():
+            if p == part:
+                row.append(shapley[order[step - 1]])
+    return want
+
+
+def run(spark, rows, good, toxic, **extra):
+    from pyspark.sql import functions as F
+    d = spark.createDataFrame([(i, t, p, 1) for i, t, p in rows], "doc_id long, text string, lang string, rid long")
+    for k in ("id", "part", "lists", "h1", "first", "size", "list"):
+        d = d.withColumn(k, F.lit("clash"))
+    marks = [(i, int(i in good), int(i in toxic)) for i in good | toxic] * 2 + [(None, 1, 1), (77777, 1, 1), (1, None, None)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    cols = ["kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+    return {(r["part"], r["filter_order"], r["step"]): [r[c] for c in cols] for r in filteraudit.audit(d, labels).collect()}
+
+
+def corpus():
+    rng = np.random.default_rng(5)
+    texts = [None, "", "x", "X Y Z", "$ 5 |", "WORD " * 120, " ".join(f"w{k}" for k in range(150)), "same\tsame\x0bsame " * 60,
+             " ".join(f"w{k}" for k in range(150)) + " #", "A" * 5000 + " b", "one\xa0word\x85stays"]
+    rows = [(int(rng.integers(0, 400)), texts[int(rng.integers(len(texts)))], [None, "", "en", "de"][int(rng.integers(4))])
+            for _ in range(300)]
+    return rows + [(None, "x", "en"), (None, "x", "en"), (5, "tie", "fr"), (5, "tie", "fr"), (401, "long " * 40_000, "fr")]
+
+
+def test_audit_equals_brute_force(spark, monkeypatch):
+    rows, good, toxic = corpus(), set(range(0, 400, 3)), set(range(0, 400, 7))
+    want = brute(rows, good, toxic)
+    assert run(spark, rows, good, toxic) == want
+    # Ranges of a few ids and no hot text hash: the same counts.
+    monkeypatch.setattr(filteraudit, "RANGE", 4)
+    monkeypatch.setattr(filteraudit, "HOT_SHARE", 1)
+    assert run(spark, rows, good, toxic) == want
+
+
+def test_one_hot_part_and_text(spark):
+    rows = [(i, "copy", "en") for i in range(4000)] + [(4000 + i, f"t {i}", "de") for i in range(100)]
+    got = run(spark, rows, set(), set())
+    assert got["en", "EABCD", 1][:4] == [1, 3999, 0, 0] and got["de", "EABCD", 1][:2] == [100, 0]
+
+
+def test_empty_tables(spark):
+    empty = docs(spark, [])
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert filteraudit.audit(empty, labels).collect() == []
+    got = filteraudit.audit(docs(spark, [(1, "a")]), labels).collect()
+    assert len(got) == 600 and sum(r["good_lost"] + r["toxic_lost"] for r in got) == 0
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_list_difference(seed):
+    rng = np.random.default_rng(seed)
+    a, b = (np.unique(rng.integers(0, 200, rng.integers(0, 150))) for _ in range(2))
+    assert filteraudit.minus(a, b).tolist() == sorted(set(a.tolist()) - set(b.tolist()))
+    assert filteraudit.common(a, b) == len(set(a.tolist()) & set(b.tolist()))
+
+
+def test_too_many_filters_are_refused(spark):
+    many = lambda text: {c: text == c for c in "ABCDEFG"}
+    with pytest.raises(ValueError):
+        filteraudit.audit(docs(spark, []), docs(spark, []), many)

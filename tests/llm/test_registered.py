@@ -19,7 +19,7 @@ from oracle_check import compare  # noqa: E402
 
 def test_one_query_per_operator_is_registered():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 @pytest.mark.parametrize("name", sorted(queries.all_oracles()))
@@ -28,7 +28,8 @@ def test_query_matches_its_sql(spark, name):
     assert res[name][0] == "MATCH", res[name]
 
 
-@pytest.mark.parametrize("name", ["op4_line_dedup", "op5_decontamination", "op9_embedding_dedup", "op10_minhash_dedup"])
+@pytest.mark.parametrize("name", ["op4_line_dedup", "op5_decontamination", "op9_embedding_dedup", "op10_minhash_dedup",
+                                  "op11_filter_audit"])
 def test_no_pairwise_join(spark, name):
     plan = plan_text(queries.all_queries()[name](spark, SF_SMALL))
     assert not [op for op in ("CartesianProduct", "BroadcastNestedLoopJoin") if op in plan]
