@@ -35,10 +35,11 @@ LIKE_SCORE = 3.0       # liked when score > 3.0, else disliked
 
 
 def recent_ratings(history: DataFrame, n_recent: int = N_RECENT,
-                   users: DataFrame | None = None, with_rank: bool = False) -> DataFrame:
-    """Last ``n_recent`` ratings per user: ``(uid, r_mid, r_score)``
-    (plus ``r_rank``, 1 = newest, when ``with_rank``). Newest first by
-    ``timestamp``, then ``event_id`` (if present), then ``mid``, ``score``.
+                   users: DataFrame | None = None, with_rank: bool = False, with_time: bool = False) -> DataFrame:
+    """Last ``n_recent`` ratings per user: ``(uid, r_mid, r_score)`` (plus
+    ``r_rank``, 1 = newest, when ``with_rank``, and ``r_time`` when
+    ``with_time``). Newest first by ``timestamp``, then ``event_id`` (if
+    present), then ``mid``, ``score``.
 
     ``users`` (optional) restricts the history to those users first.
     """
@@ -52,60 +53,38 @@ def recent_ratings(history: DataFrame, n_recent: int = N_RECENT,
     ranked = top_k(h.select("uid", "mid", "score", "timestamp",
                             *(["event_id"] if "event_id" in h.columns else [])),
                    ["uid"], order, n_recent, rank="r_rank")
-    return ranked.select("uid", *(["r_rank"] if with_rank else []), F.col("mid").alias("r_mid"),
-                         F.col("score").alias("r_score"))
+    return ranked.select("uid", *(["r_rank"] if with_rank else []), *([F.col("timestamp").alias("r_time")] if with_time else []),
+                         F.col("mid").alias("r_mid"), F.col("score").alias("r_score"))
 
 
-def realtime_recs(incoming: DataFrame, history: DataFrame, seen: DataFrame, sims,
-                  n_recent: int = N_RECENT, n_candidates: int = N_CANDIDATES,
-                  sim_strong: float = SIM_STRONG, like_score: float = LIKE_SCORE,
-                  formula: str = "default", spread: bool = True) -> DataFrame:
-    """Score candidates for each incoming rating: ``(event_id, uid, mid, score)``.
+def candidates(incoming: DataFrame, seen: DataFrame, sims, n_candidates: int = N_CANDIDATES) -> DataFrame:
+    """The ``n_candidates`` most similar unseen items per incoming rating:
+    ``(event_id, uid, cand)``.
 
-    ``incoming`` = ``(event_id, uid, mid, ...)``; ``history`` =
-    ``(uid, mid, score, timestamp[, event_id])``; ``seen`` = ``(uid, mid)``;
-    ``sims`` = a ``(mid, sim_mid, sim)`` DataFrame or a similarity source
-    (``reelspark.operators.simsource``). An incoming rating whose item has no
-    similar unseen item, or whose user has no history, yields no row.
-    ``formula='as_coded'`` returns the reference's nested logarithm
-    ``log10(inc - log10(dec))``, NULL where the reference would fail.
+    The N best unseen neighbours of an event lie within the first
+    N + |distinct items seen by the user| ranks (exact; repeats of a pair do
+    not widen the bound). Each batch item's neighbours are asked for up to the
+    largest such bound of its events, and each event joins its own bound.
     """
-    src = as_source(sims)
     ev = incoming.select("event_id", "uid", "mid")
-    # filter sides of semi-joins: duplicates do not change a semi-join, so no
+    # the filter side of a semi-join: duplicates do not change it, so no
     # distinct (and no extra shuffle) is needed
-    users = ev.select("uid")
-    items = ev.select("mid")
-
-    # 1. candidates: unseen similar items, top-N per event.
-    # Neighbours of each batch item are ranked once (sim desc, id asc). The
-    # N best unseen neighbours of an event lie within the first
-    # N + |distinct items seen by the user| ranks, so only those rows are
-    # joined to the event (exact; repeats of a pair do not widen the bound).
-    nb = top_k(src.neighbors(items), ["mid"], [F.desc("sim"), F.asc("sim_mid")], None,
-               rank="nrank")
-    seen_b = seen.select("uid", F.col("mid").alias("cand")).join(users, "uid", "left_semi")
+    seen_b = seen.select("uid", F.col("mid").alias("cand")).join(ev.select("uid"), "uid", "left_semi")
     n_seen = seen_b.distinct().groupBy("uid").agg(F.count(F.lit(1)).alias("n_seen"))
     lim = F.lit(n_candidates) + F.coalesce(F.col("n_seen"), F.lit(0))
-    cands = (ev.join(n_seen, "uid", "left").withColumn("lim", lim)
-             .join(nb, "mid").where(F.col("nrank") <= F.col("lim"))
+    bounded = ev.join(n_seen, "uid", "left").withColumn("lim", lim)
+    limits = bounded.groupBy("mid").agg(F.max("lim").alias("lim"))
+    cands = (bounded.join(as_source(sims).top_neighbors(limits), "mid").where(F.col("nrank") <= F.col("lim"))
              .select("event_id", "uid", F.col("sim_mid").alias("cand"), "nrank")
              .join(seen_b, ["uid", "cand"], "left_anti"))
-    cands = top_k(cands, ["event_id"], [F.asc("nrank")], n_candidates,
-                  rank="c_rank").select("event_id", "uid", "cand")
+    return top_k(cands, ["event_id"], [F.asc("nrank")], n_candidates, rank="c_rank").select("event_id", "uid", "cand")
 
-    # 2. recents of the batch's users
-    recents = recent_ratings(history, n_recent, users)
 
-    # 3. candidate x recent within the event, similarity lookup, aggregate.
-    # The candidate rows are few next to what they expand to (x n_recent, then
-    # the similarity lookups), so they are spread over every task slot by
-    # event; the final per-(event, candidate) aggregate reuses that
-    # partitioning without another exchange.
-    if spread:
-        par = incoming.sparkSession.sparkContext.defaultParallelism
-        cands = cands.repartition(par, "event_id")
-    x = src.pair_sims(cands.join(recents, "uid"), "cand", "r_mid", out="rsim")
+def score_candidates(pairs: DataFrame, sims, sim_strong: float = SIM_STRONG, like_score: float = LIKE_SCORE,
+                     formula: str = "default") -> DataFrame:
+    """``(event_id, uid, mid, score)`` from ``(event_id, uid, cand, r_mid,
+    r_score)``: every candidate with each of the user's recent ratings."""
+    x = as_source(sims).pair_sims(pairs, "cand", "r_mid", out="rsim")
     x = x.withColumn("rsim", F.coalesce("rsim", F.lit(0.0)))
     strong = F.col("rsim") > sim_strong
     agg = x.groupBy("event_id", "uid", "cand").agg(
@@ -124,6 +103,31 @@ def realtime_recs(incoming: DataFrame, history: DataFrame, seen: DataFrame, sims
     return agg.select("event_id", "uid", F.col("cand").alias("mid"), score.alias("score"))
 
 
+def realtime_recs(incoming: DataFrame, history: DataFrame, seen: DataFrame, sims,
+                  n_recent: int = N_RECENT, n_candidates: int = N_CANDIDATES,
+                  sim_strong: float = SIM_STRONG, like_score: float = LIKE_SCORE,
+                  formula: str = "default", spread: bool = True) -> DataFrame:
+    """Score candidates for each incoming rating: ``(event_id, uid, mid, score)``.
+
+    ``incoming`` = ``(event_id, uid, mid, ...)``; ``history`` =
+    ``(uid, mid, score, timestamp[, event_id])``; ``seen`` = ``(uid, mid)``;
+    ``sims`` = a ``(mid, sim_mid, sim)`` DataFrame or a similarity source
+    (``reelspark.operators.simsource``). An incoming rating whose item has no
+    similar unseen item, or whose user has no history, yields no row.
+    ``formula='as_coded'`` returns the reference's nested logarithm
+    ``log10(inc - log10(dec))``, NULL where the reference would fail.
+    """
+    cands = candidates(incoming, seen, sims, n_candidates)
+    recents = recent_ratings(history, n_recent, incoming.select("uid"))
+    # The candidate rows are few next to what they expand to (x n_recent, then
+    # the similarity lookups), so they are spread over every task slot by
+    # event; the final per-(event, candidate) aggregate reuses that
+    # partitioning without another exchange.
+    if spread:
+        cands = cands.repartition(incoming.sparkSession.sparkContext.defaultParallelism, "event_id")
+    return score_candidates(cands.join(recents, "uid"), sims, sim_strong, like_score, formula)
+
+
 def realtime_lists(recs: DataFrame, incoming: DataFrame) -> DataFrame:
     """One result row per incoming rating, as stored by the reference:
     ``(event_id, uid, movies)`` with ``movies`` = ``(mid,score)|...``, best

@@ -1,17 +1,23 @@
 """Similarity sources for lookups: the scorer asks only for what a batch needs.
 
-Two questions are asked of a similarity table:
+Three questions are asked of a similarity table:
 
 * ``neighbors(items)``: every ``(mid, sim_mid, sim)`` with ``mid`` in ``items``;
+* ``top_neighbors(limits)``: for each ``(mid, lim)`` the first ``lim``
+  neighbours, ``(mid, sim_mid, sim, nrank)``, most similar first, ties by id;
 * ``pair_sims(pairs)``: the similarity of given ``(a, b)`` pairs (NULL when
   the pair is not in the table, and for ``a == b``).
 
-``TableSims`` answers them from a materialised pair table with a semi-join and
-an equi-join. ``FactoredSims`` keeps content similarity in its factored form -
-item -> distinct vector, and similarity between distinct vectors - so a
-lookup expands only the requested rows instead of the full item x item table
-(19.9M pairs at sf0.1 for threshold 0.6, against ~1,000 neighbours per item
-actually read).
+``TableSims`` answers them from any pair table. Its stored form ``StoredSims``
+is a table bucketed by item and sorted by item and rank, so a lookup joins its
+buckets without a shuffle of the table and reads ranks instead of computing
+them. ``FactoredSims`` keeps content similarity in its factored form - item ->
+distinct vector, and similarity between distinct vectors - so a lookup expands
+only the requested rows instead of the full item x item table (19.9M pairs at
+sf0.1 for threshold 0.6, against ~1,000 neighbours per item actually read).
+Its top neighbours are a rank join: members of a vector are ranked once, the
+vector lists are taken by falling similarity until enough members are
+certainly before the next vector, and of each vector only the first members.
 """
 
 from __future__ import annotations
@@ -20,10 +26,15 @@ import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from reelspark.functions.lists import top_k
+from reelspark.operators.ranking import distributed_rank
 from reelspark.session import checkpoint_dir
 
 BUCKET_COL = "a_bucket"
+MEMBER_BLOCK = 4096      # ids, or ranks, of the members of a vector that one block holds
+LITERALS = 1000          # items up to which a lookup names them in the scan's filter
 
 
 def _bucket(col: str, buckets: int):
@@ -43,15 +54,23 @@ class TableSims:
         t = table.select("mid", "sim_mid", "sim")
         self.table = t.dropDuplicates(["mid", "sim_mid"]) if dedupe else t
 
-    def materialize(self) -> "TableSims":
-        """Compute the table once and cut its lineage (reliable checkpoint in
-        the session's checkpoint folder), for use by every micro-batch."""
-        checkpoint_dir(self.table.sparkSession)
-        return TableSims(self.table.checkpoint(eager=True))
+    def materialize(self, path: str | None = None, buckets: int = 256) -> "StoredSims":
+        """Rank the table once and store it for the lookups of every
+        micro-batch: bucketed by ``mid``, sorted by ``mid`` and rank, under
+        ``path`` (default: a new folder in the session's checkpoint dir)."""
+        spark = self.table.sparkSession
+        path = path or f"{checkpoint_dir(spark).rstrip('/')}/stored-sims-{uuid.uuid4().hex}"
+        ranked = distributed_rank(self.table, ["mid"], [F.desc("sim"), F.asc("sim_mid")], "nrank")
+        return StoredSims.store(ranked, path, buckets)
 
     def neighbors(self, items: DataFrame) -> DataFrame:
         return self.table.join(items.select("mid"), "mid", "left_semi")
 
+    def top_neighbors(self, limits: DataFrame) -> DataFrame:
+        """Ranks the neighbours of the given items; ``StoredSims`` has the ranks."""
+        near = self.table.join(limits.select("mid", "lim"), "mid")
+        return top_k(near, ["mid"], [F.desc("sim"), F.asc("sim_mid")], None, rank="nrank").where("nrank <= lim").drop("lim")
+
     def pair_sims(self, pairs: DataFrame, a: str, b: str, out: str = "sim") -> DataFrame:
         t = self.table.select(F.col("mid").alias(a), F.col("sim_mid").alias(b), F.col("sim").alias(out))
         return pairs.join(t, [a, b], "left")
@@ -60,6 +79,51 @@ class TableSims:
         return self.table
 
 
+class StoredSims(TableSims):
+    """Lookups against a stored ``(mid, sim_mid, sim, nrank)`` table that is
+    bucketed by ``mid`` and sorted by ``mid, nrank``.
+
+    Up to ``LITERALS`` different items become a filter of the scan, which then
+    opens only their buckets and row groups; more items meet the table bucket
+    by bucket. Neither way shuffles the table. Pair lookups join on two
+    columns of which the table is bucketed by one:
+    ``spark.sql.requireAllClusterKeysForCoPartition=false`` (the session
+    defaults set it) lets Spark use that.
+    """
+
+    def __init__(self, table: DataFrame):
+        self.table = table
+
+    @classmethod
+    def store(cls, ranked: DataFrame, path: str, buckets: int) -> "StoredSims":
+        name = f"stored_sims_{uuid.uuid4().hex}"
+        (ranked.select("mid", "sim_mid", "sim", "nrank").repartition(buckets, "mid")
+         .write.mode("overwrite").bucketBy(buckets, "mid").sortBy("mid", "nrank").option("path", path).saveAsTable(name))
+        return cls(ranked.sparkSession.table(name))
+
+    def materialize(self, path: str | None = None, buckets: int = 256) -> "StoredSims":
+        return self
+
+    def _near(self, keys: DataFrame, key: str) -> DataFrame:
+        ids = [r[0] for r in keys.select(key).distinct().limit(LITERALS + 1).collect()]
+        return self.table if len(ids) > LITERALS else self.table.where(F.col("mid").isin([i for i in ids if i is not None]))
+
+    def neighbors(self, items: DataFrame) -> DataFrame:
+        return self._near(items, "mid").drop("nrank").join(items.select("mid"), "mid", "left_semi")
+
+    def top_neighbors(self, limits: DataFrame) -> DataFrame:
+        near = self._near(limits, "mid").join(limits.select("mid", "lim"), "mid")
+        return near.where("nrank <= lim").select("mid", "sim_mid", "sim", "nrank")
+
+    def pair_sims(self, pairs: DataFrame, a: str, b: str, out: str = "sim") -> DataFrame:
+        t = self._near(pairs, a).select(F.col("mid").alias(a), F.col("sim_mid").alias(b), F.col("sim").alias(out))
+        hits = t.join(pairs.select(a, b), [a, b], "left_semi")
+        return pairs.join(hits, [a, b], "left")
+
+    def as_table(self) -> DataFrame:
+        return self.table.drop("nrank")
+
+
 class FactoredSims:
     """``members(mid, vkey)`` + ``vpairs(id_a, id_b, sim)`` over distinct vectors.
 
@@ -74,6 +138,9 @@ class FactoredSims:
         extra = [BUCKET_COL] if buckets else []
         self.vpairs = vpairs.select("id_a", "id_b", sim.alias("sim"), *extra)
         self.buckets = buckets
+        # (mid, vkey, place, block) and vector pairs with ``before``, once they are stored
+        self.ranked = members if "place" in members.columns else None
+        self.ordered = vpairs if "before" in vpairs.columns else None
 
     def materialize(self, path: str | None = None, buckets: int = 256) -> "FactoredSims":
         """Compute members and vector pairs once, so a stream does not redo the
@@ -84,11 +151,52 @@ class FactoredSims:
         spark = self.members.sparkSession
         root = checkpoint_dir(spark)
         path = path or f"{root.rstrip('/')}/factored-sims-{uuid.uuid4().hex}"
-        (self.vpairs.withColumn(BUCKET_COL, _bucket("id_a", buckets))
+        (self._ordered_pairs().withColumn(BUCKET_COL, _bucket("id_a", buckets))
          .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path))
-        return FactoredSims(self.members.checkpoint(eager=True), spark.read.parquet(path),
+        return FactoredSims(self._ranked_members().checkpoint(eager=True), spark.read.parquet(path),
                             buckets=buckets)
 
+    def _ranked_members(self) -> DataFrame:
+        """``mid, vkey`` with ``place`` (0 = lowest id of the vector) and its
+        ``block``. Ids are ranked inside runs of ``MEMBER_BLOCK`` ids and the
+        runs' sizes added up, so no window holds a whole vector."""
+        if self.ranked is not None:
+            return self.ranked
+        runs = self.members.withColumn("run", F.floor(F.col("mid") / MEMBER_BLOCK))
+        inside = runs.withColumn("inside", F.row_number().over(Window.partitionBy("vkey", "run").orderBy("mid")))
+        sizes = runs.groupBy("vkey", "run").agg(F.count(F.lit(1)).alias("size"))
+        ahead = Window.partitionBy("vkey").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+        starts = sizes.select("vkey", "run", F.coalesce(F.sum("size").over(ahead), F.lit(0)).alias("start"))
+        place = F.col("start") + F.col("inside") - 1
+        return (inside.join(starts, ["vkey", "run"])
+                .select("mid", "vkey", place.alias("place"), F.floor(place / MEMBER_BLOCK).alias("block")))
+
+    def _ordered_pairs(self) -> DataFrame:
+        """Vector pairs with ``before``: how many members the vectors have that
+        are more similar to ``id_a``."""
+        if self.ordered is not None:
+            return self.ordered
+        sizes = self.members.groupBy(F.col("vkey").alias("id_b")).agg(F.count(F.lit(1)).alias("size"))
+        so_far = Window.partitionBy("id_a").orderBy(F.desc("sim")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        equal = Window.partitionBy("id_a", "sim")
+        return (self.vpairs.join(sizes, "id_b")
+                .withColumn("before", F.sum("size").over(so_far) - F.sum("size").over(equal)).drop("size"))
+
+    def top_neighbors(self, limits: DataFrame) -> DataFrame:
+        """Rank join. A vector with ``lim`` other members certainly before its
+        own has none of the first ``lim`` neighbours, and a vector gives at
+        most its first ``lim + 1`` members (the item itself may be one)."""
+        members, pairs = self._ranked_members(), self._ordered_pairs()
+        ask = limits.select("mid", "lim").join(members.select("mid", F.col("vkey").alias("id_a")), "mid")
+        ask, on = self._with_bucket(ask)
+        near = ask.join(pairs, [*on, "id_a"]).where(F.col("before") <= F.col("lim"))
+        near = near.select("mid", "lim", "sim", F.col("id_b").alias("vkey"),
+                           F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("lim") / MEMBER_BLOCK))).alias("block"))
+        found = (near.join(members.select(F.col("mid").alias("sim_mid"), "vkey", "place", "block"), ["vkey", "block"])
+                 .where((F.col("place") <= F.col("lim")) & (F.col("mid") != F.col("sim_mid"))))
+        return (top_k(found, ["mid"], [F.desc("sim"), F.asc("sim_mid")], None, rank="nrank")
+                .where("nrank <= lim").select("mid", "sim_mid", "sim", "nrank"))
+
     def _with_bucket(self, df: DataFrame, key: str = "id_a") -> tuple[DataFrame, list[str]]:
         """``df`` ready to join the vector pairs: with stored pairs the bucket
         of ``key`` is a join column too, so Spark can prune the scan to the
@@ -131,7 +239,7 @@ class FactoredSims:
         par = self.members.sparkSession.sparkContext.defaultParallelism
         a = self.members.repartition(par).select("mid", F.col("vkey").alias("id_a"))
         b = self.members.select(F.col("mid").alias("sim_mid"), F.col("vkey").alias("id_b"))
-        vp = self.vpairs.drop(BUCKET_COL) if self.buckets else self.vpairs
+        vp = self.vpairs.drop(BUCKET_COL)
         return (a.join(vp, "id_a").join(b, "id_b")
                 .where(F.col("mid") != F.col("sim_mid"))
                 .select("mid", "sim_mid", "sim"))

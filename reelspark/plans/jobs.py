@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from reelspark.functions import lists
 from reelspark.operators import content, factor, stats
+from reelspark.operators.ranking import distributed_rank
 from reelspark.operators.simsource import TableSims, sims_from_packed
 from reelspark.sources.files import load_movies, load_ratings, load_tags, read_table, write_table
 
@@ -104,7 +105,8 @@ def content_job(spark: SparkSession, source: dict, sink: dict, packed: bool = Fa
 
 
 def _similarity_lists(sims: DataFrame, packed: bool, top_n: int | None) -> DataFrame:
-    ranked = lists.top_k(sims, ["mid"], [F.desc("sim"), F.asc("sim_mid")], top_n)
+    order = [F.desc("sim"), F.asc("sim_mid")]
+    ranked = distributed_rank(sims, ["mid"], order) if top_n is None else lists.top_k(sims, ["mid"], order, top_n)
     if not packed:
         return ranked.select("mid", "rank", "sim_mid", "sim")
     if top_n is None:
@@ -147,9 +149,9 @@ def realtime_job(spark: SparkSession, source: dict, tables: dict, sink: dict, ch
     seen = ratings.select("uid", "mid", *(["uid_bucket"] if "uid_bucket" in ratings.columns else []))
     if similarity == "content":
         sims = content.content_sim_source(read_table(spark, T_MOVIE, tables), threshold=0.6,
-                                          decimals=9).materialize()
+                                          decimals=9).materialize(f"{checkpoint.rstrip('/')}-sims")
     else:
-        sims = TableSims(stored_similarities(spark, tables), dedupe=True).materialize()
+        sims = TableSims(stored_similarities(spark, tables), dedupe=True).materialize(f"{checkpoint.rstrip('/')}-sims")
     out = f"{sink['path'].rstrip('/')}/{T_REAL_TIME}"
     return start_realtime(spark, source, lambda: ratings, seen, sims, out + "_flat", checkpoint,
                           rejects_path=out + "_rejects", history_path=out + "_history",

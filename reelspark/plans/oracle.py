@@ -178,6 +178,14 @@ sims AS (SELECT d.mid, d.sim_mid, round(round(d.dot / (na.nrm * nb.nrm), 12), {d
 CONTENT_SIMILARITY = with_(MOVIES, *content_pairs_ctes(0.8)) + """
 SELECT mid, sim_mid, sim FROM sims"""
 
+CONTENT_SIMILARITY_LISTS = with_(MOVIES, *content_pairs_ctes(0.8)) + """
+SELECT mid, sim_mid, sim, CAST(row_number() OVER (PARTITION BY mid ORDER BY sim DESC, sim_mid) AS BIGINT) AS rank FROM sims"""
+
+HOLDOUT_ROWS = with_(RATINGS_LI) + """
+SELECT uid, mid, score, repeat,
+       CAST('0x' || md5(concat_ws(',', '42', uid, mid, repeat))[1:8] AS BIGINT) < 3435973836 AS is_train
+FROM (SELECT uid, mid, score, CAST(row_number() OVER (PARTITION BY uid, mid ORDER BY score) AS INTEGER) AS repeat FROM ratings)"""
+
 HASHED_BUCKETS = with_(MOVIES, *tfidf_ctes()) + """
 SELECT token, bucket FROM buckets"""
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from reelspark.operators import content, factor, logs, realtime, similarity, stats
 from reelspark.functions import lists
+from reelspark.operators.ranking import distributed_rank
 from reelspark.sources import testdata as td
 
 # Reported floats are rounded so that Spark and the SQL oracle agree to the
@@ -74,6 +75,11 @@ def embedding_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return e.select(F.col("vec_id").alias("mid"), F.col("embedding").cast("array<double>").alias("vec"))
 
 
+def q_content_similarity_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Every item's whole list of similar items, ranked."""
+    return distributed_rank(q_content_similarity(spark, sf), ["mid"], [F.desc("sim"), F.asc("sim_mid")])
+
+
 def q_item_similarity(spark: SparkSession, sf: str) -> DataFrame:
     """Dense item-item cosine on the supplied embeddings (threshold 0.3:
     no pair of these vectors passes the reference's 0.6)."""
@@ -150,6 +156,11 @@ def q_rmse_item_mean(spark: SparkSession, sf: str) -> DataFrame:
     return factor.rmse(r, pred).select(F.round("rmse", REPORT_DECIMALS).alias("rmse"), "n")
 
 
+def q_holdout_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every rating with the side of the hold-out split it falls on."""
+    return factor.split_rows(td.ratings_li(spark, sf))
+
+
 def q_als_grid_search(spark: SparkSession, sf: str) -> DataFrame:
     return factor.als_grid_search(td.ratings_li(spark, sf))
 
@@ -218,6 +229,7 @@ def all_queries() -> dict[str, Query]:
         "recent_ratings": q_recent_ratings,
         "content_tfidf": q_content_tfidf,
         "content_similarity": q_content_similarity,
+        "content_similarity_lists": q_content_similarity_lists,
         "item_similarity": q_item_similarity,
         "log_to_ratings": q_log_to_ratings,
         "log_messages_keep_unmatched": q_log_messages_keep_unmatched,
@@ -230,6 +242,7 @@ def all_queries() -> dict[str, Query]:
         "rmse_item_mean": q_rmse_item_mean,
         "als_holdout_rmse": q_als_holdout_rmse,
         "als_grid_search": q_als_grid_search,
+        "holdout_rows": q_holdout_rows,
         "factor_topk": q_factor_topk,
         "factor_predict": q_factor_predict,
         "als_recs_check": q_als_recs_check,
@@ -254,6 +267,8 @@ def all_oracles() -> dict[str, str]:
         "recent_ratings": o.RECENT_RATINGS,
         "content_tfidf": o.CONTENT_TFIDF,
         "content_similarity": o.CONTENT_SIMILARITY,
+        "content_similarity_lists": o.CONTENT_SIMILARITY_LISTS,
+        "holdout_rows": o.HOLDOUT_ROWS,
         "item_similarity": o.ITEM_SIMILARITY,
         "log_to_ratings": o.LOG_TO_RATINGS,
         "log_messages_keep_unmatched": o.LOG_MESSAGES_KEEP_UNMATCHED,
