@@ -55,24 +55,31 @@ def features(word: str) -> list[str]:
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first, end, score) in linear time.
 
-    Runs of negative scores between positive ones are summed up first; then
-    each positive run either opens a candidate or, where a candidate with a
-    lower start total but a smaller end total exists, joins it backwards.
+    Each positive token opens a candidate. It joins the nearest earlier
+    candidate of lower start total if that one's end total is lower too, and
+    the joined candidate tries again. A candidate remembers the nearest earlier
+    one of lower start total, so the search skips those between, which no later
+    search looks at again. Without one, all candidates so far are final.
     """
     total = np.concatenate(([0.0], np.cumsum(scores)))
-    out: list[list] = []        # first, end, total before it, total at its end
-    for at in np.flatnonzero(scores > 0):
-        new = [int(at), int(at) + 1, float(total[at]), float(total[at + 1])]
+    done: list[list] = []
+    out: list[list] = []        # first, end, total before it, total at its end, nearest lower start
+    for at in np.flatnonzero(scores > 0).tolist():
+        first, end, low, high, k = at, at + 1, float(total[at]), float(total[at + 1]), len(out) - 1
         while True:
-            k = len(out) - 1
-            while k >= 0 and out[k][2] >= new[2]:
-                k -= 1
-            if k < 0 or out[k][3] >= new[3]:
-                out.append(new)
+            while k >= 0 and out[k][2] >= low:
+                k = out[k][4]
+            if k < 0:
+                done += out
+                out = [[first, end, low, high, -1]]
                 break
-            new = [out[k][0], new[1], out[k][2], new[3]]
+            if out[k][3] >= high:
+                out.append([first, end, low, high, k])
+                break
+            first, low, nearest = out[k][0], out[k][2], out[k][4]
             del out[k:]
-    return [(a, z, high - low) for a, z, low, high in out]
+            k = nearest
+    return [(a, z, high - low) for a, z, low, high, _ in done + out]
 
 
 class ToxicityModel:

@@ -213,3 +213,14 @@ def test_whole_table_of_pages(spark):
         body = re.search("<article>(.*?)</article>", p["html"], re.S)[1]
         blocks = [" ".join(h.unescape(re.sub("</?b>", "", b.replace("<br>", " "))).split()) for b in re.split("</?(?:p|h1)>", body)]
         assert r["text"] == "\n\n".join(b for b in blocks if b) and r["n_chars"] == len(r["text"])
+
+
+def test_segment_scan_is_linear():
+    import time
+    spent = []
+    for n in (20_000, 80_000):
+        start = time.process_time()
+        toxicity.segments(np.tile([1.0, -2.0], n // 2))
+        toxicity.segments(np.where(np.random.default_rng(0).random(n) < .2, 1.0, -0.5))
+        spent.append(time.process_time() - start)
+    assert spent[1] < 1 and spent[1] < 10 * spent[0] + 0.2
