@@ -10,7 +10,8 @@ table. Decoding gathers bytes through an offset table.
 
 The vocabulary file brings the merge list, the normaliser and the
 pre-tokeniser; words are found per white-space chunk, as neither step looks
-across white space, and a bounded worker cache keeps the ids of chunks.
+across white space, and bounded worker caches keep the ids of chunks and of
+normalised words.
 
 Defined results: a null or empty text has no ids and decodes to the empty
 text; special strings in a text become their tokens, as the library does.
@@ -33,11 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bytebpe import load_tokenizer
-from .common import worker_store
+from .common import TwoGenerations, worker_store
 
 WORD_BPE = "word_bpe_49k.json"
 STEP = 128               # rows that a worker encodes at once
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 200_000   # of each of two generations
+CACHE_WORDS = 150_000    # of each of two generations
 CACHE_PAIRS = 250_000
 _END = 0x100                 # offset of a word's last symbol
 # Fixed value: the pre-tokeniser's pattern of word_bpe_49k.json.
@@ -169,21 +171,34 @@ class BpeEncoder:
         self.bytes_of = byte_chars()
         self.special = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
         self.cut = re.compile("(" + "|".join(sorted(map(re.escape, self.special), key=len, reverse=True)) + ")")
-        self.cache: dict[str, bytes] = {}
+        self.cache = TwoGenerations(CACHE_CHUNKS)
+        self.words = TwoGenerations(CACHE_WORDS)
 
     def _words(self, chunk: str) -> list[str]:
-        """Words of a chunk as strings of byte characters."""
+        """Normalised words of a chunk; those of plain letters as they are,
+        others as a space and the byte characters."""
         if chunk.isascii() or max(chunk) < "ɐ":
             low = (chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk)).lower()
-            words = [low] if low.isalpha() else _WORDS.findall(low)
-            return [w.encode().decode("latin-1") for w in words]
-        return ["".join(chr(self.bytes_of[c]) for c in w) for w, _ in self.pre_tokenise(self.normalise(chunk))]
+            return [low] if low.isalpha() else _WORDS.findall(low)
+        return [" " + "".join(chr(self.bytes_of[c]) for c in w) for w, _ in self.pre_tokenise(self.normalise(chunk))]
+
+    def _word_ids(self, word: str) -> bytes:
+        """Ids of a word of ``_words``; a space before it, which no word holds,
+        marks byte characters."""
+        symbols = word[1:] if word[0] == " " else word.encode().decode("latin-1")
+        ids = self.merges.encode(symbols[:-1] + chr(ord(symbols[-1]) + _END) if self.suffix else symbols)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _chunk_ids(self, chunk: str) -> bytes:
-        ids: list[int] = []
+        out = []
         for w in self._words(chunk):
-            ids += self.merges.encode(w[:-1] + chr(ord(w[-1]) + _END) if self.suffix else w)
-        return struct.pack(f"<{len(ids)}I", *ids)
+            ids = self.words.get(w)
+            if ids is None:
+                ids = self._word_ids(w)
+                if len(w) <= 64:
+                    self.words.put(w, ids)
+            out.append(ids)
+        return out[0] if len(out) == 1 else b"".join(out)
 
     def encode_packed(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
@@ -195,7 +210,7 @@ class BpeEncoder:
                             for k, p in enumerate(parts))
         chunks = text.split() if not _CONTROL.search(text) else [c for c in _SPACES_ONLY.split(text) if c]
         get = self.cache.get
-        values = list(map(get, chunks))
+        values = list(map(self.cache.young.get, chunks))
         at = -1
         for _ in range(values.count(None)):
             at = values.index(None, at + 1)
@@ -204,9 +219,7 @@ class BpeEncoder:
             if ids is None:
                 ids = self._chunk_ids(chunk)
                 if len(chunk) <= 64:
-                    if len(self.cache) >= CACHE_CHUNKS:
-                        self.cache.clear()
-                    self.cache[chunk] = ids
+                    self.cache.put(chunk, ids)
             values[at] = ids
         return b"".join(values)
 

@@ -63,6 +63,32 @@ def worker_store(name: str) -> dict:
     return module.stores.setdefault(name, {})
 
 
+class TwoGenerations:
+    """A cache of at most twice ``size`` entries. When the young generation is
+    full it becomes the old one, so entries that are asked for again stay."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        value = self.young.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is not None:
+                self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+    def __len__(self) -> int:
+        return len(self.young) + len(self.old)
+
+
 def slices(values: list, max_chars: int = 4 << 20):
     """Cut a list of texts (None allowed) into runs of about ``max_chars``."""
     run: list = []
