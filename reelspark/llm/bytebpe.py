@@ -3,8 +3,10 @@
 The pre-tokeniser of byte_bpe_50k.json never joins a character with a space
 after it unless both neighbours of that space are white space. So a text may be cut
 before every space that has a non-space on either side, and each chunk is encoded on its
-own with the same ids as in the whole text. Most chunks repeat; a bounded
-worker cache holds their ids and the tokenizers library encodes the rest.
+own with the same ids as in the whole text. A line feed between two characters
+that are not white space is a pre-token of its own, so lines are cut there too.
+Most chunks repeat; a bounded worker cache of two generations holds their ids
+and the tokenizers library encodes the rest.
 """
 
 from __future__ import annotations
@@ -16,11 +18,14 @@ from .common import slices, worker_store
 
 BYTE_BPE = "byte_bpe_50k.json"
 _CUT = re.compile(r"(?<=\S) | (?=\S)")
+# U+180E was white space in older Unicode versions.
+_LINE = re.compile("(?<=[^\\s\u180e])\n(?=[^\\s\u180e])")
 # Fixed values of the vocabulary file's format: characters for bytes that do
 # not print (the others stand for themselves), and the one for a space.
 _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {b: chr(0x100 + k) for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 _SPACE = _BYTE_CHARS[0x20]
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def tokenizer_path(name: str) -> str:
@@ -48,6 +53,14 @@ def _chunks(text: str) -> list[str]:
     A text that holds NULs is one chunk."""
     if "\0" in text:
         return ["\0" + text]
+    if "\n" in text:
+        lines = _LINE.split(text)
+        if len(lines) > 1:
+            out = _chunks(lines[0])
+            for line in lines[1:]:
+                out.append("\0\n")
+                out += _chunks(line)
+            return out
     if "  " in text or text[0] == " " or text[-1] == " ":
         return _careful_chunks(text)
     parts = text.split(" ")
@@ -69,44 +82,59 @@ class ChunkCoder:
     where the value of joined ids is the sum (+) of their values.
 
     ``known`` (chunk -> value) is the first tier. Misses are encoded and kept
-    in a worker cache of at most ``cache_entries`` chunks of at most 64
-    characters, which starts from ``known`` again when it is full.
+    in a worker cache of chunks of at most 64 characters, ``cache_entries`` in
+    each of two generations; ``known`` is in the young one.
     """
 
-    def __init__(self, name, value, store, known=None, cache_entries=800_000):
+    def __init__(self, name, value, store, known=None, cache_entries=300_000):
         self.tok = load_tokenizer(name)
         special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.special = special
         self.cut = re.compile("(" + "|".join(sorted(map(re.escape, special), key=len, reverse=True)) + ")") if special else None
-        self.marks = {m: value(self.tok.encode(m, add_special_tokens=False).ids) for m in ".,;:!?"}
+        self.marks: dict = {"": None}
         self.value = value
         self.known = known or {}
-        self.cache = worker_store(store)
-        self.cache.update(self.known)
+        generations = worker_store(store)
+        self.young = generations.setdefault("young", {})
+        self.old = generations.setdefault("old", {})
+        self.generations = generations
+        self.young.update(self.known)
         self.cache_entries = cache_entries + len(self.known)
 
     def encode_chunks(self, chunks: list[str]) -> list:
         """Values of chunks, from the tokenizers library.
 
-        A run of letters after a space, with or without one closing mark, is
-        one pre-token or two and goes straight to the library's model; other
-        chunks, and letters that a Unicode version may class anew (U+0250 and
-        above), go through the whole library.
+        A run of letters after a space or at a line's begin is one pre-token and
+        goes straight to the library's model; so is a run of ASCII marks (but
+        ``'``) after it. Other chunks, and letters that a Unicode version may
+        class anew (U+0250 and above), go through the whole library.
         """
         out: list = [None] * len(chunks)
         rest = []
-        tokenize, value, marks, known = self.tok.model.tokenize, self.value, self.marks, self.cache.get
+        tokenize, value, marks, young = self.tok.model.tokenize, self.value, self.marks, self.young.get
+        words: dict = {}
         for k, c in enumerate(chunks):
-            mark = marks.get(c[-1])
-            word = c if mark is None else c[:-1]
-            if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
-                got = known(word) if mark is not None else None
+            word = c.rstrip(_MARKS)
+            bare = word[1:] if word[:1] == "\0" else word  # begins a line: without the space
+            if bare.isalpha() and (bare.isascii() or max(bare) < "\u0250"):
+                got = words.get(word)
+                if got is None and len(word) < len(c):
+                    got = young(word)
                 if got is None:
-                    plain = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_CHARS)
-                    got = value([t.id for t in tokenize(_SPACE + plain)])
-                out[k] = got if mark is None else got + mark
+                    plain = bare if bare.isascii() else bare.encode().decode("latin-1").translate(_BYTE_CHARS)
+                    got = words[word] = value([t.id for t in tokenize(plain if bare is not word else _SPACE + plain)])
+                if len(word) < len(c):
+                    run = c[len(word):]
+                    mark = marks.get(run)
+                    if mark is None:
+                        mark = value([t.id for t in tokenize(run)])
+                        if len(marks) < 10_000 and len(run) <= 64:
+                            marks[run] = mark
+                    got = got + mark
+                out[k] = got
             else:
                 rest.append(k)
+        self.keep(words)
         texts = [chunks[k][1:] if chunks[k][0] == "\0" else " " + chunks[k] for k in rest]
         for k, e in zip(rest, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
             out[k] = self.value(e.ids)
@@ -121,10 +149,17 @@ class ChunkCoder:
         return [c for k, part in enumerate(self.cut.split(text)) if part
                 for c in (["\0" + part] if k % 2 else chunks(part))]
 
+    def keep(self, values: dict) -> None:
+        """Put values into the young generation, which turns old when full."""
+        if len(self.young) + len(values) > self.cache_entries:
+            self.old = self.generations["old"] = self.young
+            self.young = self.generations["young"] = dict(self.known)
+        self.young.update((c, v) for c, v in values.items() if len(c) <= 64)
+
     def encode(self, texts: list):
         """Yield for every text (None: empty) the list of its chunks' values."""
-        get = self.cache.get
         for run in slices(texts, 1 << 20):
+            get = self.young.get
             rows, misses = [], set()
             for text in run:
                 parts = self._flat_chunks(text)
@@ -144,15 +179,13 @@ class ChunkCoder:
                         lacking = [parts[i] for i in gaps]
                         misses.update(lacking)
                         rows[k] = (values, gaps, lacking)
-            fresh = {}
-            wanted = list(misses)
+            again = self.old.get
+            fresh = {c: v for c in misses if (v := again(c)) is not None}
+            wanted = [c for c in misses if c not in fresh]
             for at in range(0, len(wanted), 20_000):
                 fresh.update(zip(wanted[at:at + 20_000], self.encode_chunks(wanted[at:at + 20_000])))
             for values, gaps, lacking in rows:
                 for i, c in zip(gaps, lacking):
                     values[i] = fresh[c]
                 yield values
-            if len(self.cache) + len(fresh) > self.cache_entries:
-                self.cache.clear()
-                self.cache.update(self.known)
-            self.cache.update((c, v) for c, v in fresh.items() if len(c) <= 64)
+            self.keep(fresh)

@@ -39,7 +39,8 @@ def encode_sorted(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ChunkCoder(tokenizer, lambda ids: struct.pack(f"<{len(ids)}I", *ids), "id-cache")
+        pack = [struct.Struct(f"<{n}I").pack for n in range(64)]
+        coder = ChunkCoder(tokenizer, lambda ids: pack[len(ids)](*ids) if len(ids) < 64 else struct.pack(f"<{len(ids)}I", *ids), "id-cache")
         start = 0
         for b in batches:
             at = 0
@@ -81,6 +82,7 @@ def write_token_files(encoded: DataFrame, path: str, encoding: str = "dictionary
      .option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes)
      .option("parquet.enable.dictionary", str(encoding == "dictionary").lower())
      .option("parquet.writer.version", "PARQUET_1_0" if encoding == "dictionary" else "PARQUET_2_0")
+     .option("maxRecordsPerFile", 0)  # file_start counts the ids of one task, which must be one file
      .option("compression", "snappy").parquet(path))
 
 

@@ -139,3 +139,33 @@ def test_registered_queries_on_whole_tables(spark):
         at += len(ids)
     rows = queries.op8_token_counts(spark, SF_SMALL).collect()
     assert len(rows) == len(d) and all(r["n_tokens"] == len(b.encode(d[r["doc_id"]] or "", add_special_tokens=False).ids) for r in rows)
+
+
+def test_files_are_whole_under_a_record_limit(spark):
+    d = docs(spark, [(i, "word " * (i % 7)) for i in range(200)])
+    starts = []
+    for limit in ("0", "7"):
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", limit)
+        try:
+            path = scratch_path(spark, "test-limit")
+            tokenfile.write_token_files(tokenfile.encode_sorted(d), path)
+        finally:
+            spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+        starts.append(sorted((r["doc_id"], r["start"]) for r in tokenfile.token_digest(spark, path).collect()))
+    assert starts[0] == starts[1]
+
+
+def test_two_generations_keep_what_is_asked_for():
+    from reelspark.llm.common import TwoGenerations
+    c = TwoGenerations(2)
+    for k in range(6):
+        c.put(k, k)
+        c.get(0)
+    assert c.get(0) == 0 and c.get(1) is None and len(c) <= 4
+
+
+def test_old_chunks_come_back(texts):
+    coder = bytebpe.ChunkCoder(bytebpe.BYTE_BPE, list, "test-old", {"the": [262]}, cache_entries=20)
+    first = [sum(v, []) for v in coder.encode(texts[:1000])]
+    assert [sum(v, []) for v in coder.encode(texts[:1000])] == first
+    assert len(coder.young) <= 20 + 1 + max(len(coder._flat_chunks(t)) for t in texts[:1000]) * 1000
