@@ -22,6 +22,8 @@ Other columns pass through, but for any that bear the added names; an empty tabl
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,16 +127,17 @@ def dedup_lines(docs: DataFrame, text: str = "text", id_col: str = "doc_id", min
     runs = SortedRuns(spark)
     for b in range(batches):
         runs.add(lines.where(F.col("batch") == b))
-    gone = (runs.dropped(lines, min_docs).groupBy("doc", "text_hash")
-            .agg(F.collect_set("place").alias("_gone"))
-            .select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_text_hash"), "_gone"))
+    # Names that no column of the documents can have.
+    doc, text_hash, dropped = (f"{n}_{uuid.uuid4().hex}" for n in ("doc", "text_hash", "dropped"))
+    gone = (runs.dropped(lines, min_docs).groupBy(F.col("doc").alias(doc), F.col("text_hash").alias(text_hash))
+            .agg(F.collect_set("place").alias(dropped)))
     own = F.coalesce(docs[id_col].cast("long"), F.lit(_LOWEST))
-    joined = docs.join(gone, (own == gone["_doc"]) & (F.xxhash64(docs[text]) == gone["_text_hash"]), "left")
+    joined = docs.join(gone, (own == gone[doc]) & (F.xxhash64(docs[text]) == gone[text_hash]), "left")
     all_lines = split_lines(docs[text])
-    places = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("_gone"))
-    kept = F.when(F.col("_gone").isNull(), F.coalesce(docs[text], F.lit(""))).otherwise(
+    places = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col(dropped))
+    kept = F.when(F.col(dropped).isNull(), F.coalesce(docs[text], F.lit(""))).otherwise(
         F.array_join(F.transform(places, lambda i: F.get(all_lines, i)), "\n"))
     own_columns = [docs[c] for c in docs.columns if c not in ("kept_text", "n_lines", "n_dropped")]
     return joined.select(*own_columns, kept.alias("kept_text"),
                          F.size(all_lines).cast("long").alias("n_lines"),
-                         F.greatest(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"))
+                         F.greatest(F.size(dropped), F.lit(0)).cast("long").alias("n_dropped"))

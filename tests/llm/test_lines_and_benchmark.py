@@ -148,3 +148,9 @@ def test_decontamination_ties_nulls_and_empty(spark):
 
 def test_digests(spark):
     assert sha256(b"").hexdigest() == spark.range(1).select(F.sha2(F.encode(F.array_join(F.array().cast("array<string>"), ","), "UTF-8"), 256)).first()[0]
+
+
+def test_clashing_names_pass_through_line_dedup(spark):
+    d = docs(spark, [(i, "the very same line of text\nown %d" % i) for i in range(4)], _gone=1, _doc="x", doc=2, held="y", h1=3)
+    rows = sorted(linededup.dedup_lines(d).collect(), key=lambda r: r["doc_id"])
+    assert [r["n_dropped"] for r in rows] == [1, 1, 1, 0] and [(r["_gone"], r["_doc"], r["doc"]) for r in rows] == [(1, "x", 2)] * 4

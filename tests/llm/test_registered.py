@@ -92,3 +92,11 @@ def test_contaminated_words_are_counted_on_whole_texts(spark):
     n = len(bench_words(item))
     assert got[1]["n_hit"] == got[2]["n_hit"] == n and got[1]["n_words"] == 5000 + n
     assert got[2]["contaminated"] and not got[1]["contaminated"]
+
+
+def test_stages_keep_columns_with_clashing_names(spark):
+    names = {"_language": 1, "language": "x", "_gone": 2, "kept_text": "y", "component_id": 3, "contaminated": 4}
+    d = docs(spark, [(i, "the and of that with this from which was %d" % i) for i in range(20)], **names)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, d, SF_SMALL)
+        assert out.columns == d.columns and {tuple(r[n] for n in names) for r in out.collect()} <= {tuple(names.values())}
