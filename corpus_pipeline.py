@@ -7,6 +7,8 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,15 +22,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Letters of no learned language are not told apart; they stay.
     """
     model = langid.train(docs.where(hash_bucket("doc_id", 5) != 0))
-    found = langid.identify(docs, model, into="_language")
-    return found.where(F.col("_language.lang_pred") != langid.UNKNOWN).select(*[docs[c] for c in docs.columns])
+    into = f"language_{uuid.uuid4().hex}"  # a name that no column of the documents can have
+    found = langid.identify(docs, model, into=into)
+    return found.where(F.col(into)["lang_pred"] != langid.UNKNOWN).select(*[docs[c] for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their repeated lines; ``n_chars`` follows the text."""
-    out = linededup.dedup_lines(docs)
+    # The other columns pass under names that the operator's own cannot have.
+    aside = {c: f"column{k}_{uuid.uuid4().hex}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    out = linededup.dedup_lines(docs.withColumnsRenamed(aside))
     new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
-    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    return out.select(*[new[c].alias(c) if c in new else F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
