@@ -16,6 +16,17 @@ ends, so that its weight lifts no line outside. Every such element counts, but
 those mostly of links beside others that are not. Text outside is kept or left
 by its own windows, as on pages without such elements.
 
+A word in a class or id, such as ``sidebar``, is evidence only. It says nothing
+behind ``no``, ``with`` or ``has``, nothing as part of another name of a
+paragraph, heading, quote or figure (``share-price``), and nothing of an
+element that holds most of the page's text outside links and left-out
+elements, unless the word names readers' comments. ``discussion`` inside an
+article is a section of it; the comments in it are left out themselves.
+
+Tags, quoted values and elements are each visited a bounded number of times,
+so the time is linear in the page's length, whatever its markup. A ``<`` that
+no ``>`` closes before the next ``<`` is text, unless quoted values follow it.
+
 Defined results: a null or empty page, and one without text, give the empty
 text. Unclosed elements reach to the end of what holds them. Rows are mapped
 one by one, so repeated rows give equal results; other columns pass through.
@@ -34,15 +45,18 @@ from pyspark.sql import functions as F
 WINDOW = 3
 SURGE = 80               # characters in a window
 LINK_SHARE = 0.5         # a line with more of its text in links counts 0
+MOST = 2 / 3             # of the page's text: an element with more is none to leave out by a class word
 
-_ATTRS = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
+_ATTRS = r"""(?:=\s*+(?:"[^"]*"|'[^']*')|[^<>])*+"""
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<raw>script|style|noscript|template|iframe|svg|math|canvas|object|textarea|select|title|audio|video)\b"
     + _ATTRS + r">.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>" + _ATTRS + r")>", re.S | re.I)
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>]*+)(?P<attrs>" + _ATTRS + r")(?P<shut>>?)", re.S | re.I)
+_QUOTED = re.compile(r"""=\s*["']""")
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _PART = re.compile(r"[a-z0-9]+")
+_OPPOSITE = re.compile(r"(?:^|[-_])(?:no|not|with|without|has|have)(?:[-_]|$)")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rb rp rt ruby s "
                     "samp small span strike strong sub sup time tt u var wbr".split())
@@ -63,22 +77,49 @@ _FRAME_PHRASES = ("site-header", "page-header", "site-footer", "page-footer")
 _PHRASES = ("side-bar", "site-header", "page-header", "site-footer", "page-footer", "skip-link", "read-more", "see-also")
 
 
-def _is_chrome(tag: str, attrs: str) -> bool:
+_READERS = frozenset("comment comments commentlist disqus respond reply replies".split())
+_TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption".split())
+_GENERIC = frozenset("unit slot label box block wrapper wrap container text link links item items bar area body title inner "
+                     "image img icon".split())
+NO, BY_WORD, CERTAIN = 0, 1, 2
+
+
+def _named(tag: str, value: str, in_article: bool) -> int:
+    """What the words of a class or id say about an element."""
+    found = NO
+    for name in value.split():
+        name = _OPPOSITE.split(name, maxsplit=1)[0]
+        parts = set(_PART.findall(name))
+        words = parts & _WORDS
+        if in_article:
+            words.discard("discussion")
+        if tag in _TEXTUAL and any(x not in _WORDS and x not in _GENERIC and not x.isdigit() for x in parts):
+            continue
+        if words & _READERS:
+            return CERTAIN
+        if words or any(p in name for p in _PHRASES):
+            found = BY_WORD
+    return found
+
+
+def _chrome(tag: str, attrs: str, in_article: bool) -> int:
     """Whether an element's tag, role, class or id names it as no article text."""
     if tag in _NEVER:
-        return True
-    if not attrs or tag in _HOLDERS and "hidden" not in attrs.lower():
-        return tag in _HOLDERS and _names_comment(attrs)
+        return CERTAIN
+    if not attrs:
+        return NO
+    if tag in _HOLDERS and "hidden" not in attrs.lower():
+        return CERTAIN if _names_comment(attrs) else NO
+    found = NO
     for name, value in _ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            if not _WORDS.isdisjoint(_PART.findall(value)) or any(p in value for p in _PHRASES):
-                return True
+            found = max(found, _named(tag, value, in_article))
         elif name == "role" and value in _ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return CERTAIN
         elif name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+            return CERTAIN
+    return found
 
 
 def _is_frame(tag: str, attrs: str) -> bool:
@@ -116,7 +157,9 @@ def _events(html: str):
             yield "text", html[at:m.start()], ""
         at = m.end()
         tag = m["tag"]
-        if tag:
+        if tag and not m["shut"] and not _QUOTED.search(m["attrs"]):
+            yield "text", m[0], ""
+        elif tag:
             tag = tag.lower()
             if m["end"]:
                 yield "close", tag, ""
@@ -130,30 +173,82 @@ def _events(html: str):
         yield "text", html[at:], ""
 
 
-def _holds_article(events: list) -> set[int]:
-    """Places of open elements that hold an article or main element."""
-    stack: list[tuple[str, int]] = []
-    out: set[int] = set()
+class _Open:
+    """The open elements, with the number of each tag, so that a stray end costs nothing."""
+
+    def __init__(self):
+        self.stack: list[tuple] = []
+        self.count: dict[str, int] = {}
+
+    def push(self, tag: str, *more) -> None:
+        self.stack.append((tag, *more))
+        self.count[tag] = self.count.get(tag, 0) + 1
+
+    def pop(self, tag: str) -> list[tuple]:
+        """The elements that an end tag closes, innermost first; none if it is stray."""
+        closed = []
+        while self.count.get(tag):
+            closed.append(self.stack.pop())
+            name = closed[-1][0]
+            self.count[name] -= 1
+            if name == tag:
+                break
+        return closed
+
+
+def _left_out(events: list) -> set[int]:
+    """Places of the open tags whose elements hold no article text."""
+    elements = _Open()
+    holding: set[int] = set()          # elements around an article or main element
+    certain: set[int] = set()
+    by_word: dict[int, int] = {}       # place: text before it, then text in it
+    total, hidden, links, articles = 0, 0, 0, 0
+
+    def ended(element: tuple) -> None:
+        nonlocal hidden, links, articles
+        name, place, chrome, article = element
+        hidden -= chrome == CERTAIN and place not in holding
+        links -= name == "a"
+        articles -= article
+        if chrome == BY_WORD:
+            by_word[place] = total - by_word[place]
+
     for k, (kind, tag, attrs) in enumerate(events):
-        if kind == "open" and tag not in _VOID:
-            if tag in ("article", "main") and not _names_comment(attrs):
-                out.update(place for _, place in stack)
-            stack.append((tag, k))
+        if kind == "text":
+            if not hidden and not links:
+                total += len(tag.strip())
+        elif kind == "open" and tag not in _VOID:
+            article = tag in ("article", "main") and not _names_comment(attrs)
+            if article:
+                for _, place, chrome, _ in reversed(elements.stack):
+                    if place in holding:
+                        break
+                    holding.add(place)
+                    hidden -= chrome == CERTAIN
+            chrome = _chrome(tag, attrs, articles > 0)
+            if chrome == CERTAIN:
+                certain.add(k)
+                hidden += 1
+            elif chrome == BY_WORD:
+                by_word[k] = total
+            elements.push(tag, k, chrome, article)
+            links += tag == "a"
+            articles += article
         elif kind == "close":
-            for up in range(len(stack) - 1, -1, -1):
-                if stack[up][0] == tag:
-                    del stack[up:]
-                    break
-    return out
+            for element in elements.pop(tag):
+                ended(element)
+    while elements.stack:
+        ended(elements.stack.pop())
+    return (certain | {k for k, n in by_word.items() if n <= max(MOST * total, SURGE)}) - holding
 
 
 def lines_of(html: str) -> tuple[list[_Line], dict[int, tuple[str, int]]]:
     """Lines in page order; tag and outermost holder of each article or main element."""
     events = list(_events(html))
-    kept_open = _holds_article(events)
+    left_out = _left_out(events)
     lines: list[_Line] = []
     holders: dict[int, tuple[str, int]] = {}
-    stack: list[tuple[str, bool, int]] = []     # tag, gap, holder before it
+    elements = _Open()                          # with gap and holder before it
     gap, holder, links, linked, sections = 0, 0, 0, 0, 0
     parts: list[str] = []
 
@@ -178,10 +273,10 @@ def lines_of(html: str) -> tuple[list[_Line], dict[int, tuple[str, int]]]:
                 elif tag not in _INLINE:
                     flush()
                 continue
-            chrome = _is_chrome(tag, attrs) and k not in kept_open
+            chrome = k in left_out
             if chrome or tag not in _INLINE:
                 flush()
-            stack.append((tag, chrome, holder))
+            elements.push(tag, chrome, holder)
             if chrome:
                 if not gap and not sections and _is_frame(tag, attrs):
                     lines.append(_Line("", 0, holder, True))
@@ -193,19 +288,14 @@ def lines_of(html: str) -> tuple[list[_Line], dict[int, tuple[str, int]]]:
                 holder = k + 1
                 holders[holder] = tag, outermost
         elif kind == "close":
-            for up in range(len(stack) - 1, -1, -1):
-                if stack[up][0] == tag:
-                    break
-            else:
-                continue
-            if tag not in _INLINE or any(s[0] not in _INLINE or s[1] for s in stack[up:]):
+            closed = elements.pop(tag)
+            if any(x[0] not in _INLINE or x[1] for x in closed):
                 flush()
-            for name, chrome, before in reversed(stack[up:]):
+            for name, chrome, before in closed:
                 gap -= chrome
                 links -= name == "a"
                 sections -= name in ("article", "section")
                 holder = before
-            del stack[up:]
     flush()
     return lines, holders
 

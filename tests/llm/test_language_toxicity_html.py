@@ -224,3 +224,56 @@ def test_segment_scan_is_linear():
         toxicity.segments(np.where(np.random.default_rng(0).random(n) < .2, 1.0, -0.5))
         spent.append(time.process_time() - start)
     assert spent[1] < 1 and spent[1] < 10 * spent[0] + 0.2
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='wrapper with-sidebar'><p>{}</p></div>", "<div id=content class=no-sidebar>{}</div>",
+    "<div class=promo-page><div class=menu>Menu</div><p>{}</p></div>", "<body><section class=alert>{}</section><div class=ad>Buy</div>",
+    "<div>{}</div><div class=comments>" + STORY * 5 + "</div>", "<article><p>{}</p><section class=comments>" + STORY * 5 + "</section></article>",
+    "<article><p>{}</p><p class=ad>Buy</p><figure class=ad-unit>Buy</figure><div class=related-posts>More</div></article>"])
+def test_class_words_are_evidence_only(page):
+    assert htmltext.main_text(page.format(STORY)) == STORY.strip()
+
+
+def test_other_names_with_a_class_word():
+    html = ("<article><p>{}</p><p class='share-price'>It rose.</p><section class='discussion'><p>We find this.</p>"
+            "<div class=comment>First!</div></section><figure class='ad-astra'>To the stars.</figure></article>")
+    assert htmltext.main_text(html.format(STORY)) == f"{STORY.strip()}\n\nIt rose.\n\nWe find this.\n\nTo the stars."
+
+
+def test_unclosed_tags():
+    assert htmltext.main_text("<p>if a<b and c <p>then d") == "if a<b and c\n\nthen d"
+    assert htmltext.main_text("<p>one <b title='x' <i>two</i></b> three</p>") == "one two three"
+    assert htmltext.main_text("<p title=it's>one</p><p>it's two") == "one\n\nit's two"
+
+
+def test_bad_markup_stays_linear():
+    import time
+    for piece, tail in (("<a ", ""), ("<div><main>", ""), ("<div>x", "</p>"), ('<a x="<a"', ""), ("<a x='<b y=\"", ""),
+                        ("<div class=ad>x", "</p>"), ("<script ", ""), ("<!--", ""), ("<a x= ", "")):
+        start = time.process_time()
+        htmltext.main_text(piece * 100_000 + tail * 100_000)
+        assert time.process_time() - start < 6, piece
+
+
+def windows_by_brute_force(lines):
+    """Kept texts of (text, is link list, is frame) lines: every window summed, every stretch from surge to dive."""
+    cells = []
+    for text, linked, frame in lines:
+        cells += [(0, "")] * htmltext.WINDOW if frame else [(0 if linked else len(text), text)]
+    def window(i):
+        return sum(n for n, _ in cells[i:i + htmltext.WINDOW])
+
+    def kept(threshold):
+        # A line stays if some surge at or before it has no dive between them.
+        return [text for i, (n, text) in enumerate(cells) if n and any(
+            cells[a][0] and window(a) > threshold and all(window(j) for j in range(a, i + 1)) for a in range(i + 1))]
+    return kept(htmltext.SURGE) or kept(0)
+
+
+def test_windows_equal_brute_force():
+    rng = random.Random(4)
+    for _ in range(300):
+        lines = [(f"{i} " + "w" * rng.choice([1, 5, 20, 30, 60, 100]), rng.random() < .3, rng.random() < .15) for i in range(rng.randint(0, 25))]
+        html = "".join("<nav>Menu</nav>" if f else f"<div><a href=x>{t}</a></div>" if k else f"<div>{t}</div>" for t, k, f in lines)
+        assert htmltext.main_text(html) == "\n\n".join(windows_by_brute_force(lines)), html
