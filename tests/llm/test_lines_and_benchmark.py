@@ -1,5 +1,6 @@
 """Line dedup and decontamination against brute force."""
 
+import random
 import re
 from collections import defaultdict
 from hashlib import sha256
@@ -66,6 +67,47 @@ def test_runs_are_compacted_by_level(spark):
     assert [r["doc"] for r in runs.dropped(batch, 3).collect()] == [7]
 
 
+def test_lines_settle_on_arrival(spark):
+    rng = random.Random(5)
+    keys = [f"a line of the corpus, number {k}" for k in range(12)]
+    rows = [(i, "\n".join(rng.choice(keys[: 2 + i % 11]) for _ in range(rng.randint(0, 3)))) for i in range(60)]
+    # Documents 59 and 40 hold a line that only document 3 makes frequent: that of 40 is pending until then.
+    rows = [(i, t + "\na line of three documents" if i in (3, 40, 59) else t) for i, t in rows]
+    d = docs(spark, rows)
+    runs = linededup.SortedRuns(spark, fanout=2)
+    places = linededup.beaten_lines(d, "text", "doc_id", 20, 3, 8, runs).collect()
+    assert len(runs.levels) == 4 and [len(x) for x in runs.levels] == [0, 0, 0, 1]  # 8 batches, merged three times
+    text = dict(rows)
+    gone = defaultdict(int)
+    for r in places:
+        assert len(text[r["doc"]].split("\n")[r["place"]]) >= 20
+        gone[r["doc"]] += 1
+    want = {i: n for i, _, n, _ in brute_lines(rows) if n}
+    assert dict(gone) == want and len({(r["doc"], r["place"]) for r in places}) == len(places)
+    late = [r for r in places if r["doc"] == 40 and text[40].split("\n")[r["place"]] == "a line of three documents"]
+    assert len(late) == 1
+    out = linededup.dedup_lines(d, batches=8, fanout=2).collect()
+    assert sorted((r["doc_id"], r["n_lines"], r["n_dropped"], r["kept_text"]) for r in out) == brute_lines(rows)
+
+
+@pytest.mark.parametrize("min_docs", [1, 2, 5])
+def test_other_document_counts(spark, min_docs):
+    rows = [(i, "\n".join(f"a line of the corpus, number {k}" for k in range(1, 8) if i % k == 0)) for i in range(30)]
+    out = linededup.dedup_lines(docs(spark, rows), min_docs=min_docs, batches=5).collect()
+    assert sorted((r["doc_id"], r["n_lines"], r["n_dropped"], r["kept_text"]) for r in out) == brute_lines(rows, min_docs)
+
+
+def test_batches_follow_the_input(spark):
+    gib = 1 << 30
+    assert [linededup.batch_count(n) for n in (0, gib // 2, 30 * gib, 10 ** 14)] == [1, 4, 9, 21]
+    d = docs(spark, [(i, "x") for i in range(1000)])
+    bounds = linededup.batch_bounds(d, "text", "doc_id", 4)
+    assert bounds == sorted(bounds, reverse=True) and len(bounds) == 3 and abs(bounds[1] - 500) < 20
+    assert linededup.batch_bounds(docs(spark, []), "text", "doc_id") == []
+    sizes = {r["b"]: r["count"] for r in d.groupBy(linededup.batch_of(bounds, "doc_id").alias("b")).count().collect()}
+    assert set(sizes) == {0, 1, 2, 3} and all(200 < n < 300 for n in sizes.values())
+
+
 def test_native_plans(spark):
     plan = plan_text(linededup.dedup_lines(docs(spark, LINES[:3])))
     plan += plan_text(decontam.contamination(docs(spark, LINES[:3]), spark.createDataFrame([(1, "a b c")], "item_id long, text string")))
