@@ -59,19 +59,14 @@ def _substring_matches(genre_strings: DataFrame, vocab: DataFrame) -> DataFrame:
     string's key instead of the string, and no pair of tables is enumerated.
     """
     lengths = sorted(r[0] for r in vocab.select(F.length("genre")).distinct().collect())
-    s = F.col("genres")
-
-    def pieces(n: int):
-        starts = F.when(F.length(s) >= n, F.sequence(F.lit(1), F.length(s) - n + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda p: F.substring(s, p, n))
-
     keyed = genre_strings.select(string_key("genres").alias("string_key"), "genres")
     if not lengths:
         return keyed.select("string_key", F.lit(None).cast("string").alias("genre")).limit(0)
-    parts = [keyed.select("string_key", F.explode(F.array_distinct(pieces(n))).alias("genre")) for n in lengths]
-    all_pieces = parts[0]
-    for p in parts[1:]:
-        all_pieces = all_pieces.unionByName(p)
+    # One row per (string, length, place), so no row holds a string's pieces.
+    sized = (keyed.select("string_key", "genres", F.explode(F.array(*(F.lit(n) for n in lengths))).alias("n"))
+             .where(F.length("genres") >= F.col("n")))
+    places = sized.select("string_key", "genres", "n", F.explode(F.sequence(F.lit(1), F.length("genres") - F.col("n") + 1)).alias("at"))
+    all_pieces = places.select("string_key", F.substring("genres", F.col("at"), F.col("n")).alias("genre"))
     return all_pieces.join(vocab, "genre").select("string_key", "genre").distinct()
 
 

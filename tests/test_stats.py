@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from reelspark import schemas
 from reelspark.functions.time import epoch_to_yearmonth
 from reelspark.operators import stats
-from tests.conftest import rows
+from tests.conftest import plan_text, rows
 
 
 def ratings(spark, data):
@@ -86,3 +86,17 @@ def test_very_long_genre_string(spark):
     assert {m for g, m in got if g == "Drama"} == {1, 2}
     assert {m for g, m in got if g == "Dram"} == {1, 2, 3}
     assert {m for g, m in got if len(g) == 20_000} == {1}
+
+
+def test_substring_match_of_long_strings_scans_the_catalogue_once(spark, tmp_path):
+    long = "abc" * 6_667
+    rows = [(1, long), (2, "xcabx|ab"), (3, long + "|b"), (4, None), (5, "ab")]
+    spark.createDataFrame(rows, "mid int, genres string").write.parquet(str(tmp_path / "movies"))
+    movies = spark.read.parquet(str(tmp_path / "movies"))
+    vocab = spark.createDataFrame([("ab",), ("b",), ("xcabx",), (long,), ("zz",)], "genre string")
+    strings = movies.where("genres IS NOT NULL").select("genres").distinct()
+    found = stats._substring_matches(strings, vocab)
+    assert plan_text(found).count("FileScan") == 1
+    keyed = strings.select(stats.string_key("genres").alias("string_key"), "genres")
+    got = sorted((r["genres"], r["genre"]) for r in found.join(keyed, "string_key").collect())
+    assert got == sorted((s, g) for s in {r[1] for r in rows if r[1]} for g in ("ab", "b", "xcabx", long, "zz") if g in s)
