@@ -324,6 +324,30 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found)], ["a", "b"])
 
 
+def deal(placed: DataFrame, sigs: DataFrame, block: int) -> DataFrame:
+    """Rows ``bucket, band, id, comp`` dealt to pairs of blocks ``lo, hi``, with the ids' signatures.
+
+    Only buckets with several components are dealt. The members of a bucket's
+    largest component are cut into blocks of their own, which meet the blocks
+    of the others but not each other, so n such members beside m others cost
+    about ``2 n m / block`` rows and never n squared.
+    """
+    mixed = materialise(placed.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+                  .where("c0 <> c1").select("bucket"), "mixed-buckets")
+    left = materialise(placed.join(mixed, "bucket"), "mixed-members")
+    largest = materialise(left.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+                    .groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("size")), "largest-components")
+    few = largest.select("bucket", F.col("top.comp").alias("most"), F.ceil((F.col("size") - F.col("top.n")) / block).alias("others"),
+                         F.ceil(F.col("top.n") / block).alias("blocks"))
+    major = F.col("comp") == F.col("most")
+    own = F.when(major, F.col("others") + F.pmod(F.xxhash64("id"), F.col("blocks"))).otherwise(F.pmod(F.xxhash64("id"), F.col("others")))
+    last = F.when(major, F.col("others")).otherwise(F.col("others") + F.col("blocks")) - 1
+    return (left.join(few, "bucket").join(sigs, "id")
+            .select("bucket", "band", "id", "comp", "sig", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("other"))
+            .select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "band", "id", "comp",
+                    F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "sig"))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Per row: ``doc_id, text_hash, n_shingles, component_id, kept``."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -335,24 +359,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     texts = source.where("doc_id IS NOT NULL").select(row_name(F.col("doc_id"), F.xxhash64("text")).alias("id"), "text")
     members = (classes.select("id", "sig", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
                .select("id", "band", F.xxhash64("band", F.expr(f"substring(sig, band * {2 * BAND_ROWS} + 1, {2 * BAND_ROWS})")).alias("bucket")))
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("id").alias("low")).where("size > 1")
+    # Written out, so that the joins shuffle both sides anew and Spark may split a hot bucket.
+    sizes = materialise(members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("id").alias("low")).where("size > 1"), "buckets")
     shared = materialise(members.join(sizes, "bucket"), "shared-buckets")
 
     stars = shared.groupBy(F.col("id").alias("a")).agg(F.min("low").alias("b")).where("b < a")
     links = materialise(verify(stars, texts), "links-1")
     comps = materialise(connected_components(links), "components-1")
 
-    placed = shared.join(comps, "id", "left").select("bucket", "band", "id", "size", F.coalesce("component_id", "id").alias("comp"))
-    mixed = (placed.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-             .where("c0 <> c1").select("bucket"))
-    left = placed.join(mixed, "bucket").join(classes.select("id", "sig"), "id")
-    blocks = F.ceil(F.col("size") / BLOCK)
-    own = F.pmod(F.xxhash64("id"), blocks)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
-    dealt = (left.select("bucket", "band", "id", "comp", "sig", own.alias("own"), other.alias("other"))
-             .select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "band", "id", "comp",
-                     F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
-                     "sig"))
+    placed = shared.join(comps, "id", "left").select("bucket", "band", "id", F.coalesce("component_id", "id").alias("comp"))
+    dealt = deal(placed, classes.select("id", "sig"), BLOCK)
     schema = "bucket long, lo long, hi long, band int, id binary, comp binary, side int, sig binary"
     keys = ["bucket", "lo", "hi"]
     partners = materialise(dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_with_partner, schema), "partners")

@@ -102,6 +102,23 @@ def test_texts_of_one_id_share_no_links(spark):
         assert {(r["doc_id"], r["text"]) for r in minhash.keep_first(d).collect()} == set(rows) - gone
 
 
+def test_the_largest_component_meets_only_the_others(spark):
+    ids = spark.range(20_001).select(F.lit(1).cast("long").alias("bucket"), F.lit(0).alias("band"), F.col("id").cast("string").cast("binary").alias("id"),
+                                     F.when(F.col("id") < 20_000, "a").otherwise("b").cast("binary").alias("comp"))
+    sigs = ids.select("id", F.lit("s").cast("binary").alias("sig"))
+    assert minhash.deal(ids, sigs, 512).count() == 20_000 + 1 + 40  # each copy once, the outsider to 40 blocks and its own
+    rng = random.Random(2)
+    rows = [(b, 0, f"{b}-{i}".encode(), rng.choice(b"aaaaabcd"[: 2 + 3 * b]).to_bytes()) for b in range(3) for i in range(40)]
+    placed = spark.createDataFrame(rows, "bucket long, band int, id binary, comp binary")
+    cells = {}
+    for r in minhash.deal(placed, placed.select("id", F.col("id").alias("sig")), 7).collect():
+        cells.setdefault((r["bucket"], r["lo"], r["hi"]), []).append(r)
+    met = [frozenset((bytes(x["id"]), bytes(y["id"]))) for c in cells.values() for x in c for y in c
+           if x["comp"] != y["comp"] and (x["side"], y["side"]) in ((0, 1), (2, 2)) and (x["side"] == 0 or x["id"] < y["id"])]
+    want = {frozenset((x[2], y[2])) for x in rows for y in rows if x[0] == y[0] and x[3] != y[3]}
+    assert len(met) == len(set(met)) and set(met) == want
+
+
 def test_components_of_binary_keys(spark):
     rng = random.Random(3)
     keys = [bytes([k % 3, 0] + [0] * 12 + [k // 3, 0]) for k in range(120)]
