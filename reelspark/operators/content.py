@@ -7,8 +7,8 @@ part of the result) -> ``IDF`` fitted on the whole catalogue.
 Scale: items with the same hashed term counts have the same TF-IDF vector,
 and catalogues repeat genre combinations heavily (at sf0.01, 2,000 items share
 a few hundred vectors). Pairs are computed once per pair of *distinct*
-vectors with the block cosine core and then expanded to items, so the
-quadratic step runs over distinct vectors, not items.
+vectors, found by the places that they share (``sparse.py``), and then expanded
+to items, so the compared pairs are some of the pairs of distinct vectors.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelspark.operators.similarity import cosine_pairs
 from reelspark.operators.simsource import FactoredSims
+from reelspark.operators.sparse import sparse_cosine_pairs
 
 # Fixed values equal to the reference's.
 TFIDF_FEATURES = 50          # hashed feature dimension
@@ -64,8 +64,8 @@ def content_sim_source(movies: DataFrame, threshold: float = CONTENT_THRESHOLD,
     keyed = vec.select("mid", F.concat_ws(",", F.col("tf").cast("array<string>")).alias("vkey"),
                        "tfidf")
     distinct = keyed.select("vkey", "tfidf").distinct()
-    pairs = cosine_pairs(distinct, "vkey", "tfidf", threshold, block_size=block_size,
-                         include_self=True, both_directions=True)
+    pairs = sparse_cosine_pairs(distinct, "vkey", "tfidf", threshold, block_size=block_size,
+                                include_self=True, both_directions=True)
     return FactoredSims(keyed.select("mid", "vkey"), pairs, decimals)
 
 
