@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 
 from reelspark.operators import content
-from reelspark.operators.similarity import cosine_expr, cosine_pairs
+from reelspark.operators.simsource import FactoredSims
+from reelspark.operators.similarity import cosine_expr, cosine_link_counts, cosine_pairs
 
 
 def brute_force(vecs, threshold, include_self=False):
@@ -129,3 +130,60 @@ def test_product_blocks_respect_memory_cap_property():
         assert bl >= 1 and br >= 1
         assert -(-nl // bl) <= MAX_BLOCK and -(-nr // br) <= MAX_BLOCK
     check()
+
+
+def test_content_classes_give_back_every_item_pair(spark):
+    movies = spark.createDataFrame(
+        [(i, ["Drama|Action", "Action|Drama|Drama", "Comedy", "Comedy|Drama|Comedy"][i % 4]) for i in range(40)]
+        + [(100, None), (101, "")], "mid int, genres string")
+    pairs = {(r["mid"], r["sim_mid"]): r["sim"] for r in content.content_similarity(movies, threshold=0.8).collect()}
+    rows = content.content_classes(movies, threshold=0.8).collect()
+    members = [(r["mid"], r["class_id"]) for r in rows if r["kind"] == "item"]
+    links = {(r["class_id"], r["sim_class"]): (r["sim"], r["n_items"]) for r in rows if r["kind"] == "link"}
+    assert len(rows) == len(members) + len(links) <= 40 + 16 < len(pairs)
+    assert {(a, b): links[x, y][0] for a, x in members for b, y in members if a != b and (x, y) in links} == pairs
+    assert all(n == sum(y == c for _, c in members) for (_, y), (_, n) in links.items())
+
+
+def test_scorer_looks_vectors_up_before_pairs(spark):
+    """No join on an item's vector above the candidate x recent rows."""
+    members = spark.createDataFrame([(1, "a"), (2, "b")], "mid int, vkey string")
+    vpairs = spark.createDataFrame([("a", "a", 1.0), ("b", "b", 1.0), ("a", "b", 0.9), ("b", "a", 0.9)],
+                                   "id_a string, id_b string, sim double")
+    sims = FactoredSims(members, vpairs)
+    cands = sims.with_key(spark.createDataFrame([(1,), (3,)], "cand int"), "cand", "a")
+    both = cands.crossJoin(sims.with_key(spark.createDataFrame([(1,), (2,)], "r_mid int"), "r_mid", "b"))
+    keyed = sims.pair_sims(both, "cand", "r_mid")
+    plain = sims.pair_sims(both.select("cand", "r_mid"), "cand", "r_mid")
+    got = sorted((r["cand"], r["r_mid"], str(r["sim"])) for r in keyed.select("cand", "r_mid", "sim").collect())
+    assert got == sorted((r["cand"], r["r_mid"], str(r["sim"])) for r in plain.collect())
+    assert got == [(1, 1, "None"), (1, 2, "0.9"), (3, 1, "None"), (3, 2, "None")]
+
+
+@pytest.mark.parametrize("threshold, seed", [(0.6, 1), (0.9, 2), (-0.2, 3)])
+def test_link_counts_equal_brute_force(spark, threshold, seed):
+    rng = np.random.default_rng(seed)
+    vecs = {int(i): rng.normal(size=4) for i in rng.permutation(90)}
+    vecs[200], vecs[201], vecs[202] = np.zeros(4), vecs[5] * 2, vecs[5]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in vecs.items()], "id int, v array<double>")
+    near = {}
+    for r in cosine_pairs(df, "id", "v", threshold).collect():
+        near.setdefault(r["id_a"], set()).add(r["id_b"])
+
+    def least(i):
+        todo, done = [i], {i}
+        while todo:
+            new = near.get(todo.pop(), set()) - done
+            done |= new
+            todo += new
+        return min(done)
+    got = {r["id"]: (r["class_id"], r["n_links"]) for r in cosine_link_counts(df, "id", "v", threshold, block_size=17).collect()}
+    assert got == {i: (least(i), len(near.get(i, ()))) for i in vecs}
+
+
+def test_a_product_step_holds_few_cells():
+    """Executor memory: a worker's score chunk and blocks are small next to 4 GB on four cores."""
+    from reelspark.operators import similarity
+    assert similarity.CHUNK_CELLS * 8 <= 16 << 20 and similarity.BLOCK_BYTES <= 32 << 20
+    bu, bi = similarity.product_blocks(1_000_000, 1_000_000, 12, max_block=1_000)
+    assert bu >= 1_000 and bi >= 1_000
