@@ -117,8 +117,11 @@ def realtime_recs(incoming: DataFrame, history: DataFrame, seen: DataFrame, sims
     ``formula='as_coded'`` returns the reference's nested logarithm
     ``log10(inc - log10(dec))``, NULL where the reference would fail.
     """
-    cands = candidates(incoming, seen, sims, n_candidates)
-    recents = recent_ratings(history, n_recent, incoming.select("uid"))
+    sims = as_source(sims)
+    # What a lookup needs to know of an item is joined to the candidates and to
+    # the recents, not to every candidate x recent row.
+    cands = sims.with_key(candidates(incoming, seen, sims, n_candidates), "cand", "a")
+    recents = sims.with_key(recent_ratings(history, n_recent, incoming.select("uid")), "r_mid", "b")
     # The candidate rows are few next to what they expand to (x n_recent, then
     # the similarity lookups), so they are spread over every task slot by
     # event; the final per-(event, candidate) aggregate reuses that

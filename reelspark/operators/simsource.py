@@ -66,6 +66,10 @@ class TableSims:
     def neighbors(self, items: DataFrame) -> DataFrame:
         return self.table.join(items.select("mid"), "mid", "left_semi")
 
+    def with_key(self, df: DataFrame, item: str, side: str) -> DataFrame:
+        """Pairs are looked up by the items themselves."""
+        return df
+
     def top_neighbors(self, limits: DataFrame) -> DataFrame:
         """Ranks the neighbours of the given items; ``StoredSims`` has the ranks."""
         near = self.table.join(limits.select("mid", "lim"), "mid")
@@ -213,10 +217,16 @@ class FactoredSims:
                 .where(F.col("mid") != F.col("sim_mid"))
                 .select("mid", "sim_mid", "sim"))
 
+    def with_key(self, df: DataFrame, item: str, side: str) -> DataFrame:
+        """``df`` with the vector of ``item``, as the ``"a"`` or ``"b"`` side of
+        ``pair_sims``: to be looked up before the two sides are multiplied."""
+        return df.join(self.members.select(F.col("mid").alias(item), F.col("vkey").alias(f"id_{side}")), item, "left")
+
     def pair_sims(self, pairs: DataFrame, a: str, b: str, out: str = "sim") -> DataFrame:
-        ma = self.members.select(F.col("mid").alias(a), F.col("vkey").alias("id_a"))
-        mb = self.members.select(F.col("mid").alias(b), F.col("vkey").alias("id_b"))
-        keyed, on = self._with_bucket(pairs.join(ma, a, "left").join(mb, b, "left"))
+        for item, side in ((a, "a"), (b, "b")):
+            if f"id_{side}" not in pairs.columns:
+                pairs = self.with_key(pairs, item, side)
+        keyed, on = self._with_bucket(pairs)
         looked = keyed.join(self.vpairs, [*on, "id_a", "id_b"], "left")
         sim = F.when(F.col(a) != F.col(b), F.col("sim"))
         return looked.withColumn(out, sim).drop("id_a", "id_b", *on, *([] if out == "sim" else ["sim"]))
@@ -245,16 +255,6 @@ class FactoredSims:
                 .select("mid", "sim_mid", "sim"))
 
 
-def sims_from_packed(packed: DataFrame, key: str = "mid", recs: str = "recs") -> DataFrame:
-    """A stored similarity table ``(mid, '(mid,sim)|(mid,sim)|...')`` back to
-    flat ``(mid, sim_mid, sim)`` rows (malformed entries are dropped)."""
-    from reelspark.functions.lists import explode_ranked, unpack_list
-    lists = packed.select(F.col(key).alias("mid"), unpack_list(F.col(recs)).alias("recs"))
-    return explode_ranked(lists, "mid", item="sim_mid", score="sim").select("mid", "sim_mid", "sim")
-
-
-def as_source(sims) -> TableSims | FactoredSims:
-    return sims if isinstance(sims, (TableSims, FactoredSims)) else TableSims(sims)
     def as_classes(self) -> DataFrame:
         """``(kind, mid, class_id, sim_class, sim, n_items)``: a row of kind
         ``item`` per member of a vector that pairs with itself, and one of kind
@@ -271,3 +271,13 @@ def as_source(sims) -> TableSims | FactoredSims:
                 .select(F.lit("item").alias("kind"), "mid", "class_id", "sim_class", "sim", "n_items").unionByName(linked))
 
 
+def sims_from_packed(packed: DataFrame, key: str = "mid", recs: str = "recs") -> DataFrame:
+    """A stored similarity table ``(mid, '(mid,sim)|(mid,sim)|...')`` back to
+    flat ``(mid, sim_mid, sim)`` rows (malformed entries are dropped)."""
+    from reelspark.functions.lists import explode_ranked, unpack_list
+    lists = packed.select(F.col(key).alias("mid"), unpack_list(F.col(recs)).alias("recs"))
+    return explode_ranked(lists, "mid", item="sim_mid", score="sim").select("mid", "sim_mid", "sim")
+
+
+def as_source(sims) -> TableSims | FactoredSims:
+    return sims if isinstance(sims, (TableSims, FactoredSims)) else TableSims(sims)
