@@ -6,17 +6,25 @@ before every space that has a non-space on either side, and each chunk is encode
 own with the same ids as in the whole text. A line feed between two characters
 that are not white space is a pre-token of its own, so lines are cut there too.
 Most chunks repeat; a bounded worker cache of two generations holds their ids
-and the tokenizers library encodes the rest.
+and the tokenizers library encodes the rest. ``encode`` looks up every chunk;
+``encode_lists`` has Arrow cut and number the chunks of a run of rows, looks
+up the distinct ones and puts the id lists together by number.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import slices, worker_store
 
 BYTE_BPE = "byte_bpe_50k.json"
+LARGE_TEXT = 1 << 28        # bytes of a run from which Arrow gets 64-bit offsets, as cutting adds marks
 _CUT = re.compile(r"(?<=\S) | (?=\S)")
 # U+180E was white space in older Unicode versions.
 _LINE = re.compile("(?<=[^\\s\u180e])\n(?=[^\\s\u180e])")
@@ -25,8 +33,12 @@ _LINE = re.compile("(?<=[^\\s\u180e])\n(?=[^\\s\u180e])")
 _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {b: chr(0x100 + k) for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 _SPACE = _BYTE_CHARS[0x20]
+_SPACES = "\u180e" + "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha())
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
+_MARKED_WORD = f"^\\x00?[{_LETTERS}]+[{re.escape(_MARKS)}]+$"
+
 
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer's file on the machine that calls it."""
@@ -77,6 +89,14 @@ def _careful_chunks(text: str) -> list[str]:
     return [p[1:] if p[0] == " " and len(p) > 1 and not p[1].isspace() else "\0" + p for p in parts]
 
 
+def _uncertain(chunks: pa.Array) -> np.ndarray:
+    """Whether a cut at every space and line feed may have been wrong beside
+    a chunk: it is empty, or begins or ends with white space."""
+    bare = pc.utf8_ltrim(chunks, "\0")
+    wrong = pc.or_(pc.equal(bare, ""), pc.not_equal(bare, pc.utf8_trim(bare, _SPACES)))
+    return pc.and_(wrong, pc.not_equal(chunks, "\0\n")).to_numpy(zero_copy_only=False)
+
+
 class ChunkCoder:
     """Maps texts to one value per chunk: ``value(ids)`` of the chunk's ids,
     where the value of joined ids is the sum (+) of their values.
@@ -109,6 +129,12 @@ class ChunkCoder:
         ``'``) after it. Other chunks, and letters that a Unicode version may
         class anew (U+0250 and above), go through the whole library.
         """
+        out, words = self._encode_chunks(chunks)
+        self.keep(words)
+        return out
+
+    def _encode_chunks(self, chunks: list[str]) -> tuple[list, dict]:
+        """As ``encode_chunks``, with the words' values, not kept yet."""
         out: list = [None] * len(chunks)
         rest = []
         tokenize, value, marks, young = self.tok.model.tokenize, self.value, self.marks, self.young.get
@@ -134,11 +160,10 @@ class ChunkCoder:
                 out[k] = got
             else:
                 rest.append(k)
-        self.keep(words)
         texts = [chunks[k][1:] if chunks[k][0] == "\0" else " " + chunks[k] for k in rest]
         for k, e in zip(rest, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
             out[k] = self.value(e.ids)
-        return out
+        return out, words
 
     def _flat_chunks(self, text: str, chunks=_chunks) -> list[str]:
         """Chunks of a whole text; the library cuts at special tokens first."""
@@ -189,3 +214,89 @@ class ChunkCoder:
                     values[i] = fresh[c]
                 yield values
             self.keep(fresh)
+
+    def numbered_chunks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Chunks of texts (null: empty) by number: the end of each text's
+        numbers, the numbers of all texts, and the distinct chunks.
+
+        Arrow cuts at every space and line feed. Texts in which that may be
+        wrong, and those that hold NULs or special tokens, are cut one by one.
+        """
+        kind = pa.large_string() if texts.nbytes > LARGE_TEXT else pa.string()
+        texts = texts.cast(kind).fill_null("")
+        lines = pc.replace_substring(texts, "\n", " \0\n \0")
+        lists = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\0", kind), lines, pa.scalar("", kind)), " ")
+        coded = lists.flatten().dictionary_encode()
+        ends = lists.offsets.to_numpy()[1:]
+        odd = np.zeros(len(texts), bool)
+        for s in ("\0", *self.special):
+            odd |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        uncertain = _uncertain(coded.dictionary)
+        if uncertain.any():
+            odd[np.searchsorted(ends, np.flatnonzero(uncertain[coded.indices.to_numpy()]), "right")] = True
+        if odd.any():
+            rows = np.flatnonzero(odd)
+            order = np.arange(len(texts))
+            order[rows] = len(texts) + np.arange(len(rows))
+            careful = [pa.array([self._certain_chunks(texts[k].as_py())], lists.type) for k in rows]
+            lists = pa.concat_arrays([lists, *careful]).take(pa.array(order))
+            coded = lists.flatten().dictionary_encode()
+            ends = lists.offsets.to_numpy()[1:]
+        return ends, coded.indices.to_numpy(), coded.dictionary
+
+    def _certain_chunks(self, text: str) -> list[str]:
+        parts = self._flat_chunks(text)
+        return self._flat_chunks(text, _careful_chunks) if any(c[0].isspace() for c in parts) else parts
+
+    def values(self, chunks: list[str]) -> list:
+        """Values of distinct chunks, from the cache or the library."""
+        out = list(map(self.young.get, chunks))
+        gaps = [k for k, v in enumerate(out) if v is None]
+        names = [chunks[k] for k in gaps]
+        got = list(map(self.old.get, names))
+        wanted = [i for i, v in enumerate(got) if v is None]
+        for at in range(0, len(wanted), 20_000):
+            part = wanted[at:at + 20_000]
+            for i, v in zip(part, self._encode_chunks([names[i] for i in part])[0]):
+                got[i] = v
+        for k, v in zip(gaps, got):
+            out[k] = v
+        self.keep(dict(zip(names, got)))
+        return out
+
+    def chunk_lists(self, chunks: pa.Array) -> pa.ListArray:
+        """Lists of the distinct chunks' ids. Letters and the marks after them
+        are looked up apart, as ``encode_chunks`` encodes them."""
+        marked = pc.match_substring_regex(chunks, _MARKED_WORD)
+        words = pc.if_else(marked, pc.utf8_rtrim(chunks, _MARKS), chunks).dictionary_encode()
+        runs = pc.if_else(marked, pc.utf8_ltrim(chunks, "\0" + _LETTERS), pa.scalar("", chunks.type))
+        marks = pc.binary_join_element_wise(pa.scalar("\0", chunks.type), runs, pa.scalar("", chunks.type)).dictionary_encode()
+        known = _packed_lists([v for d in (words, marks) for v in self.values(d.dictionary.to_numpy(zero_copy_only=False).tolist())])
+        parts = np.stack((words.indices.to_numpy(), marks.indices.to_numpy() + len(words.dictionary)), axis=1).ravel()
+        both = known.take(pa.array(parts))
+        return _lists(both.offsets.to_numpy()[2::2], both.flatten())
+
+    def encode_lists(self, texts: pa.Array, end: bytes, run_bytes: int = 8 << 20) -> Iterator[pa.ListArray]:
+        """Lists of the texts' ids and the packed ``end``, for runs of rows in
+        order; the coder's values must be ids packed as 32-bit integers.
+
+        A run's distinct chunks are looked up once; Arrow puts them together.
+        """
+        n_bytes = pc.binary_length(texts).fill_null(0).to_numpy().astype(np.int64)
+        cuts = np.flatnonzero(np.diff(np.cumsum(n_bytes) // run_bytes)) + 1
+        for a, z in zip([0, *cuts], [*cuts, len(texts)]):
+            if a == z:
+                continue
+            ends, numbers, chunks = self.numbered_chunks(texts.slice(a, z - a))
+            known = pa.concat_arrays([self.chunk_lists(chunks), _packed_lists([end])])
+            ids = known.take(pa.array(np.insert(numbers, ends, len(chunks))))
+            yield _lists(ids.offsets.to_numpy()[ends + np.arange(1, len(ends) + 1)], ids.flatten())
+
+
+def _lists(ends: np.ndarray, items: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), items)
+
+
+def _packed_lists(values: list[bytes]) -> pa.ListArray:
+    sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+    return _lists(np.cumsum(sizes), pa.array(np.frombuffer(b"".join(values), "<i4")))

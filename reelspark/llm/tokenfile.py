@@ -44,35 +44,18 @@ def encode_sorted(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         start = 0
         for b in batches:
             at = 0
-            for size, packed in _grouped(coder.encode(b.column(1).to_pylist()), end):
-                lengths = np.array(size, np.int64)
-                ends = np.cumsum(lengths)
-                ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()),
-                                               pa.array(np.frombuffer(packed, "<i4")))
+            for ids in coder.encode_lists(b.column(1), end):
+                ends = ids.offsets.to_numpy()
+                lengths = np.diff(ends).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, len(size)), pa.array(lengths), pa.array(start + ends - lengths), ids],
+                    [b.column(0).slice(at, len(ids)), pa.array(lengths), pa.array(start + ends[:-1].astype(np.int64)), ids],
                     ["doc_id", "n_tokens", "file_start", "ids"])
-                at += len(size)
+                at += len(ids)
                 start += int(ends[-1])
 
     return ordered.mapInArrow(encode, "doc_id long, n_tokens long, file_start long, ids array<int>")
 
 
-def _grouped(encoded, end: bytes, max_bytes: int = 16 << 20):
-    """Join chunk bytes to documents and documents to runs of bounded size."""
-    sizes, run, held = [], [], 0
-    for parts in encoded:
-        doc = b"".join(parts) + end
-        sizes.append(len(doc) // 4)
-        run.append(doc)
-        held += len(doc)
-        if held >= max_bytes:
-            yield sizes, b"".join(run)
-            sizes, run, held = [], [], 0
-    if sizes:
-        yield sizes, b"".join(run)
-
-
 def write_token_files(encoded: DataFrame, path: str, encoding: str = "dictionary",
                       row_group_bytes: int = ROW_GROUP_BYTES, page_bytes: int = PAGE_BYTES) -> None:
     """Write with the layout above; ``encoding`` is 'dictionary' or 'delta'."""

@@ -5,6 +5,7 @@ import zlib
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -169,3 +170,49 @@ def test_old_chunks_come_back(texts):
     first = [sum(v, []) for v in coder.encode(texts[:1000])]
     assert [sum(v, []) for v in coder.encode(texts[:1000])] == first
     assert len(coder.young) <= 20 + 1 + max(len(coder._flat_chunks(t)) for t in texts[:1000]) * 1000
+
+
+def packed_ids(ids):
+    return np.array(ids, "<u4").tobytes()
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_id_lists_equal_the_library(texts, large, monkeypatch):
+    if large:
+        monkeypatch.setattr(bytebpe, "LARGE_TEXT", 0)
+    t = library(bytebpe.BYTE_BPE)
+    plain = ["The cat, the dog.\nA second line!?", "word", "Ünï àb (x) 12 a1 don't, it's.", "中文 ɐb, ªº", "a,b ,c, d,,"]
+    odd = ["a\n\nb", "a \n b", " lead", "trail ", "a \t \tb", "a\x1c b", "x\n", "\n", " ", "\0", "a\0 b\nc", "p\u180e\nq", "q <|endoftext|>z\nt", None]
+    rows = [x for k, text in enumerate(texts) for x in (text, plain[k % len(plain)], odd[k % len(odd)])]
+    coder = bytebpe.ChunkCoder(bytebpe.BYTE_BPE, packed_ids, f"test-lists-{large}", cache_entries=500)
+    column = pa.concat_arrays([pa.array(["before"]), pa.array(rows, pa.string())]).slice(1)  # does not begin at its buffer's begin
+    runs = list(coder.encode_lists(column, packed_ids([7, 0]), run_bytes=5000))
+    assert len(runs) > 3
+    got = [ids for run in runs for ids in run.to_pylist()]
+    want = t.encode_batch([x or "" for x in rows], add_special_tokens=False)
+    assert len(got) == len(rows)
+    for text, ids, e in zip(rows, got, want):
+        assert ids == [*e.ids, 7, 0], (text or "")[:80]
+    assert list(coder.encode_lists(pa.array([], pa.string()), packed_ids([0]))) == []
+
+
+def test_a_run_looks_a_word_up_once(monkeypatch):
+    coder = bytebpe.ChunkCoder(bytebpe.BYTE_BPE, packed_ids, "test-once")
+    asked = []
+    values = coder.values
+    monkeypatch.setattr(coder, "values", lambda chunks: asked.extend(chunks) or values(chunks))
+    texts = ["x the cat, the cat. the dog!\nx the cat" for _ in range(50)]
+    assert sum(map(len, coder.encode_lists(pa.array(texts), packed_ids([0])))) == 50
+    assert len(asked) == len(set(asked)) and {"the", "cat", "dog"} <= set(asked) and not {"cat,", "cat.", "dog!"} & set(asked)
+
+
+def test_token_files_of_repeated_words(spark):
+    t = library(bytebpe.BYTE_BPE)
+    d = [(i, f"line {i % 3}, word\nword {'the ' * (i % 5)}end") for i in range(300)]
+    path = scratch_path(spark, "test-runs")
+    tokenfile.write_token_files(tokenfile.encode_sorted(docs(spark, d)), path)
+    at = 0
+    for r, (i, text) in zip(sorted(tokenfile.token_digest(spark, path).collect(), key=lambda r: r["doc_id"]), d, strict=True):
+        ids = np.array(t.encode(text, add_special_tokens=False).ids + [0], "<u4")
+        assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (i, at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
