@@ -1,0 +1,21 @@
+"""Registered queries over tables of their own: every row asks, every row answers."""
+
+import numpy as np
+
+from reelspark.plans import registry
+
+
+def _embeddings(spark, folder, n=50):
+    rng = np.random.default_rng(4)
+    vecs = rng.normal(size=(n, 5)).astype(np.float32)
+    spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vecs)],
+                          "vec_id long, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
+    return vecs.astype(float)
+
+
+def test_factor_topk_asks_for_every_embedding(spark, tmp_dir):
+    vecs = _embeddings(spark, tmp_dir)
+    got = {(r["uid"], r["rank"]): r["mid"] for r in registry.q_factor_topk(spark, tmp_dir).collect()}
+    scores = np.round(vecs @ vecs.T, 12)
+    want = {(u, k + 1): int(m) for u in range(50) for k, m in enumerate(np.lexsort((np.arange(50), -scores[u]))[:20])}
+    assert got == want
