@@ -19,3 +19,17 @@ def test_factor_topk_asks_for_every_embedding(spark, tmp_dir):
     scores = np.round(vecs @ vecs.T, 12)
     want = {(u, k + 1): int(m) for u in range(50) for k, m in enumerate(np.lexsort((np.arange(50), -scores[u]))[:20])}
     assert got == want
+
+
+def _ratings(spark, folder, users=12, items=25):
+    """Line items and orders that give a rating of 1 to 5 to every third (user, item)."""
+    rows = [(u * 100 + m, u, m, (u * 7 + m * 3) % 50 + 1) for u in range(1, users + 1) for m in range(1, items + 1) if (u + m) % 3]
+    spark.createDataFrame([(o, u) for o, u, _, _ in rows], "o_orderkey long, o_custkey long").write.parquet(f"{folder}/orders.parquet")
+    (spark.createDataFrame([(o, m, float(q)) for o, _, m, q in rows], "l_orderkey long, l_partkey long, l_quantity double")
+     .selectExpr("*", "TIMESTAMP_NTZ '1995-03-01 00:00:00' AS l_shipdate").write.parquet(f"{folder}/lineitem.parquet"))
+
+
+def test_als_recs_check_answers_for_every_user(spark, tmp_dir):
+    _ratings(spark, tmp_dir)
+    got = sorted(tuple(r) for r in registry.q_als_recs_check(spark, tmp_dir).select("uid", "n", "ok").collect())
+    assert got == [(u, 20, True) for u in range(1, 13)]
