@@ -33,3 +33,36 @@ def test_als_recs_check_answers_for_every_user(spark, tmp_dir):
     _ratings(spark, tmp_dir)
     got = sorted(tuple(r) for r in registry.q_als_recs_check(spark, tmp_dir).select("uid", "n", "ok").collect())
     assert got == [(u, 20, True) for u in range(1, 13)]
+
+
+def _parts(spark, folder):
+    """Forty parts in four genre lists, two of them alike, and one without a common word."""
+    kinds = [("DRAMA", "red old"), ("DRAMA", "old red"), ("COMEDY", "blue"), ("COMEDY", "blue blue green")]
+    rows = [(i, kinds[i % 4][1], kinds[i % 4][0]) for i in range(40)] + [(40, "thin", "CRIME")]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_type string").write.parquet(f"{folder}/part.parquet")
+    words = {i: {w: f"{t.lower()} {n}".split().count(w) for w in f"{t.lower()} {n}".split()} for i, n, t in rows}
+    df = {w: sum(w in d for d in words.values()) for d in words.values() for w in d}
+    vec = {i: {w: c * np.log((len(rows) + 1) / (df[w] + 1)) for w, c in d.items()} for i, d in words.items()}
+
+    def cosine(a, b):
+        return sum(x * b.get(w, 0) for w, x in a.items()) / np.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+    return {(i, j): round(cosine(vec[i], vec[j]), 6) for i in vec for j in vec if i != j and cosine(vec[i], vec[j]) > 0.8}
+
+
+def test_content_similarity_has_every_item_pair(spark, tmp_dir):
+    want = _parts(spark, tmp_dir)
+    rows = registry.q_content_similarity(spark, tmp_dir).collect()
+    assert len(rows) == len(want) >= 20 * 19
+    assert {(r["mid"], r["sim_mid"]): r["sim"] for r in rows} == want
+
+
+def test_content_similarity_lists_rank_every_item_pair(spark, tmp_dir):
+    want = _parts(spark, tmp_dir)
+    got = {}
+    for r in registry.q_content_similarity_lists(spark, tmp_dir).collect():
+        got.setdefault(r["mid"], []).append((r["rank"], r["sim_mid"], r["sim"]))
+    assert {(i, m): s for i, l in got.items() for _, m, s in l} == want
+    for l in got.values():
+        l.sort()
+        assert [k for k, _, _ in l] == list(range(1, len(l) + 1))
+        assert [(m, s) for _, m, s in l] == sorted(((m, s) for _, m, s in l), key=lambda x: (-x[1], x[0]))
