@@ -66,3 +66,28 @@ def test_content_similarity_lists_rank_every_item_pair(spark, tmp_dir):
         l.sort()
         assert [k for k, _, _ in l] == list(range(1, len(l) + 1))
         assert [(m, s) for _, m, s in l] == sorted(((m, s) for _, m, s in l), key=lambda x: (-x[1], x[0]))
+
+
+def test_similarity_lists_by_vector_equal_ranked_pairs(spark):
+    """Equal vectors, ids that come twice in one vector or in two, a null id; lists in more than one block."""
+    from reelspark.operators import simsource
+    from reelspark.operators.simsource import FactoredSims
+    members = [(i, "abc"[i % 3]) for i in range(30)] + [(3, "a"), (4, "c"), (None, "a"), (50, "zero")]
+    m = spark.createDataFrame(members, "mid int, vkey string")
+    vp = [(v, v, 1.0) for v in "abc"] + [("a", "b", 0.9), ("b", "a", 0.9), ("b", "c", 0.95), ("c", "b", 0.95)]
+    sims = {(a, b): s for a, b, s in vp}
+    source = FactoredSims(m, spark.createDataFrame(vp, "id_a string, id_b string, sim double"))
+    want = {}
+    for i, v in members:
+        for j, w in members:
+            if i is not None and j is not None and i != j and (v, w) in sims:
+                want.setdefault(i, []).append((-sims[v, w], j))
+    rows = {}
+    old, simsource.LIST_BLOCK = simsource.LIST_BLOCK, 4
+    try:
+        for r in source.ranked_table().collect():
+            rows.setdefault(r["mid"], []).append((r["rank"], -r["sim"], r["sim_mid"]))
+    finally:
+        simsource.LIST_BLOCK = old
+    assert {i: [x[1:] for x in sorted(l)] for i, l in rows.items()} == {i: sorted(l) for i, l in want.items()}
+    assert all([x[0] for x in sorted(l)] == list(range(1, len(l) + 1)) for l in rows.values())
