@@ -187,3 +187,28 @@ def test_a_product_step_holds_few_cells():
     assert similarity.CHUNK_CELLS * 8 <= 16 << 20 and similarity.BLOCK_BYTES <= 32 << 20
     bu, bi = similarity.product_blocks(1_000_000, 1_000_000, 12, max_block=1_000)
     assert bu >= 1_000 and bi >= 1_000
+
+
+def test_links_of_few_candidates_touch_only_those(monkeypatch):
+    """One product's links, taken from its candidates or from whole matrices: same counts and classes, and
+    with few candidates no matrix is counted along its rows."""
+    import pandas as pd
+    from reelspark.operators import similarity
+    rng = np.random.default_rng(12)
+    v = rng.normal(size=(120, 6))
+    v[70] = v[3] * 1.0
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    pdf = pd.DataFrame({"blk": [0] * 60 + [1] * 60, "id": rng.permutation(120), "u": list(v)})
+    whole, counted = [], np.count_nonzero
+
+    def links(key, sparse):
+        whole.clear()
+        monkeypatch.setattr(similarity, "SPARSE_LINKS", sparse)
+        monkeypatch.setattr(np, "count_nonzero", lambda a, axis=None: whole.append(axis) or counted(a, axis=axis))
+        out = pd.concat(similarity.block_links_fn(0.7)(key, iter([pdf])))
+        monkeypatch.setattr(np, "count_nonzero", counted)
+        return sorted(out.itertuples(index=False, name=None))
+    for key in ((0, 0), (0, 1)):
+        few = links(key, 0)
+        assert few and whole == [None]           # rows and columns of the product are not counted
+        assert few == links(key, 1 << 30) and 1 in whole
